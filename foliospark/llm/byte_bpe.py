@@ -19,7 +19,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read_table
+from .common import read_table, with_ids
 
 #: The rank file that the registered query encodes with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -241,8 +241,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
         for block in text_blocks(frames):
             yield pd.DataFrame({"doc_id": block["doc_id"], "ids": enc.encode_block(block["text"].tolist())})
 
-    rows = docs.select("doc_id", "text")
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return with_ids(docs, "text", run, "ids array<int>")
 
 
 def decode_ids(rows: DataFrame, path: str) -> DataFrame:
@@ -253,8 +252,7 @@ def decode_ids(rows: DataFrame, path: str) -> DataFrame:
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "decoded": [replay.decode(ids) for ids in frame["ids"]]})
 
-    rows = rows.select("doc_id", "ids")
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded binary")
+    return with_ids(rows, "ids", run, "decoded binary")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -278,9 +276,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
                 }
             )
 
-    rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return with_ids(docs, "text", run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_ids(rows: DataFrame, column: str, run: Callable, schema: str) -> DataFrame:
+    """mapInPandas over doc_id and a column, to doc_id and the schema. Ids travel as text: pandas makes floats of null ones."""
+    kind = rows.schema["doc_id"].dataType
+    ids = rows.select(F.col("doc_id").cast("string").alias("doc_id"), column)
+    return ids.mapInPandas(run, f"doc_id string, {schema}").withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def crc_mod(key: str | Column, n: int) -> Column:
     """crc32 of the key's decimal text, modulo n; a null key counts as the empty text."""
     key = F.col(key) if isinstance(key, str) else key
@@ -63,3 +71,35 @@ def hash_share(key: str, salt: str) -> Column:
     """A number in [0, 1) that depends on the key and the salt alone."""
     text = F.concat_ws(":", F.lit(salt), F.coalesce(F.col(key).cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+#: The most bits of one bitmap of a filter; the two of them are 64 MB, which is what may be broadcast.
+FILTER_BITS = 1 << 28
+_CHUNK = 32768
+
+
+def _filter_slots(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(k)), F.lit(bits)) for k in (0, 1)]
+
+
+def flag_members(df: DataFrame, key: Column, keys: DataFrame, flag: str, max_bits: int = FILTER_BITS) -> DataFrame:
+    """Adds flag: false only where keys (one column) lacks the key. A Bloom filter of at most 2 * max_bits bits is broadcast.
+
+    With more keys than bits the filter would tell nothing, and flag is true throughout.
+    """
+    name = keys.columns[0]
+    n = keys.count()
+    if n > max_bits:
+        return df.withColumn(flag, F.lit(True))
+    bits = min(max_bits, max(_CHUNK, 1 << max(0, n * 8 - 1).bit_length()))
+    slots = keys.select(F.posexplode(F.array(*_filter_slots(F.col(name), bits))).alias("__t", "__s"))
+    maps = materialize(
+        slots.groupBy("__t", F.shiftright("__s", 15).alias("__c")).agg(F.bitmap_construct_agg(F.col("__s").bitwiseAND(F.lit(_CHUNK - 1))).alias("__b")), "filter"
+    )
+    hits = []
+    for k, slot in enumerate(_filter_slots(key, bits)):
+        own = maps.filter(F.col("__t") == k).select(F.col("__c").alias(f"__c{k}"), F.col("__b").alias(f"__b{k}"))
+        df = df.withColumn(f"__s{k}", slot).withColumn(f"__c{k}", F.shiftright(f"__s{k}", 15)).join(F.broadcast(own), f"__c{k}", "left")
+        at = F.col(f"__s{k}").bitwiseAND(F.lit(_CHUNK - 1)).cast("int")
+        byte = F.conv(F.hex(F.substring(F.col(f"__b{k}"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+        hits.append(F.coalesce(F.floor(byte / F.pow(F.lit(2.0), at.bitwiseAND(F.lit(7)))) % 2 == 1, F.lit(False)))
+    return df.withColumn(flag, hits[0] & hits[1]).drop(*(f"__{x}{k}" for x in "scb" for k in (0, 1)))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, read_table, scratch_path
+from .common import materialize, read_table, scratch_path, with_ids
 from .store import Ranges, create
 
 #: Samples of a row of the image; payloads are padded to a positive multiple of it.
@@ -136,8 +136,7 @@ def store_texts(docs: DataFrame, folder: str) -> DataFrame:
             yield rows
         writer.close()
 
-    rows = docs.select("doc_id", "text")
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {INDEX}")
+    return with_ids(docs, "text", run, INDEX)
 
 
 def _by_place(index: DataFrame) -> DataFrame:
@@ -163,8 +162,9 @@ def header_columns(index: DataFrame) -> DataFrame:
             yield frame
         ranges.close()
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema.fields)
-    return index.mapInPandas(run, f"{kinds}, width long, height long, bits long")
+    rows = index.select(F.col("doc_id").cast("string").alias("doc_id"), "shard", "offset", "length", "media_sha256")
+    found = rows.mapInPandas(run, f"doc_id string, {INDEX}, width long, height long, bits long")
+    return found.withColumn("doc_id", F.col("doc_id").cast(index.schema["doc_id"].dataType))
 
 
 def feature(payload: bytes) -> str:
@@ -205,10 +205,9 @@ def payload_columns(index: DataFrame) -> DataFrame:
             yield rows
         ranges.close()
 
-    kind = index.schema["doc_id"].dataType.simpleString()
-    return index.mapInPandas(
-        run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width long, height long"
-    )
+    rows = index.select(F.col("doc_id").cast("string").alias("doc_id"), "shard", "offset", "length", "width", "height")
+    kinds = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, width long, height long"
+    return rows.mapInPandas(run, f"doc_id string, {kinds}").withColumn("doc_id", F.col("doc_id").cast(index.schema["doc_id"].dataType))
 
 
 def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,8 +140,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         for frame in frames:
             done = []
             for page_id, url, html, target, repeated in zip(*(frame[c] for c in ("page_id", "url", "html", "__target", "__repeated")), strict=True):
-                own = None if pd.isna(page_id) else int(page_id)
-                to = None if pd.isna(target) else int(target)
+                own = None if page_id is None else int(page_id)
+                to = None if target is None else int(target)
                 payload = (html if isinstance(html, str) else "").encode("utf-8", "replace")
                 digest = payload_digest(payload)
                 revisit = repeated and to is not None and own != to
@@ -151,7 +151,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             yield pd.DataFrame({"archive": pd.Series([x for x in done if x], dtype=object)})
         yield pd.DataFrame({"archive": pd.Series([x for x in [writer.close()] if x], dtype=object)})
 
-    return materialize(with_targets(pages).mapInPandas(run, "archive string"), "warc-archives")
+    rows = with_targets(pages).withColumns({c: F.col(c).cast("string") for c in ("page_id", "__target")})  # pandas makes floats of null numbers
+    return materialize(rows.mapInPandas(run, "archive string"), "warc-archives")
 
 
 # ---- reading

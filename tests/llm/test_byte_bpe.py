@@ -41,7 +41,7 @@ def test_pairs_of_lower_rank_that_arise_late():
 
 
 def test_rows_of_every_kind(spark, library):
-    rows = [(1, "one two", "x"), (2, None, "x"), (None, "", "y"), (2, None, "x"), (4, "long " * 20000, "y")]
+    rows = [(1, "one two", "x"), (2, None, "x"), (None, "", "y"), (2, None, "x"), (2**60 + 1, "long " * 20000, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
     got = sorted(map(tuple, B.encode_digests(docs, PATH).collect()), key=str)
     want = []

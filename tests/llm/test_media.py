@@ -35,7 +35,7 @@ def test_shards_are_tar_files(tmp_path):
 
 
 def test_rows_of_every_kind(spark):
-    rows = [(1, "grün", 7), (2, None, 7), (3, "", 7), (4, "z" * 300_000, 7), (1, "grün", 7), (None, "grün", 7)]
+    rows = [(1, "grün", 7), (2, None, 7), (3, "", 7), (4, "z" * 300_000, 7), (1, "grün", 7), (None, "grün", 7), (2**60 + 1, "gross", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, width long")
     index = materialize(M.store_texts(docs, scratch_path(spark, "media")), "media-index")
     got = M.payload_columns(M.header_columns(M._by_place(index))).collect()

@@ -62,7 +62,7 @@ def brute(rows):
 def test_round_trip_of_every_kind(spark, monkeypatch, bound):
     monkeypatch.setattr(W, "BROADCAST_ROWS", bound)
     rows = [(k, f"http://h.example/{k}?é\n", f"<p>{k % 5}</p>", "x") for k in range(40)]
-    rows += [(100, None, None, "x"), (101, "u", "", "x"), (None, "u", "<p>1</p>", "x"), (102, "u", "ä" * 400_000, None), (39, "again", "<p>4</p>", "x"), (None, "u", "alone", "x")]
+    rows += [(100, None, None, "x"), (101, "u", "", "x"), (None, "u", "<p>1</p>", "x"), (102, "u", "ä" * 400_000, None), (39, "again", "<p>4</p>", "x"), (None, "u", "alone", "x"), (2**60 + 1, "u", "big", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_type string")
     archives = W.write_archives(pages, scratch_path(spark, "warc"))
     got = sorted(map(tuple, W.read_archives(archives).collect()), key=str)
