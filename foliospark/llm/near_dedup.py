@@ -34,11 +34,11 @@ BAND_GROWTH = 1.25
 #: Blocks for each one needed, so that enough of them have shingles.
 SPARE_BLOCKS = 1.15
 #: Characters that are sketched at a time.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 3_000_000
 #: Words that a worker remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Keys that one task groups, about.
-KEYS_PER_TASK = 1_500_000
+KEYS_PER_TASK = 500_000
 #: Bytes of text for a key, roughly.
 BYTES_PER_KEY = 10
 #: Bit sketches have at least so many words of 64 bits, and twice as many bits as shingles.
@@ -264,7 +264,7 @@ def sketch_join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BYTES_PER_KEY / KEYS_PER_TASK))
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    sketched = rows.mapInPandas(_sketched(parts), _ROW).repartition(parts, "bucket")
+    sketched = rows.mapInPandas(_sketched(parts), _ROW).repartitionById(parts, "bucket")
     met = sketched.mapInPandas(_met, _ROW).drop("ids", "bucket").withColumn("doc_id", F.col("doc_id").cast("long"))
     return materialize(met, "near-sketches")
 
