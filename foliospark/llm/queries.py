@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-MODULES = ("exact_dedup", "byte_bpe", "language_id", "quality", "media", "warc", "near_dedup", "url_filter", "mixing")
+MODULES = ("exact_dedup", "byte_bpe", "language_id", "quality", "media", "warc", "near_dedup", "url_filter", "mixing", "pii")
 
 
 def llm_queries() -> dict[str, Callable]:

@@ -1,0 +1,54 @@
+import itertools
+import re
+
+import pytest
+from foliospark.llm import pii as P
+
+TEXT = "Mail Anna.B@Mail2.example.com or anna.b@mail2.example.com, call +1 (663) 555-6869 or +1 663 555 6869. Mr. John Smith and Mr Smith paid with 4539 1488 0343 6467 from 10.0.0.7; token = \"6df57b16f87eabefefcab67b433efd90636bb6bd\". IBAN DE89 3704 0044 0532 0130 00. Госпожа"
+
+
+def test_finds_and_keeps_form():
+    kinds = [k for _, _, k, _ in P.entities(TEXT)]
+    assert kinds == ["email", "email", "phone", "phone", "given:latin:m", "surname", "surname", "card", "ip", "secret", "iban"]
+    out, n, told = P.replace(TEXT, P.KEY, {})
+    assert n == 11 and "Smith" not in out and "6869" not in out
+    spans = P.entities(out)
+    assert [k for _, _, k, _ in spans] == kinds
+    new = [e for _, _, _, e in spans]
+    assert new[0] == new[1] and new[2] == new[3] and new[5] == new[6]  # coreference
+    assert re.search(r"\+1 \(\d{3}\) \d{3}-\d{4} or \+1 \d{3} \d{3} \d{4}\.", out)
+    assert P.luhn(new[7]) and P.iban_check(new[10][4:], "DE") == new[10][2:4]
+    assert new[4] in P.GIVEN["latin", "m"]
+    assert P.replace(TEXT, b"other", {})[0] != out and P.replace(TEXT, P.KEY, {})[0] == out
+
+
+def test_permutation_is_a_bijection():
+    for shape in (["0123456789"] * 3, ["aeiou", "0123456789", "aeiou"], ["0123456789"]):
+        words = ["".join(w) for w in itertools.product(*shape)]
+        assert sorted(P.permute(b"k", "t", w) for w in words) == sorted(words)
+    ips = {P.surrogate(b"k", "ip", f"{a}.{b}.0.{c}") for a in range(8) for b in range(8) for c in range(8)}
+    assert len(ips) == 512
+
+
+def test_scripts_and_gender():
+    out, _, _ = P.replace("госпожа Анна Петрова и господин Иван Петров", P.KEY, {})
+    words = out.split()
+    assert words[1] in P.GIVEN["cyrillic", "f"] and words[5] in P.GIVEN["cyrillic", "m"]
+    assert all(P.script_of(w) == "cyrillic" for w in words) and words[2][0].isupper()
+
+
+@pytest.mark.parametrize("most", [P.BROADCAST_EXCEPTIONS, -1])
+def test_distinct_across_the_corpus(spark, monkeypatch, most):
+    monkeypatch.setattr(P, "BROADCAST_EXCEPTIONS", most)
+    firsts = ["Alan", "Bert", "Carlo", "Dirk", "Edgar", "Frank", "Gerd", "Hans", "Igor", "Jan", "Kurt", "Lars", "Max", "Nils", "Otto"]
+    rows = [(k, f"Mr {f} Miller wrote to x{k}@a.org", "x") for k, f in enumerate(firsts)]
+    rows += [(50, None, "x"), (51, "", "x"), (None, "Mr Alan Miller", "x"), (0, rows[0][1], "x"), (52, "plain " * 50_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kinds string")
+    got = P.replace_entities(docs).collect()
+    assert len(got) == len(rows)
+    told = {r.doc_id: r for r in got}
+    new = [told[k].text.split()[1] for k in range(len(firsts))]
+    assert len(set(new)) == len(firsts) and not set(new) & set(firsts)
+    assert told[None].text.split()[1] == new[0]
+    assert told[50].text is None and told[51].text == "" and told[52].n_entities == 0
+    assert P.replace_entities(docs.limit(0)).count() == 0
