@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: What shows that control characters stand within code (fixed values).
 CODE_TOKENS = (" = ", "def ", "class ", "import ", "if ", "for ", "while ", "return ", "print(", "elif ", "else:", ":=", "->", "lambda ")
 #: Symbol-font characters and what they show (fixed values).
-PRIVATE_FROM, PRIVATE_TO = "", "••→◄►▲▼"
+PRIVATE_FROM, PRIVATE_TO = "\uf02d\uf0b7\uf0e0\uf070\uf071\uf074\uf075", "••→◄►▲▼"
 CONTROLS = r" *[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]+ *"
 
 

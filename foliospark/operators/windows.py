@@ -5,28 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ORDER = Window.partitionBy("doc_id").orderBy("pos")
-SO_FAR = ORDER.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 SNIPPET = 300
 LEVELS = 5
 
 
+def reading_order():
+    return Window.partitionBy("doc_id").orderBy("pos")
+
+
+def so_far():
+    return reading_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def with_snippets(chunks: DataFrame) -> DataFrame:
     """prev_snippet and next_snippet: the ends of the chunk before and the start of the one after."""
     return chunks.withColumns(
-        {"prev_snippet": F.substring(F.lag("content").over(ORDER), -SNIPPET, SNIPPET), "next_snippet": F.substring(F.lead("content").over(ORDER), 1, SNIPPET)}
+        {"prev_snippet": F.substring(F.lag("content").over(reading_order()), -SNIPPET, SNIPPET), "next_snippet": F.substring(F.lead("content").over(reading_order()), 1, SNIPPET)}
     )
 
 
 def carry_heading(chunks: DataFrame, heading: Column) -> DataFrame:
     """parent_heading: the last heading at or before each chunk."""
-    return chunks.withColumn("parent_heading", F.last(heading, ignorenulls=True).over(SO_FAR))
+    return chunks.withColumn("parent_heading", F.last(heading, ignorenulls=True).over(so_far()))
 
 
 def breadcrumbs(chunks: DataFrame, level: Column, heading: Column) -> DataFrame:
     """breadcrumb: the open headings of levels 1 to 5. A heading closes those of its level and deeper ones."""
-    lv = F.least(F.greatest(level, F.lit(1)), F.lit(LEVELS))
-    own = [F.last(F.when(lv <= k, F.struct((lv == k).alias("is"), heading.alias("text"))), ignorenulls=True).over(SO_FAR) for k in range(1, LEVELS + 1)]
+    lv = F.when(level.isNotNull(), F.least(F.greatest(level, F.lit(1)), F.lit(LEVELS)))
+    own = [F.last(F.when(lv <= k, F.struct((lv == k).alias("is"), heading.alias("text"))), ignorenulls=True).over(so_far()) for k in range(1, LEVELS + 1)]
     open_ = F.array(*(F.when(x["is"], x["text"]) for x in own))
     return chunks.withColumn("breadcrumb", F.filter(open_, lambda x: x.isNotNull()))
 
@@ -39,12 +45,12 @@ def page_context(chunks: DataFrame, heading: Column) -> DataFrame:
     """page_heading: the first heading of the page, else the last one of earlier pages."""
     page = Window.partitionBy("doc_id", "page_number").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = F.first(heading, ignorenulls=True).over(page)
-    return chunks.withColumn("__first", first).withColumn("page_heading", F.coalesce("__first", F.last("__first", ignorenulls=True).over(SO_FAR))).drop("__first")
+    return chunks.withColumn("__first", first).withColumn("page_heading", F.coalesce("__first", F.last("__first", ignorenulls=True).over(so_far()))).drop("__first")
 
 
 def orphan_labels(chunks: DataFrame, is_label: Column, ahead: int = 4) -> DataFrame:
     """orphan: labels without running text among the next chunks of this page or the following one."""
-    frame = ORDER.rowsBetween(1, ahead)
+    frame = reading_order().rowsBetween(1, ahead)
     rows = chunks.withColumn("__label", is_label)
     near = F.collect_list(F.struct("page_number", "content", "__label")).over(frame)
     body = F.exists(near, lambda x: x["page_number"].between(F.col("page_number"), F.col("page_number") + 1) & (F.char_length(x["content"]) >= 20) & ~x["__label"])
@@ -53,12 +59,12 @@ def orphan_labels(chunks: DataFrame, is_label: Column, ahead: int = 4) -> DataFr
 
 def cross_page_labels(chunks: DataFrame, is_label: Column) -> DataFrame:
     """split_label: a label as the last chunk of a page."""
-    return chunks.withColumn("split_label", is_label & F.coalesce(F.lead("page_number").over(ORDER) == F.col("page_number") + 1, F.lit(False)))
+    return chunks.withColumn("split_label", is_label & F.coalesce(F.lead("page_number").over(reading_order()) == F.col("page_number") + 1, F.lit(False)))
 
 
 def page_of_marker(chunks: DataFrame, marker: Column, per_page: int = 5) -> DataFrame:
     """synthetic_page: chapter * 1000 + position within the chapter // per_page, the chapter being the last marker."""
-    rows = chunks.withColumn("chapter", F.coalesce(F.last(marker, ignorenulls=True).over(SO_FAR), F.lit(0)))
+    rows = chunks.withColumn("chapter", F.coalesce(F.last(marker, ignorenulls=True).over(so_far()), F.lit(0)))
     at = F.row_number().over(Window.partitionBy("doc_id", "chapter").orderBy("pos")) - 1
     return rows.withColumn("synthetic_page", (F.col("chapter") * 1000 + F.floor(at / per_page)).cast("long"))
 
@@ -102,10 +108,10 @@ def move_prepositions(chunks: DataFrame, words=("of", "for", "with", "von", "fü
     """A chunk's last word, if it is a preposition of its own line or end and the next chunk begins with a capital, goes there."""
     pattern = rf"(?:^|\s)({'|'.join(words)})\s*$"
     hungry = lambda c, nxt, gap: c.rlike("(?i)" + pattern) & nxt.rlike(r"^\s*\p{Lu}") & (gap <= 1)
-    moves = F.coalesce(hungry(F.col("content"), F.lead("content").over(ORDER), F.lead("page_number").over(ORDER) - F.col("page_number")), F.lit(False))
+    moves = F.coalesce(hungry(F.col("content"), F.lead("content").over(reading_order()), F.lead("page_number").over(reading_order()) - F.col("page_number")), F.lit(False))
     rows = chunks.withColumn("__moves", moves)
     word = F.regexp_extract(F.col("content"), "(?i)" + pattern, 1)
     rows = rows.withColumn("__given", F.when(F.col("__moves"), word))
-    got = F.lag("__given").over(ORDER)
+    got = F.lag("__given").over(reading_order())
     kept = F.when(F.col("__moves"), F.rtrim(F.regexp_replace("content", "(?i)" + pattern, ""))).otherwise(F.col("content"))
     return rows.withColumn("__got", got).withColumn("content", F.when(F.col("__got").isNotNull(), F.concat("__got", F.lit(" "), kept)).otherwise(kept)).drop("__moves", "__given", "__got")

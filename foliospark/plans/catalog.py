@@ -5,15 +5,623 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import classify as C
+from ..functions import geometry as G
+from ..functions import ids as I
+from ..functions import predicates as P
+from ..functions import text as T
+from ..operators import aggregates as A
+from ..operators import chunking as X
+from ..operators import dedup as D
+from ..operators import gates as Q
+from ..operators import relations as R
+from ..operators import retrieval as V
+from ..operators import windows as W
+from ..sources import readers as S
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_ORACLES: dict[str, str] = {}
+
+#: Chunks as R.chunks_of makes them.
+CHUNKS = """chunks AS (
+  SELECT doc_id, lang, source, (i - 1)::BIGINT AS pos, ((i - 1) // 8 + 1)::INT AS page_number, lines[i] AS content
+  FROM (SELECT doc_id, lang, source, lines, unnest(range(1, len(lines) + 1)) AS i
+        FROM (SELECT doc_id, lang, source, string_split(text, chr(10)) AS lines FROM documents)))"""
+
+
+def query(name: str, sql: str | None = None):
+    def put(f):
+        _QUERIES[name] = f
+        if sql:
+            _ORACLES[name] = sql
+        return f
+
+    return put
+
+
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    return S.table(spark, d, "documents")
+
+
+def chunks(spark: SparkSession, d: str) -> DataFrame:
+    return R.chunks_of(docs(spark, d))
+
+
+c = F.col
+
+
+# ---- identities, sources
+
+
+@query(
+    "ids",
+    f"""WITH {CHUNKS}, x AS (SELECT substr(md5(doc_id::VARCHAR), 1, 12) AS doc, page_number, pos, content FROM chunks)
+SELECT doc AS document_id,
+  doc || '_' || lpad(page_number::VARCHAR, greatest(3, length(page_number::VARCHAR))::INT, '0') || '_text_' || substr(sha256(doc || ':' || page_number || ':text:' || pos || ':' || content), 1, 8) AS chunk_id,
+  substr(md5(doc || '_' || lpad(page_number::VARCHAR, greatest(3, length(page_number::VARCHAR))::INT, '0') || '_' || lpad(pos::VARCHAR, greatest(4, length(pos::VARCHAR))::INT, '0')), 1, 16) AS hybrid_id
+FROM x""",
+)
+def ids(spark, d):
+    doc = I.document_id(c("doc_id").cast("string"))
+    rows = chunks(spark, d).select(doc.alias("document_id"), "page_number", "pos", "content")
+    return rows.select(
+        "document_id", I.chunk_id(c("document_id"), c("page_number"), F.lit("text"), c("pos"), c("content")).alias("chunk_id"),
+        I.hybrid_id(c("document_id"), c("page_number"), c("pos")).alias("hybrid_id"),
+    )
+
+
+@query("point_ids")
+def point_ids(spark, d):
+    return docs(spark, d).select("doc_id", I.point_id(F.concat_ws("#", "source", c("doc_id").cast("string"))).alias("point_id"))
+
+
+@query("s01_formats", "SELECT 'html' AS format, count(*) AS n FROM pages WHERE html IS NOT NULL AND trim(html) <> ''")
+def formats(spark, d):
+    pages = S.table(spark, d, "pages").select(c("html").cast("binary").alias("content"), F.concat(F.lit("p"), "page_id", F.lit(".bin")).alias("path"))
+    return pages.groupBy(S.format_of(c("content"), c("path")).alias("format")).agg(F.count("*").alias("n")).filter("format <> 'unknown'")
+
+
+@query("s05_synthetic_pages", f"""WITH {CHUNKS}, m AS (SELECT doc_id, pos, sum((pos % 7 = 3)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS chapter FROM chunks)
+SELECT doc_id, pos, (chapter * 1000 + (row_number() OVER (PARTITION BY doc_id, chapter ORDER BY pos) - 1) // 5)::BIGINT AS synthetic_page FROM m""")
+def synthetic_pages(spark, d):
+    marker = F.when(c("pos") % 7 == 3, F.floor((c("pos") + 4) / 7).cast("int"))
+    return W.page_of_marker(chunks(spark, d), marker).select("doc_id", "pos", "synthetic_page")
+
+
+@query("s06_html_text")
+def html_text(spark, d):
+    return S.table(spark, d, "pages").select("page_id", S.html_text(c("html")).alias("text"), S.html_title(c("html")).alias("title"))
+
+
+@query("s07_page_batches", f"WITH {CHUNKS} SELECT doc_id, ((page_number - 1) // 3)::BIGINT AS batch, min(page_number) AS start_page, max(page_number) AS end_page, count(*) AS n FROM chunks GROUP BY ALL")
+def page_batches(spark, d):
+    rows = chunks(spark, d).withColumn("batch", F.floor((c("page_number") - 1) / 3))
+    return rows.groupBy("doc_id", "batch").agg(F.min("page_number").alias("start_page"), F.max("page_number").alias("end_page"), F.count("*").alias("n"))
+
+
+@query("s09_page_filter", f"WITH {CHUNKS} SELECT doc_id, pos, page_number FROM chunks WHERE page_number <= 2 OR page_number IN (4, 6)")
+def page_filter(spark, d):
+    return S.select_pages(chunks(spark, d), most=2, also=(4, 6)).select("doc_id", "pos", "page_number")
+
+
+# ---- text repair
+
+
+@query(
+    "p01_p04_characters",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, replace(content, ' the ', chr(1)) AS a, replace(content, ' of ', ' ' || chr(65533) || chr(65533) || ' ') AS b, replace(content, ' and ', chr(57600)) AS p FROM chunks)
+SELECT doc_id, pos,
+  regexp_replace(a, ' *[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]+ *', CASE WHEN a LIKE '% = %' OR a LIKE '%def %' OR a LIKE '%class %' OR a LIKE '%import %' OR a LIKE '%if %' OR a LIKE '%for %' OR a LIKE '%while %' OR a LIKE '%return %' OR a LIKE '%print(%' OR a LIKE '%elif %' OR a LIKE '%else:%' OR a LIKE '%:=%' OR a LIKE '%->%' OR a LIKE '%lambda %' THEN ' ' ELSE '; ' END, 'g') AS p01,
+  regexp_replace(b, '[ \\t]*' || chr(65533) || '[' || chr(65533) || ' \\t]*', ' ', 'g') AS p02,
+  regexp_replace(a, '[\\x00-\\x08\\x0B-\\x1F\\x7F]', '', 'g') AS p03, replace(p, chr(57600), ' ') AS p04
+FROM x""",
+)
+def characters(spark, d):
+    rows = chunks(spark, d).select("doc_id", "pos", F.replace("content", F.lit(" the "), F.lit("\x01")).alias("a"), F.replace("content", F.lit(" of "), F.lit(" �� ")).alias("b"), F.replace("content", F.lit(" and "), F.lit("\ue100")).alias("p"))
+    return rows.select("doc_id", "pos", T.separate_controls(c("a")).alias("p01"), T.collapse_replacements(c("b")).alias("p02"), T.drop_controls(c("a")).alias("p03"), T.map_private_use(c("p")).alias("p04"))
+
+
+@query(
+    "p06_p11_repairs",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, replace(content, ', ', ' 3. ') AS a, replace(content, ' the ', ' 4 . 5 GHz ± 2  ') AS b, replace(content, ', ', '-' || chr(10)) AS h FROM chunks)
+SELECT doc_id, pos,
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(h, '[ \\t]{{2,}}', ' ', 'g'), '([\\pL\\pN_])-\\n\\s*([\\pL\\pN_])', '\\1\\2', 'g'), '([\\pL\\pN_])-\\s*$', '\\1', 'g'), '([A-Z]{{2,}})([A-Z][a-z]{{2,}})', '\\1 \\2', 'g') AS p06,
+  regexp_replace(regexp_replace(regexp_replace(b, '(\\d+)\\s+\\.\\s+(\\d+)', '\\1.\\2', 'g'), '(\\d+\\.?\\d*)\\s+(GHz|MHz|KB|MB|GB|TB|ms|μs|ns)', '\\1\\2', 'gi'), '([±≈])\\s+(\\d)', '\\1\\2', 'g') AS p07,
+  regexp_replace(h, '([A-Za-z0-9])-\\s*\\n\\s*([a-z])', '\\1-\\2', 'g') AS p10
+FROM x""",
+)
+def repairs(spark, d):
+    rows = chunks(spark, d).select("doc_id", "pos", F.replace("content", F.lit(" the "), F.lit(" 4 . 5 GHz ± 2  ")).alias("b"), F.replace("content", F.lit(", "), F.lit("-\n")).alias("h"))
+    return rows.select("doc_id", "pos", T.normalise_chunk(c("h"), F.lit(False)).alias("p06"), T.repair_numbers(c("b")).alias("p07"), T.join_hyphenation(c("h")).alias("p10"))
+
+
+@query("p08_p13_lines")
+def lines(spark, d):
+    marked = F.concat_ws("\n", F.lit("12"), "text", F.lit("7"))
+    return docs(spark, d).select(
+        "doc_id", T.drop_page_number_lines(marked).alias("p08"), T.drop_digit_lines(marked).alias("p09"), T.drop_infix_numbers(F.replace("text", F.lit(", "), F.lit(" 3. "))).alias("p11"),
+        T.break_infix_steps(F.replace("text", F.lit(", "), F.lit(" 3. "))).alias("p12"), T.sanitise_manual(marked).alias("p13"), T.strip_cell_marks(c("text")).alias("p14"),
+    )
+
+
+@query(
+    "p24_p30_forms",
+    f"""WITH {CHUNKS} SELECT doc_id, pos,
+  regexp_replace(regexp_replace(regexp_replace(content, '[ \\t]{{2,}}', ' ', 'g'), '\\s+([.,;:!?])', '\\1', 'g'), '[ \\t]+$', '') AS p24,
+  '[' || source || ' > ' || lang || '] ' || content AS p27,
+  '[Context: ' || source || ' > ' || lang || ']' || chr(10) || '[Heading: ' || source || ']' || chr(10) || '[Modality: image]' || chr(10) || content AS p28,
+  CASE WHEN length(content) > 100 THEN substr(content, 1, 97) || '...' ELSE content END AS p29
+FROM chunks""",
+)
+def forms(spark, d):
+    path = F.array("source", "lang")
+    none = F.lit(None).cast("string")
+    return chunks(spark, d).select(
+        "doc_id", "pos", T.tidy_spaces(c("content")).alias("p24"), T.embedding_text(c("content"), path).alias("p27"),
+        T.contextual_text(c("content"), path, c("source"), none, none, F.lit("image")).alias("p28"), T.truncate_heading(c("content")).alias("p29"),
+    )
+
+
+@query("p23_p30_more")
+def more_forms(spark, d):
+    return chunks(spark, d).select("doc_id", "pos", T.truncate_at_sentence(c("content"), 120).alias("p23"), T.table_markdown(F.replace("content", F.lit(", "), F.lit("  "))).alias("p25"), T.strip_fences(c("content")).alias("p26"), T.section_name(c("content")).alias("p30"))
+
+
+# ---- geometry
+
+_BOXES = "SELECT l_orderkey, l_linenumber, [l_partkey % 900, l_suppkey % 800, l_partkey % 900 + 50 + l_linenumber * 7, l_suppkey % 800 + 40 + l_linenumber * 9] AS a, [l_orderkey % 900, l_partkey % 700, l_orderkey % 900 + 90, l_partkey % 700 + 120] AS b FROM lineitem"
+
+
+def boxes(spark, d):
+    left, top, col, row = c("l_partkey") % 900, c("l_suppkey") % 800, c("l_orderkey") % 900, c("l_partkey") % 700
+    a = F.array(left, top, left + 50 + c("l_linenumber") * 7, top + 40 + c("l_linenumber") * 9)
+    return S.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", a.alias("a"), F.array(col, row, col + 90, row + 120).alias("b"))
+
+
+@query(
+    "g_boxes",
+    f"""WITH x AS ({_BOXES}), y AS (SELECT *, greatest(0, least(a[3], b[3]) - greatest(a[1], b[1])) * greatest(0, least(a[4], b[4]) - greatest(a[2], b[2])) AS i,
+  (a[3] - a[1]) * (a[4] - a[2]) AS s, (b[3] - b[1]) * (b[4] - b[2]) AS t FROM x)
+SELECT l_orderkey, l_linenumber, s AS area, round(s / 1000000.0, 9) AS share, round(i / (s + t - i)::DOUBLE, 9) AS iou, round(i / s::DOUBLE, 9) AS of_a, round(i / t::DOUBLE, 9) AS of_b,
+  least(a[1], b[1]) AS left_, least(a[2], b[2]) AS top_, greatest(a[3], b[3]) AS right_, greatest(a[4], b[4]) AS bottom_,
+  a[3] <= 1000 AND a[4] <= 1000 AS normalised FROM y""",
+)
+def g_boxes(spark, d):
+    u, o = G.union_box(c("a"), c("b")), G.overlap_shares(c("a"), c("b"))
+    return boxes(spark, d).select(
+        "l_orderkey", "l_linenumber", G.area(c("a")).alias("area"), F.round(G.area_share(c("a")), 9).alias("share"), F.round(G.iou(c("a"), c("b")), 9).alias("iou"),
+        F.round(o["of_a"], 9).alias("of_a"), F.round(o["of_b"], 9).alias("of_b"), u[0].alias("left_"), u[1].alias("top_"), u[2].alias("right_"), u[3].alias("bottom_"), G.is_normalised(c("a")).alias("normalised"),
+    )
+
+
+@query(
+    "g_normalise",
+    f"""WITH x AS ({_BOXES}) SELECT l_orderkey, l_linenumber, greatest(0, least(1000, round_even(a[1] / 1200.0::DOUBLE * 1000, 0)))::INT AS left_,
+  greatest(0, least(1000, round_even(a[4] / 1600.0::DOUBLE * 1000, 0)))::INT AS bottom_ FROM x""",
+)
+def g_normalise(spark, d):
+    box = G.normalise(c("a"), F.lit(1200.0), F.lit(1600.0))
+    return boxes(spark, d).select("l_orderkey", "l_linenumber", box[0].alias("left_"), box[3].alias("bottom_"))
+
+
+# ---- predicates and classes
+
+
+@query(
+    "f01_skip_category",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, trim(content, ' ' || chr(9) || chr(13)) AS t FROM chunks)
+SELECT doc_id, pos, CASE WHEN t = '' THEN 'EMPTY' WHEN length(t) < 10 THEN CASE WHEN regexp_matches(t, '^\\d+$') THEN 'PAGE_NUMBER' WHEN length(t) < 2 THEN 'DECORATION' ELSE 'TOO_SHORT' END
+  WHEN regexp_matches(t, '^[\\s\\-_=•·…]+$') THEN 'DECORATION' WHEN regexp_matches(lower(t), '^page\\s*\\d+$|^\\d+\\s*/\\s*\\d+$|^[ivxlcdm]+$|^©\\s*\\d{{4}}') THEN 'NOISE_PATTERN' END AS category FROM x""",
+)
+def skip_category(spark, d):
+    return chunks(spark, d).select("doc_id", "pos", P.skip_category(c("content"), "academic_whitepaper").alias("category"))
+
+
+@query("f02_f29_predicates")
+def predicates(spark, d):
+    x = c("content")
+    named = {
+        "noise": P.is_noise(x), "advertisement": P.is_advertisement(x), "artifacts": P.has_artifacts(x), "corrupt": P.is_corrupt(x), "repeats": P.repeats_first_token(x), "contents_page": P.is_contents_page(x),
+        "code": P.looks_like_code(x), "code_lines": P.code_lines(x), "label": P.is_label(x), "heading": P.is_heading(x), "table": P.is_markdown_table(x), "boilerplate": P.is_boilerplate(x), "soak": P.soak_eligible(x),
+        "blank": P.blank_page(x), "dropped": P.drop_corrupt_chunk(x, F.lit("hybrid")), "subtitle": P.continues_subtitle(x, F.lit("paragraph"), c("source")), "keyword": P.keyword_of(x),
+    }
+    return chunks(spark, d).select("doc_id", "pos", *(v.alias(k) for k, v in named.items()))
+
+
+@query(
+    "f04_f10_sql",
+    f"""WITH {CHUNKS} SELECT doc_id, pos, regexp_matches(content, '/C\\d{{1,3}}|/uni[0-9A-Fa-f]{{4}}|\\\\x[0-9A-Fa-f]{{2}}|\\x{{FFFD}}') OR regexp_matches(content, '—{{6,}}|[CS]{{10,}}') AS artifacts,
+  len(regexp_extract_all(content, '(?i)ISBN|ISSN|©\\s*\\d{{4}}|all rights reserved|printed in|library of congress')) >= 2 AS boilerplate,
+  content LIKE '%the%' AND page_number = 1 AS keyword_hit FROM chunks""",
+)
+def f_sql(spark, d):
+    return chunks(spark, d).select("doc_id", "pos", P.has_artifacts(c("content")).alias("artifacts"), P.is_boilerplate(c("content")).alias("boilerplate"), (c("content").contains("the") & (c("page_number") == 1)).alias("keyword_hit"))
+
+
+@query(
+    "c01_c05_classes",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, content, lower(content) AS l, length(content) AS n FROM chunks)
+SELECT doc_id, pos, CASE WHEN l LIKE '%buy now%' OR l LIKE '%special offer%' OR l LIKE '%discount%' OR l LIKE '%order now%' OR l LIKE '%limited time%' OR l LIKE '%subscribe%' THEN 'advertisement'
+  WHEN (l LIKE '%api%')::INT + (l LIKE '%schema%')::INT + (l LIKE '%algorithm%')::INT + (l LIKE '%function%')::INT + (l LIKE '%class%')::INT + (l LIKE '%module%')::INT + (l LIKE '%pipeline%')::INT
+     + (l LIKE '%configuration%')::INT + (l LIKE '%implementation%')::INT + (l LIKE '%model%')::INT >= 2 THEN 'technical' ELSE 'editorial' END AS c01,
+  CASE WHEN n >= 100 THEN 'digital' WHEN n <= 20 THEN 'scanned' ELSE 'hybrid' END AS c05, CASE WHEN n < 100 THEN 'scanned' ELSE 'digital' END AS c06,
+  CASE WHEN n / 1000.0 >= 0.85 THEN 'high' WHEN n / 1000.0 >= 0.70 THEN 'medium' ELSE 'low' END AS c04, greatest(1, n // 4)::BIGINT AS tokens FROM x""",
+)
+def classes(spark, d):
+    n = F.char_length("content")
+    return chunks(spark, d).select("doc_id", "pos", C.text_class(c("content")).alias("c01"), C.page_class(n).alias("c05"), C.page_class_batch(n).alias("c06"), C.confidence_level(n / 1000).alias("c04"), C.tokens_plain(c("content")).alias("tokens"))
+
+
+@query(
+    "c10_text_confidence",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, content AS t, length(trim(content))::DOUBLE AS n FROM chunks)
+SELECT doc_id, pos, (CASE WHEN n = 0 THEN 0.1 WHEN n < 5 THEN 0.3 WHEN len(regexp_extract_all(t, '[@#$%^&*()_+=\\[\\]{{}}|\\\\<>~`]')) / n > 0.3 THEN 0.2 WHEN len(regexp_extract_all(t, '[@#$%^&*()_+=\\[\\]{{}}|\\\\<>~`]')) / n > 0.15 THEN 0.5
+  WHEN len(regexp_extract_all(t, '[ \\n\\t]')) / n > 0.5 THEN 0.6 WHEN len(regexp_extract_all(t, '[\\pL\\pN]')) / n < 0.3 THEN 0.4 WHEN len(regexp_extract_all(t, '[\\pL\\pN]')) / n < 0.5 THEN 0.6
+  WHEN n > 500 THEN 0.95 WHEN n > 200 THEN 0.85 WHEN n > 50 THEN 0.75 ELSE 0.65 END)::DOUBLE AS confidence FROM x""",
+)
+def text_confidence(spark, d):
+    return chunks(spark, d).select("doc_id", "pos", C.text_confidence(c("content")).alias("confidence"))
+
+
+@query("c11_c26_scores")
+def scores(spark, d):
+    x = c("content")
+    n = F.char_length(x)
+    return chunks(spark, d).select(
+        "doc_id", "pos", C.recognition_artifacts(x).alias("artifacts"), C.noise_level(x, n / 5000).alias("noise"), C.recovery_class(x).alias("recovery_class"), C.tier(C.text_confidence(x)).alias("tier"),
+        C.vision_status(x).alias("vision_status"), C.min_dimension(n / 1000).alias("min_dimension"), C.search_priority(F.lit("text"), F.lit("literature"), c("page_number"), F.lit(2), F.lit(False)).alias("priority"),
+    )
+
+
+@query("z_refine")
+def refine(spark, d):
+    x = c("content")
+    return chunks(spark, d).select("doc_id", "pos", F.round(C.corruption_score(x), 6).alias("z1"), F.round(C.disorder_score(F.replace(x, F.lit(". "), F.lit("\n"))), 6).alias("z2"), C.protected_tokens(x).alias("z3"), C.edit_allowed(x, T.tidy_spaces(x)).alias("z4"), C.refine_route(x).alias("z5"))
+
+
+# ---- chunkers
+
+
+def _exploded(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", F.posexplode("chunks").alias("part", "chunk"))
+
+
+@query("x02_sentence_chunks")
+def x02(spark, d):
+    return _exploded(X.sentence_chunks(docs(spark, d).select("doc_id", "text")))
+
+
+@query("x03_word_chunks")
+def x03(spark, d):
+    return _exploded(X.word_chunks(docs(spark, d).select("doc_id", "text"), most=1200))
+
+
+@query("x07_mapper_chunks")
+def x07(spark, d):
+    return _exploded(X.mapper_chunks(docs(spark, d).select("doc_id", "text")))
+
+
+@query("x10_line_chunks")
+def x10(spark, d):
+    return _exploded(X.line_chunks(docs(spark, d).select("doc_id", "text")))
+
+
+@query("x11_token_chunks")
+def x11(spark, d):
+    return _exploded(X.token_chunks(docs(spark, d).select("doc_id", "text")))
+
+
+@query("x13_index_chunks")
+def x13(spark, d):
+    return _exploded(X.index_chunks(docs(spark, d).select("doc_id", "text")))
+
+
+@query("x18_sentences", "SELECT doc_id, len(list_filter(list_transform(string_split_regex(replace(text, chr(10), ' . '), '[.!?]\\s+'), lambda x: trim(x)), lambda x: x <> ''))::INT AS n FROM documents")
+def x18(spark, d):
+    return docs(spark, d).select("doc_id", F.size(X.sentences(c("text"))).alias("n"))
+
+
+@query("x19_overlap", "SELECT doc_id, least(60, floor(length(text) * 0.25)::INT)::INT AS overlap FROM documents")
+def x19(spark, d):
+    return docs(spark, d).select("doc_id", X.overlap_size(F.lit(60), F.char_length("text")).alias("overlap"))
+
+
+@query("x15_uncovered_pages", f"WITH {CHUNKS} SELECT doc_id, page_number FROM chunks GROUP BY ALL EXCEPT SELECT doc_id, page_number FROM chunks WHERE length(content) > 200")
+def x15(spark, d):
+    rows = chunks(spark, d)
+    pages = rows.select("doc_id", "page_number").distinct()
+    return pages.join(rows.filter(F.char_length("content") > 200).select("doc_id", "page_number").distinct(), ["doc_id", "page_number"], "left_anti")
+
+
+# ---- order
+
+
+@query(
+    "w01_w03_neighbours",
+    f"""WITH {CHUNKS} SELECT doc_id, pos, right(lag(content) OVER w, 300) AS prev_snippet, left(lead(content) OVER w, 300) AS next_snippet,
+  last_value(CASE WHEN length(content) < 60 THEN content END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS parent_heading FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY pos)""",
+)
+def neighbours(spark, d):
+    rows = W.carry_heading(W.with_snippets(chunks(spark, d)), F.when(F.char_length("content") < 60, c("content")))
+    return rows.select("doc_id", "pos", "prev_snippet", "next_snippet", "parent_heading")
+
+
+_LEVEL = "CASE WHEN length(content) < 120 THEN length(content) % 4 + 1 END"
+
+
+@query(
+    "w08_breadcrumbs",
+    f"""WITH {CHUNKS}, l AS (SELECT doc_id, pos, left(content, 20) AS h, {_LEVEL} AS lv FROM chunks),
+o AS (SELECT doc_id, pos, {', '.join(f"last_value(CASE WHEN lv = {k} THEN h WHEN lv < {k} THEN '~~' END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS e{k}" for k in range(1, 6))} FROM l)
+SELECT doc_id, pos, array_to_string(list_filter([e1, e2, e3, e4, e5], lambda x: x IS NOT NULL AND x <> '~~'), ' > ') AS path FROM o""",
+)
+def w08(spark, d):
+    level = F.when(F.char_length("content") < 120, F.char_length("content") % 4 + 1)
+    rows = W.breadcrumbs(chunks(spark, d), level, F.substring("content", 1, 20))
+    return rows.select("doc_id", "pos", F.array_join("breadcrumb", " > ").alias("path"))
+
+
+@query(
+    "w05_page_heading",
+    f"""WITH {CHUNKS}, f AS (SELECT doc_id, pos, page_number, first_value(CASE WHEN length(content) < 40 THEN content END IGNORE NULLS) OVER (PARTITION BY doc_id, page_number ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS p FROM chunks)
+SELECT doc_id, pos, coalesce(p, last_value(p IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)) AS page_heading FROM f""",
+)
+def w05(spark, d):
+    return W.page_context(chunks(spark, d), F.when(F.char_length("content") < 40, c("content"))).select("doc_id", "pos", "page_heading")
+
+
+@query(
+    "w09_w15_order",
+    f"""WITH {CHUNKS} SELECT doc_id, pos, length(content) < 30 AND coalesce(lead(page_number) OVER w = page_number + 1, false) AS split_label, row_number() OVER w AS position,
+  coalesce(page_number < min(CASE WHEN length(content) < 30 THEN page_number END) OVER (PARTITION BY doc_id), false) AS front FROM chunks WINDOW w AS (PARTITION BY doc_id ORDER BY pos)""",
+)
+def w_order(spark, d):
+    short = F.char_length("content") < 30
+    rows = W.front_matter(W.positions(W.cross_page_labels(chunks(spark, d), short), "pos"), short)
+    return rows.select("doc_id", "pos", "split_label", "position", "front")
+
+
+@query("w09_orphan_labels")
+def orphans(spark, d):
+    return W.orphan_labels(chunks(spark, d), P.is_label(c("content"))).select("doc_id", "pos", "orphan")
+
+
+@query("m04_sentence_merge")
+def m04(spark, d):
+    return W.merge_sentences(chunks(spark, d))
+
+
+@query("m05_prepositions")
+def m05(spark, d):
+    return W.move_prepositions(chunks(spark, d)).select("doc_id", "pos", "content")
+
+
+@query("m07_overlap_trim")
+def m07(spark, d):
+    return W.trim_overlap(chunks(spark, d))
+
+
+# ---- repetition
+
+
+@query("d03_page_repeats", f"WITH {CHUNKS} SELECT doc_id, page_number, min(pos) AS pos FROM chunks GROUP BY doc_id, page_number, content")
+def d03(spark, d):
+    return D.first_on_page(chunks(spark, d)).select("doc_id", "page_number", "pos")
+
+
+_WORDS = "list_sort(list_distinct(regexp_extract_all(lower(content), '[a-z]{3,}')))"
+
+
+@query(
+    "d01_subset_pairs",
+    f"""WITH {CHUNKS}, w AS (SELECT doc_id, page_number, pos, {_WORDS} AS w FROM chunks), v AS (SELECT * FROM w WHERE len(w) > 0)
+SELECT a.doc_id, a.page_number, a.pos AS pos_a, b.pos AS pos_b, CASE WHEN len(a.w) < len(b.w) THEN a.pos ELSE b.pos END AS drop_pos
+FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.page_number = b.page_number AND a.pos < b.pos WHERE len(list_intersect(a.w, b.w)) / least(len(a.w), len(b.w)) > 0.80""",
+)
+def d01(spark, d):
+    return D.subset_pairs(chunks(spark, d))
+
+
+@query("d01_subsets_dropped")
+def d01b(spark, d):
+    return D.drop_subsets(chunks(spark, d)).select("doc_id", "page_number", "pos")
+
+
+@query("d02_near_repeats")
+def d02(spark, d):
+    return D.drop_near_repeats(chunks(spark, d)).select("doc_id", "page_number", "pos")
+
+
+@query(
+    "d04_similar_hashes",
+    "WITH h AS (SELECT vec_id AS image_id, list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS phash FROM embeddings) "
+    "SELECT a.image_id AS id_a, b.image_id AS id_b, bit_count(xor(a.phash, b.phash))::INT AS distance FROM h a JOIN h b ON a.image_id < b.image_id WHERE bit_count(xor(a.phash, b.phash)) <= 4",
+)
+def d04(spark, d):
+    bits = F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"), lambda s, i: s + F.when(F.get("embedding", i) > 0, F.expr("1L") * F.pow(F.lit(2.0), i).cast("long")).otherwise(F.lit(0).cast("long")))
+    return D.similar_hashes(S.table(spark, d, "embeddings").select(c("vec_id").alias("image_id"), bits.alias("phash")), 4)
+
+
+@query(
+    "d07_long_repeats",
+    f"""WITH {CHUNKS}, t AS (SELECT doc_id, page_number, trim(regexp_replace(content, '\\s+', ' ', 'g')) AS t FROM chunks)
+SELECT doc_id, page_number, md5(t) AS text_md5, count(*) - 1 AS excess FROM t WHERE length(t) >= 120 GROUP BY ALL HAVING count(*) > 1""",
+)
+def d07(spark, d):
+    return D.repeated_long_texts(chunks(spark, d))
+
+
+# ---- rollups
+
+
+@query("a01_filter_summary")
+def a01(spark, d):
+    return A.filter_summary(chunks(spark, d), P.skip_category(c("content"), "academic_whitepaper"))
+
+
+@query(
+    "a02_token_balance",
+    f"""WITH {CHUNKS}, s AS (SELECT doc_id, greatest(1, length(text) // 4) AS source_tokens FROM documents),
+k AS (SELECT doc_id, sum(greatest(1, length(content) // 4)) AS chunk_tokens, coalesce(sum(greatest(1, length(content) // 4)) FILTER (length(content) < 10), 0) AS filtered_tokens FROM chunks GROUP BY doc_id),
+v AS (SELECT doc_id, source_tokens, chunk_tokens, filtered_tokens, greatest(0, source_tokens - filtered_tokens) AS adj, CASE WHEN chunk_tokens < source_tokens THEN 0 ELSE floor(source_tokens * 0.15) END AS ov FROM s JOIN k USING (doc_id))
+SELECT doc_id, round(CASE WHEN adj = 0 THEN 0 ELSE (chunk_tokens - ov - adj) / adj::DOUBLE END, 6) AS variance,
+  CASE WHEN source_tokens = 0 THEN true ELSE (CASE WHEN adj = 0 THEN 0 ELSE (chunk_tokens - ov - adj) / adj::DOUBLE END) BETWEEN -0.10 AND 0.10 AND filtered_tokens / source_tokens::DOUBLE <= 0.10 END AS valid FROM v""",
+)
+def a02(spark, d):
+    source = docs(spark, d).select("doc_id", C.tokens_plain(c("text")).alias("source_tokens"))
+    t = C.tokens_plain(c("content"))
+    rows = chunks(spark, d).groupBy("doc_id").agg(F.sum(t).alias("chunk_tokens"), F.coalesce(F.sum(F.when(F.char_length("content") < 10, t)), F.lit(0)).alias("filtered_tokens"))
+    return A.token_balance(source.join(rows, "doc_id")).select("doc_id", F.round("variance", 6).alias("variance"), "valid")
+
+
+@query(
+    "a05_batch_shortfall",
+    f"""WITH {CHUNKS}, s AS (SELECT doc_id, page_number, sum(length(content)) AS sc, coalesce(sum(length(content)) FILTER (pos % 3 <> 1), 0) AS cc FROM chunks GROUP BY ALL)
+SELECT doc_id, ((page_number - 1) // 2)::BIGINT AS batch, sum(sc)::BIGINT AS source_chars, sum(cc)::BIGINT AS chunk_chars, count(*) FILTER (sc >= 100 AND cc < 50) AS missing_pages,
+  round((sum(sc) - sum(cc)) / sum(sc)::DOUBLE, 6) AS variance FROM s GROUP BY ALL HAVING sum(sc) >= 500 AND ((sum(sc) - sum(cc)) / sum(sc)::DOUBLE >= 0.30 OR count(*) FILTER (sc >= 100 AND cc < 50) >= 2)""",
+)
+def a05(spark, d):
+    rows = chunks(spark, d)
+    source = rows.groupBy("doc_id", "page_number").agg(F.sum(F.char_length("content")).alias("source_chars"))
+    batches = source.select("doc_id", F.floor((c("page_number") - 1) / 2).alias("batch")).distinct().select("doc_id", "batch", (c("batch") * 2 + 1).alias("start_page"), (c("batch") * 2 + 2).alias("end_page"))
+    return A.batch_shortfall(source, rows.filter("pos % 3 <> 1"), batches).withColumn("variance", F.round("variance", 6))
+
+
+@query("a06_text_per_page", f"WITH {CHUNKS}, p AS (SELECT doc_id, page_number, sum(length(content)) AS n FROM chunks GROUP BY ALL) SELECT doc_id, round(avg(n), 6) AS avg_text_per_page, count(*) AS n_pages FROM p GROUP BY doc_id")
+def a06(spark, d):
+    return A.text_per_page(chunks(spark, d)).withColumn("avg_text_per_page", F.round("avg_text_per_page", 6))
+
+
+@query(
+    "a12_audit",
+    f"""WITH {CHUNKS} SELECT lang, count(*) AS n_chunks, sum(length(content))::BIGINT AS chars, max(length(content))::INT AS longest, count(*) FILTER (trim(content) = '') AS empty,
+  count(*) FILTER (content LIKE '%|%') AS piped, sum(greatest(1, length(content) // 4))::BIGINT AS tokens FROM chunks GROUP BY lang""",
+)
+def a12(spark, d):
+    return A.conversion_audit(chunks(spark, d)).select("lang", "n_chunks", "chars", "longest", "empty", "piped", "tokens")
+
+
+@query(
+    "a15_page_outliers",
+    f"""WITH {CHUNKS}, p AS (SELECT doc_id, page_number, count(*) AS n_chunks, sum(length(content))::BIGINT AS chars FROM chunks GROUP BY ALL),
+m AS (SELECT doc_id, greatest(30, floor(median(n_chunks) * 8)) AS mc, greatest(50000, floor(median(chars) * 12)) AS mt FROM p GROUP BY doc_id) SELECT doc_id, page_number, n_chunks, chars FROM p JOIN m USING (doc_id) WHERE n_chunks > mc OR chars > mt""",
+)
+def a15(spark, d):
+    return A.page_outliers(chunks(spark, d))
+
+
+@query("a16_collection", f"WITH {CHUNKS} SELECT source, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM chunks), 6) AS percent, median(length(content)) AS median_chars, round(avg(length(content)), 6) AS mean_chars FROM chunks GROUP BY source")
+def a16(spark, d):
+    return A.collection_stats(chunks(spark, d)).withColumns({"percent": F.round("percent", 6), "mean_chars": F.round("mean_chars", 6)})
+
+
+@query("a20_percentiles", "SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.99), 6) AS p99, count(*) AS n FROM events GROUP BY event_type")
+def a20(spark, d):
+    return S.table(spark, d, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.99), 6).alias("p99"), F.count("*").alias("n"))
+
+
+@query(
+    "a10_bbox_stats",
+    f"""WITH x AS ({_BOXES}), y AS (SELECT l_linenumber::VARCHAR AS modality, a, (a[3] - a[1]) * (a[4] - a[2]) AS s FROM x) SELECT modality, count(*) AS total, count(a) AS with_bbox, 0::BIGINT AS missing,
+  count(*) FILTER (a[3] > 1000 OR a[4] > 1000) AS invalid, min(a[1]) AS min_x, max(a[3]) AS max_x, min(a[2]) AS min_y, max(a[4]) AS max_y, min(s) AS min_area, round(avg(s), 6) AS avg_area, max(s) AS max_area FROM y GROUP BY modality""",
+)
+def a10(spark, d):
+    return A.bbox_stats(boxes(spark, d).select(c("l_linenumber").cast("string").alias("modality"), c("a").alias("bbox"))).withColumn("avg_area", F.round("avg_area", 6))
+
+
+# ---- retrieval
+
+
+@query(
+    "r01_dense_top_k",
+    """WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
+s AS (SELECT query_id, vec_id, round(list_cosine_similarity(e::DOUBLE[], embedding::DOUBLE[]), 6) AS score FROM q, embeddings),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, rank, score FROM r WHERE rank <= 5""",
+)
+def r01(spark, d):
+    vectors = S.table(spark, d, "embeddings")
+    asked = vectors.filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"), "embedding")
+    return V.dense_search(vectors, asked, 5).select("query_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query(
+    "r03_sparse_vectors",
+    """WITH t AS (SELECT doc_id, unnest(string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS token FROM documents), k AS (SELECT doc_id, token, count(*) AS tf FROM t WHERE token <> '' GROUP BY ALL)
+SELECT doc_id, count(*) AS terms, round(sum(tf) / sqrt(sum(tf * tf)), 6) AS weight FROM k GROUP BY doc_id""",
+)
+def r03(spark, d):
+    return V.sparse_vectors(docs(spark, d)).groupBy("doc_id").agg(F.count("*").alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
+
+
+def _hybrid(spark, d):
+    index = V.sparse_vectors(docs(spark, d))
+    asked = V.sparse_vectors(S.table(spark, d, "benchmark").select(c("item_id").alias("doc_id"), "text")).withColumnRenamed("doc_id", "query_id")
+    return index, asked
+
+
+@query("r02_hybrid")
+def r02(spark, d):
+    index, asked = _hybrid(spark, d)
+    one = V.sparse_search(index, asked, 10)
+    two = V.sparse_search(index.filter(F.char_length("token") > 4), asked, 10)
+    return V.fuse_ranks(one, two, "doc_id", 5).select("query_id", "doc_id", F.round("score", 9).alias("score"), "rank")
+
+
+@query(
+    "r07_context_budget",
+    """WITH t AS (SELECT conv_id, turn, sum(greatest(1, length(text) // 4)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS spent FROM conversations WHERE text IS NOT NULL) SELECT conv_id, turn, spent::BIGINT AS spent FROM t WHERE spent <= 200""",
+)
+def r07(spark, d):
+    turns = S.table(spark, d, "conversations").filter("text IS NOT NULL").select(c("conv_id").alias("query_id"), c("turn").alias("rank"), c("text").alias("content"))
+    return V.within_budget(turns, 200).select(c("query_id").alias("conv_id"), c("rank").alias("turn"), "spent")
+
+
+@query("r13_stratified", "WITH o AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('s1:' || doc_id)) AS n FROM documents) SELECT source, doc_id FROM o WHERE n <= 3")
+def r13(spark, d):
+    return V.stratified(docs(spark, d), "source", "doc_id", 3, "s1")
+
+
+# ---- gates
+
+
+@query(
+    "q03_missing_pages",
+    f"""WITH {CHUNKS}, g AS (SELECT doc_id, page_number FROM chunks GROUP BY doc_id, page_number HAVING sum(length(content)) <= 150)
+SELECT doc_id, CASE WHEN count(*) > 1 THEN 'FAIL' ELSE 'WARN' END AS severity, 'PAGE_MISSING' AS code, count(*) AS n FROM g GROUP BY doc_id""",
+)
+def q03(spark, d):
+    rows = chunks(spark, d)
+    pages = rows.groupBy("doc_id", "page_number").agg(F.sum(F.char_length("content")).alias("n"))
+    return Q.missing_pages(pages.filter("n > 150"), rows.groupBy("doc_id").agg(F.max("page_number").alias("total_pages")))
+
+
+@query(
+    "q02_invariants",
+    f"""WITH {CHUNKS}, e AS (SELECT doc_id, count(*) FILTER (trim(content) = '') AS n FROM chunks GROUP BY doc_id),
+x AS (SELECT doc_id, count(*) - 1 AS n FROM chunks WHERE trim(content) <> '' GROUP BY doc_id, page_number, trim(content)),
+a AS (SELECT doc_id, count(*) AS n FROM chunks WHERE regexp_matches(content, '/C\\d{{1,3}}|/uni[0-9A-Fa-f]{{4}}|\\\\x[0-9A-Fa-f]{{2}}|\\x{{FFFD}}|—{{6,}}|[CS]{{10,}}') GROUP BY doc_id)
+SELECT doc_id, 'FAIL' AS severity, 'EMPTY_TEXT' AS code, n FROM e WHERE n > 0 UNION ALL SELECT doc_id, 'FAIL', 'REPEATED_TEXT', sum(n)::BIGINT FROM x GROUP BY doc_id HAVING sum(n) > 0
+UNION ALL SELECT doc_id, 'WARN', 'ENCODING_ARTIFACTS', n FROM a""",
+)
+def q02(spark, d):
+    return Q.invariants(chunks(spark, d))
+
+
+@query("q01_verdicts")
+def q01(spark, d):
+    return Q.verdicts(Q.invariants(chunks(spark, d)), docs(spark, d))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").count()
+    """The audit of all chunks by language."""
+    return A.conversion_audit(chunks(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return dict(_ORACLES)
