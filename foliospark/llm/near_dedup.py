@@ -21,7 +21,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import flag_members, heavy_bar, materialize, read_table
@@ -41,6 +41,8 @@ REMEMBERED = 300_000
 KEYS_PER_TASK = 500_000
 #: Bytes of text for a key, roughly.
 BYTES_PER_KEY = 10
+#: Members of each undecided group that all others are compared with, before the rest is compared across components.
+HUBS = 3
 #: Bit sketches have at least so many words of 64 bits, and twice as many bits as shingles.
 LEAST_SKETCH = 4
 
@@ -391,6 +393,20 @@ def _relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
+def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of groups of three or more that have more than one label."""
+    labelled = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    several = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("n")).filter("l <> m AND n > 2")
+    return labelled.join(several.select("key"), "key", "left_semi")
+
+
+def _compare(pairs: DataFrame, tested: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of pairs not tested yet, those verified by their texts, and those that sizes and sketches rule out."""
+    fresh = pairs.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    told = materialize(_with_sets(fresh, classes).select("a", "b", plausible("n_a", "n_b", "sketch_a", "sketch_b").alias("may")), "near-told")
+    return verified(told.filter("may"), classes, docs), told.filter("NOT may").select("a", "b", F.lit(False).alias("ok"))
+
+
 def _labels(edges: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """cid and label of all classes that link with another."""
     shared = edges.groupBy("a", "b").agg(F.sum(F.size("keys")).alias("shared"))
@@ -411,19 +427,25 @@ def _labels(edges: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     failed = told.filter("NOT may").select("a", "b").union(tested.filter("NOT ok").select("a", "b"))
     bad = edges.join(failed, ["a", "b"], "left_semi").select(F.explode("keys").alias("key")).distinct()
     members = edges.select(F.explode("keys").alias("key"), F.array("a", "b").alias("ab")).join(bad, "key", "left_semi").select("key", F.explode("ab").alias("cid")).distinct()
-    members = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    members = materialize(members, "near-members")
-    groups = members.groupBy("key", "label").agg(F.count("*").alias("m"))
-    several = groups.groupBy("key").agg(F.count("*").alias("labels"), F.sum("m").alias("all")).filter("labels > 1 AND all > 2").select("key")
-    left = members.join(several, "key", "left_semi")
+    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.coalesce("links", F.lit(0))), "cid"))
+    members = materialize(members.join(degree, "cid", "left").select("key", "cid", place.alias("place")), "near-members")
+    for hub in range(1, HUBS + 1):  # the member with the most links joins most of its group, which leaves little to compare
+        left = _undecided(members, labels)
+        at_hub = left.filter(F.col("place") == hub).select("key", F.col("cid").alias("h"), F.col("label").alias("label_h"))
+        met = left.join(at_hub, "key").filter("label <> label_h").select(F.least("cid", "h").alias("a"), F.greatest("cid", "h").alias("b")).distinct()
+        more, no = _compare(met, tested, classes, docs)
+        links = links.union(more.filter("ok").select("a", "b"))
+        tested = tested.union(more).union(no)
+        labels = components(links)
+    left = _undecided(members, labels)
     # a group's members of one component meet those of another; sizes and sketches are compared within the join
     sets = classes.select("cid", "n", "sketch")
     side = left.join(sets, "cid")
     one, two = (side.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("cid", "label", "n", "sketch"))) for s in "ab")
     crossed = one.join(two, (one["key"] == two["key"]) & (F.col("label_a") < F.col("label_b")) & plausible("n_a", "n_b", "sketch_a", "sketch_b"))
     pairs = crossed.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
-    pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    last = verified(materialize(pairs, "near-crossed"), classes, docs)
+    last, _ = _compare(pairs, tested, classes, docs)
     links = links.union(last.filter("ok").select("a", "b"))
     return components(links)
 
