@@ -20,9 +20,8 @@ TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 #: Share of all tokens that is drawn.
 BUDGET = 0.6
 #: Raking ends when no margin is further from its target than this share of it, or after so many rounds.
-TOLERANCE = 1e-6
-ROUNDS = 24
-ROUNDS_AT_ONCE = 3
+TOLERANCE = 1e-5
+ROUNDS = 30
 SEED = "mix-1"
 #: More cells than this are joined by shuffle and not broadcast; a cell has under 200 bytes.
 BROADCAST_CELLS = 50_000
@@ -75,28 +74,35 @@ def _json(values: dict[str, float]) -> str:
     return json.dumps(values)
 
 
+def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
+    """The cells with __weight: their tokens times the factors of their values; 0 for values without a factor."""
+    weight = F.col("__base").cast("double")
+    for m in MARGINS:
+        cells = cells.join(factors[m], f"__{m}", "left")
+        weight = weight * F.coalesce(F.col(f"__f_{m}"), F.lit(0.0))
+    return cells.withColumn("__weight", weight)
+
+
 def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None] | None = None) -> DataFrame:
     """The cells with __weight, raked so that each margin's shares are its targets; the total stays that of the tokens.
 
-    Cells without tokens, or of values whose target is none, weigh 0.
+    Each step sums the weights of one margin and replaces the factors of its values; these small tables are all that is
+    kept between steps. Cells without tokens, or of values whose target is none, weigh 0.
     """
-    goals = {m: targets_of(cells, m, (targets or {}).get(m)) for m in MARGINS}
+    goals = {m: materialize(targets_of(cells, m, (targets or {}).get(m)), "mix-goals") for m in MARGINS}
     total = float(cells.agg(F.sum("__base")).first()[0] or 0)
-    now = cells.withColumn("__weight", F.col("__base").cast("double"))
-    for m in MARGINS:
-        now = now.join(goals[m], f"__{m}", "left")
-    now = now.withColumn("__weight", F.when(F.greatest(*(F.col(f"__goal_{m}").isNull().cast("int") for m in MARGINS)) == 1, 0.0).otherwise(F.col("__weight")))
-    now = materialize(now, "mix-raked")
-    for _ in range(0, ROUNDS, ROUNDS_AT_ONCE):
-        for m in MARGINS * ROUNDS_AT_ONCE:
-            sums = now.groupBy(f"__{m}").agg(F.sum("__weight").alias("__sum"))
-            ratio = F.when(F.col("__sum") > 0, F.col(f"__goal_{m}") * total / F.col("__sum")).otherwise(0.0)
-            now = now.join(sums, f"__{m}").withColumn("__weight", F.col("__weight") * F.coalesce(ratio, F.lit(0.0))).drop("__sum")
-        now = materialize(now, "mix-raked")
-        gaps = [now.groupBy(f"__{m}").agg((F.sum("__weight") / F.lit(total or 1.0)).alias("s"), F.first(f"__goal_{m}").alias("g")).agg(F.max(F.abs(F.col("s") / F.col("g") - 1))) for m in MARGINS]
-        if all((g.first()[0] or 0.0) <= TOLERANCE for g in gaps):
+    factors = {m: goals[m].select(f"__{m}", F.lit(1.0).alias(f"__f_{m}")) for m in MARGINS}
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for m in MARGINS:
+            sums = _weighted(cells, factors).groupBy(f"__{m}").agg(F.sum("__weight").alias("__sum"), F.first(f"__f_{m}").alias("__old"))
+            ratio = F.col(f"__goal_{m}") * total / F.col("__sum")
+            step = materialize(sums.filter("__sum > 0").join(goals[m], f"__{m}").select(f"__{m}", (ratio * F.col("__old")).alias(f"__f_{m}"), F.abs(ratio - 1).alias("__gap")), "mix-factors")
+            worst = max(worst, step.agg(F.max("__gap")).first()[0] or 0.0)
+            factors[m] = step.drop("__gap")
+        if worst <= TOLERANCE:
             break
-    return now
+    return materialize(_weighted(cells, factors), "mix-raked")
 
 
 def scale_to_budget(raked: DataFrame, budget: float) -> float:

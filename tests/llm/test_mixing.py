@@ -27,7 +27,7 @@ def brute_rake(cells, goals):
 
 
 def test_raking_by_brute_force(spark):
-    cells = M.cells_of(M.keyed(docs_of(spark)))
+    cells = M.cells_of(M.keyed(docs_of(spark).filter("doc_id <> 902")))
     goals = {m: {r[0]: r[1] for r in M.targets_of(cells, m, None).collect()} for m in M.MARGINS}
     assert all(abs(sum(g.values()) - 1) < 1e-9 for g in goals.values())
     got = sorted(M.rake(cells).collect(), key=str)
