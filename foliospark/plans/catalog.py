@@ -20,6 +20,8 @@ from ..operators import relations as R
 from ..operators import retrieval as V
 from ..operators import windows as W
 from ..sources import readers as S
+from ..sources import sinks as K
+from . import pipeline as L
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
@@ -614,6 +616,22 @@ def q01(spark, d):
     return Q.verdicts(Q.invariants(chunks(spark, d)), docs(spark, d))
 
 
+@query("k_export", f"""WITH {CHUNKS} SELECT doc_id, count(*) AS chunk_count, max(page_number) AS total_pages, 'ingestion_metadata' AS object_type, '2.7.0' AS schema_version FROM chunks GROUP BY doc_id""")
+def k_export(spark, d):
+    return K.headers(chunks(spark, d))
+
+
+@query("k_points")
+def k_points(spark, d):
+    rows = chunks(spark, d).withColumns({"chunk_id": F.concat_ws("_", "doc_id", "pos"), "modality": F.lit("text"), "refined_content": F.lit(None).cast("string"), "source_file": c("source")})
+    return K.last_by_id(K.payload(rows), c("page_number"))
+
+
+@query("pipeline_clean_chunks")
+def clean(spark, d):
+    return L.clean_chunks(docs(spark, d)).select("doc_id", "page_number", "pos", "chunk_id", "content", "parent_heading", "lang")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit of all chunks by language."""
     return A.conversion_audit(chunks(spark, sf_dir))
