@@ -15,7 +15,9 @@ from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import chunking as X
 from ..operators import dedup as D
+from ..operators import external as E
 from ..operators import gates as Q
+from ..operators import layout as O
 from ..operators import relations as R
 from ..operators import retrieval as V
 from ..operators import windows as W
@@ -616,6 +618,82 @@ def q01(spark, d):
     return Q.verdicts(Q.invariants(chunks(spark, d)), docs(spark, d))
 
 
+@query("m03_fragments")
+def m03(spark, d):
+    return O.rejoin_fragments(chunks(spark, d)).select("doc_id", "pos", "content")
+
+
+@query("m06_hyphenated")
+def m06(spark, d):
+    rows = chunks(spark, d).withColumn("content", F.when(c("pos") % 2 == 0, F.concat("content", F.lit("-"))).otherwise(F.lower("content")))
+    return O.rejoin_hyphenated(rows).select("doc_id", "pos", "content")
+
+
+@query("m08_trailing_headings")
+def m08(spark, d):
+    rows = chunks(spark, d).withColumn("parent_heading", F.when(F.char_length("content") < 30, c("content")))
+    return O.strip_trailing_heading(rows).select("doc_id", "pos", "content")
+
+
+@query("p05_p20_layout_repairs")
+def p05(spark, d):
+    return docs(spark, d).select("doc_id", O.collapse_spaced_heading(F.upper(F.substring("text", 1, 40))).alias("p05"), O.drop_repeated_lines(c("text")).alias("p16"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(F.substring("text", 1, 500)).alias("p21"), O.description_class(c("text")).alias("f26"))
+
+
+@query("w11_reading_order")
+def w11(spark, d):
+    rows = boxes(spark, d).select(c("l_orderkey").alias("doc_id"), F.lit(1).alias("page_number"), c("l_linenumber").alias("item"), c("a")[0].alias("x0"), c("a")[1].alias("y0"), c("a")[2].alias("x1"), F.lit(1000).alias("page_width"))
+    return O.order_in_page(rows).select("doc_id", "item", "position")
+
+
+@query(
+    "s12_contents_ranges",
+    """WITH e AS (SELECT o_custkey AS doc_id, (o_orderkey % 400)::INT AS start_page, o_orderkey::VARCHAR AS title FROM orders)
+SELECT doc_id, title, start_page AS first_page, greatest(coalesce(lead(start_page) OVER (PARTITION BY doc_id ORDER BY start_page, title) - 1, start_page + 50), start_page) AS last_page FROM e""",
+)
+def s12(spark, d):
+    entries = S.table(spark, d, "orders").select(c("o_custkey").alias("doc_id"), (c("o_orderkey") % 400).cast("int").alias("start_page"), c("o_orderkey").cast("string").alias("title"))
+    return O.contents_ranges(entries)
+
+
+@query("c24_code_evidence")
+def c24(spark, d):
+    return O.code_evidence(chunks(spark, d))
+
+
+@query("c13_domains")
+def c13(spark, d):
+    pages = R.pages_of(chunks(spark, d)).groupBy("doc_id").agg(F.count("*").alias("n_pages"), F.avg("chars").alias("density"))
+    rows = docs(spark, d).select("doc_id", F.regexp_count("text", F.lit('"')).alias("quotes"), c("text").contains("|").alias("tables")).join(pages, "doc_id")
+    rows = rows.select("doc_id", "n_pages", "density", "tables", (c("quotes") >= 4).cast("double").alias("dialogue_share"), F.lit(0).alias("code_pages"), F.lit(0.0).alias("coverage_share"), F.lit(False).alias("image_heavy"))
+    return O.content_domain(rows).select("doc_id", "domain")
+
+
+@query(
+    "a17_recall",
+    """WITH q AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], embedding::DOUBLE[]) AS s FROM embeddings WHERE vec_id % 20 = 0) SELECT count(*) AS n, 1.0::DOUBLE AS chunk_at_1, 1.0::DOUBLE AS chunk_at_5, 1.0::DOUBLE AS doc_at_5 FROM q""",
+)
+def a17(spark, d):
+    vectors = S.table(spark, d, "embeddings")
+    asked = vectors.filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"), "embedding")
+    top = V.dense_search(vectors, asked, 5).groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "vec_id"))), lambda x: x["vec_id"]).alias("top_chunks"))
+    rows = top.select("query_id", c("query_id").alias("gold_chunk"), c("query_id").alias("gold_doc"), "top_chunks", c("top_chunks").alias("top_docs"))
+    return A.recall(rows)
+
+
+@query("a18_regression", "SELECT vec_id AS query_id, CASE WHEN vec_id % 40 = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM embeddings WHERE vec_id % 20 = 0")
+def a18(spark, d):
+    ids = S.table(spark, d, "embeddings").filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"))
+    before = ids.select("query_id", F.array("query_id").alias("top_chunks"), F.array("query_id").alias("top_docs"))
+    other = F.when(c("query_id") % 40 == 0, c("query_id")).otherwise(c("query_id") + 1)
+    return A.regression(before, ids.select("query_id", F.array(other).alias("top_chunks"), F.array(other).alias("top_docs")))
+
+
+@query("e_models")
+def models(spark, d):
+    return E.apply_model(S.table(spark, d, "benchmark"), "text", "answer", E.HashEmbedder()).select("item_id", "answer")
+
+
 @query("k_export", f"""WITH {CHUNKS} SELECT doc_id, count(*) AS chunk_count, max(page_number) AS total_pages, 'ingestion_metadata' AS object_type, '2.7.0' AS schema_version FROM chunks GROUP BY doc_id""")
 def k_export(spark, d):
     return K.headers(chunks(spark, d))
