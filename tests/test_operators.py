@@ -126,3 +126,50 @@ def test_rank_fusion_and_vectors(spark):
     assert [r.doc_id for r in got] == [11, 10, 12]
     score = spark.range(1).select(V.boosted(F.lit(0.5), F.array(*map(F.lit, "abcdefg")), F.lit("image"), F.lit("d")).alias("s")).first().s
     assert abs(score - 0.65) < 1e-9
+
+
+def test_fragments_and_hyphens(spark):
+    from foliospark.operators import layout as O
+
+    got = O.rejoin_fragments(chunk_rows(spark, ["we introd", "uce to all", "ment alone"])).orderBy("pos").collect()
+    assert [r.content for r in got] == ["we introduce", "to all", "ment alone"] or [r.content for r in got] == ["we introduce", "to allment", "alone"]
+    got = O.rejoin_hyphenated(chunk_rows(spark, ["they man-", "age it", "end"])).orderBy("pos").collect()
+    assert [r.content for r in got] == ["they manage", "it", "end"]
+
+
+def test_reading_order_of_columns(spark):
+    from foliospark.operators import layout as O
+
+    rows = [(1, 1, 0, 600, 10, 900), (1, 1, 1, 0, 50, 400), (1, 1, 2, 0, 10, 400), (1, 1, 3, 600, 5, 900), (1, 1, 4, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, page_number int, item int, x0 int, y0 int, x1 int").withColumn("page_width", F.lit(1000))
+    assert [r.item for r in O.order_in_page(df).orderBy("position").collect()] == [2, 1, 3, 0, 4]
+
+
+def test_models_are_asked_once(spark):
+    from foliospark.operators import external as E
+
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "id long, text string")
+    known = spark.range(1).select(E.input_key("echo", F.lit("b")).alias("key"), F.lit("kept").alias("answer"))
+    got = {r.id: r.x for r in E.apply_model(df, "text", "x", E.EchoBackend(), known).collect()}
+    assert got == {1: "a", 2: "a", 3: None, 4: "kept"}
+
+
+def test_stream_writes_each_batch_once(spark, tmp_path):
+    from foliospark.streaming import ingest
+
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    docs = spark.createDataFrame([(1, "en", "s", "a\nb"), (2, "de", "s", "c")], "doc_id long, lang string, source string, text string")
+    docs.write.parquet(src)
+    for _ in range(2):
+        ingest.write_chunks(ingest.arriving_documents(spark, src, docs.schema), out, f"{tmp_path}/cp").awaitTermination(120)
+    assert sorted(r.content for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_json_lines_round_trip(spark, tmp_path):
+    from foliospark.sources import readers, sinks
+
+    rows = chunk_rows(spark, ["x", "y"]).withColumns({"chunk_id": F.concat(F.lit("c"), "pos"), "modality": F.lit("text")})
+    sinks.write_jsonl(rows.withColumn("doc_id", F.col("doc_id").cast("string")), f"{tmp_path}/out")
+    chunks, headers, bad = readers.read_jsonl(spark, f"{tmp_path}/out")
+    assert sorted(r.content for r in chunks.collect()) == ["x", "y"]
+    assert headers.first().chunk_count == 2 and bad.count() == 0
