@@ -48,7 +48,7 @@ _PLACE = {c: (k, i) for k, a in enumerate(ALPHABETS) for i, c in enumerate(a)}
 
 _CAP = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 PATTERNS = (
-    ("email", re.compile(r"[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
+    ("email", re.compile(r"(?<![\w.+%-])[A-Za-z0-9][\w.+%-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}")),
     ("secret", re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|AKIA)[_-]?[0-9A-Za-z]{16,80})(?![0-9A-Za-z])")),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")),
     ("card", re.compile(r"(?<![\d.])(?:\d[ -]?){12,18}\d(?![\d.]*\d)")),
@@ -167,9 +167,11 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text or not _ANY.search(text):
         return []
     taken: list[tuple[int, int, str, str]] = []
+    covered = bytearray(len(text))
 
     def put(a: int, b: int, kind: str, entity: str) -> None:
-        if all(b <= x or a >= y for x, y, *_ in taken):
+        if not any(covered[a:b]):
+            covered[a:b] = b"\x01" * (b - a)
             taken.append((a, b, kind, entity))
 
     for kind, pattern in PATTERNS:
