@@ -46,10 +46,12 @@ TITLES = {
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "äëïöüáéíóúàèìòùâêîôû", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
 _PLACE = {c: (k, i) for k, a in enumerate(ALPHABETS) for i, c in enumerate(a)}
 
+_LOCAL = re.compile(r"[\w.+%-]")
+_PREFIX = "(?:sk|pk|ghp|AKIA)"
 _CAP = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 PATTERNS = (
-    ("email", re.compile(r"(?<![\w.+%-])[A-Za-z0-9][\w.+%-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}")),
-    ("secret", re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|AKIA)[_-]?[0-9A-Za-z]{16,80})(?![0-9A-Za-z])")),
+    ("email", re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),  # the local part is sought backwards, by local_start
+    ("secret", re.compile(rf"(?<![0-9A-Za-z])(?:[0-9a-f]{{32,}}+|[0-9A-F]{{32,}}+|{_PREFIX}(?:[_-](?!{_PREFIX}[_-])[0-9A-Za-z]{{1,15}}(?![0-9A-Za-z]))*+[_-]?[0-9A-Za-z]{{16,}}+(?:[_-][0-9A-Za-z]+)*+)(?![0-9A-Za-z])")),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")),
     ("card", re.compile(r"(?<![\d.])(?:\d[ -]?){12,18}\d(?![\d.]*\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
@@ -57,7 +59,6 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}(?:[ .-]?\d{2,4}){1,3}(?!\w|[.-]\d)")),
     ("name", re.compile(rf"\b(?P<title>{'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.? (?P<first>{_CAP})(?: (?P<last>{_CAP}))?")),
 )
-_ANY = re.compile(rf"[\d@]|\b(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\b")
 
 
 def luhn(digits: str) -> bool:
@@ -157,14 +158,25 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         digits = "0123456789abcdef" if re.fullmatch("[0-9a-f]+", entity) else "0123456789ABCDEF" if re.fullmatch("[0-9A-F]+", entity) else None
         if digits is None:
             return entity[:4] + permute(key, tweak, entity[4:])
-        noise = hmac.new(key, f"{tweak}|{entity}".encode(), hashlib.sha512).hexdigest() * 2
+        parts = range(-(-len(entity) // 128))
+        noise = "".join(hmac.new(key, f"{tweak}|{entity}{f'|{k}' if k else ''}".encode(), hashlib.sha512).hexdigest() for k in parts)
         return "".join(digits[int(c, 16)] for c in noise[: len(entity)])
     return permute(key, tweak, entity)
 
 
+def local_start(text: str, at: int, least: int) -> int:
+    """Where the local part before the @ at `at` begins: at a letter or digit, not before `least`; `at` if there is none."""
+    start = at
+    while start > least and _LOCAL.match(text, start - 1):
+        start -= 1
+    while start < at and not text[start].isalnum():
+        start += 1
+    return start
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """start, end, kind and canonical form of each entity, in order and without overlap; the earlier pattern wins."""
-    if not text or not _ANY.search(text):
+    if not text:
         return []
     taken: list[tuple[int, int, str, str]] = []
     covered = bytearray(len(text))
@@ -175,8 +187,14 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
             taken.append((a, b, kind, entity))
 
     for kind, pattern in PATTERNS:
+        end = 0
         for m in pattern.finditer(text):
-            if kind == "name":
+            if kind == "email":
+                start = local_start(text, m.start(), end)
+                if start < m.start():
+                    end = m.end()
+                    put(start, end, kind, canonical(kind, text[start:end]))
+            elif kind == "name":
                 first, last = m["first"], m["last"]
                 if last:
                     put(*m.span("first"), f"given:{script_of(first)}:{gender_of(first, TITLES[m['title']])}", first)
