@@ -4,14 +4,16 @@ An entity's characters are permuted by a keyed Feistel network within their own
 vowels, consonants consonants, in their script and case, so different entities of one shape get different surrogates
 and equal ones the same wherever and however they are written. Given names come from lists of their gender and script.
 The corpus' entities are collected once to find surrogates that collide or that are real entities; those alone are
-drawn anew until none is left, and become exceptions of the replacement.
+drawn anew until none is left, at last in longer and longer shapes, and become exceptions of the replacement.
 """
 
 from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -23,7 +25,7 @@ from .common import flag_members, materialize, read_table
 
 #: Key of the registered query; production passes a secret one.
 KEY = b"public demonstration key"
-#: Draws for an entity before the search gives up.
+#: Draws for an entity in its own shape; those after them are in longer ones.
 ATTEMPTS = 12
 #: So many exceptions are sent to every worker; more are joined to the documents that need them.
 BROADCAST_EXCEPTIONS = 50_000
@@ -79,27 +81,57 @@ def _digest(key: bytes, message: str) -> int:
     return int.from_bytes(hmac.new(key, message.encode("utf-8", "replace"), hashlib.sha256).digest(), "big")
 
 
+def _fold(c: str) -> str:
+    """The character in lower case if upper case leads back."""
+    low = c.lower()
+    return low if len(low) == 1 and low.upper() == c else c
+
+
+def _class(c: str) -> tuple[str, str, int, int]:
+    """Script, kind and range of code points of a letter or digit outside ALPHABETS."""
+    kind = "digit" if c.isdecimal() else "number" if not c.isalpha() else "cased" if _fold(c.upper()) == c != c.upper() else "letter"
+    low, high = next(((a, b) for a, b in ((0x4E00, 0x9FFF), (0xAC00, 0xD7A3)) if a <= ord(c) <= b), (ord(c) & ~0xFF, ord(c) | 0xFF))
+    return unicodedata.name(c, "").partition(" ")[0], kind, low, high
+
+
+@lru_cache(maxsize=None)
+def _members(group: tuple[str, str, int, int]) -> tuple[str, dict[str, int]]:
+    """The alphabet of a class and the place of each character in it."""
+    found = "".join(c for c in map(chr, range(group[2], group[3] + 1)) if c.isalnum() and c not in _PLACE and _fold(c) == c and _class(c) == group)
+    return found, {c: k for k, c in enumerate(found)}
+
+
+@lru_cache(maxsize=100_000)
+def _place(c: str) -> tuple[object, str, int]:
+    """Name of the alphabet of a folded letter or digit, its characters and the character's place."""
+    if c in _PLACE:
+        group, at = _PLACE[c]
+        return group, ALPHABETS[group], at
+    group = _class(c)
+    alphabet, places = _members(group)
+    return group, alphabet, places[c]
+
+
 def permute(key: bytes, tweak: str, text: str) -> str:
-    """A keyed bijection of texts of one shape: each character stays in its alphabet, others and case stay as they are."""
-    low = text.lower()
-    at = [k for k, c in enumerate(low) if c in _PLACE and len(text) == len(low)]
+    """A keyed bijection of texts of one shape: each letter and digit stays in its alphabet, others and case stay as they are."""
+    low = text.lower() if text.isascii() else "".join(map(_fold, text))
+    at = [k for k, c in enumerate(low) if c.isalnum()]
     if not at:
         return text
-    groups = [_PLACE[low[k]][0] for k in at]
-    values = [_PLACE[low[k]][1] for k in at]
+    groups, alphabets, places = zip(*(_place(low[k]) for k in at), strict=True)
+    values = list(places)
     half = len(at) // 2
     shape = f"{tweak}|{''.join(map(str, groups))}"
     for turn in range(8):  # each side moves by a number that depends on the other one
         target, source = (range(half), values[half:]) if turn % 2 else (range(half, len(at)), values[:half])
         noise = _digest(key, f"{shape}|{turn}|{','.join(map(str, source))}")
         for i in target:
-            size = len(ALPHABETS[groups[i]])
+            size = len(alphabets[i])
             noise, step = divmod(noise, size) if noise > size**4 else divmod(_digest(key, f"{noise}|{i}"), size)
             values[i] = (values[i] + step) % size
     out = list(text)
-    for k, g, v in zip(at, groups, values, strict=True):
-        c = ALPHABETS[g][v]
-        out[k] = c.upper() if text[k].isupper() else c
+    for k, a, v in zip(at, alphabets, values, strict=True):
+        out[k] = a[v].upper() if low[k] != text[k] else a[v]
     return "".join(out)
 
 
@@ -126,18 +158,36 @@ def canonical(kind: str, text: str) -> str:
     return text.replace(" ", "") if kind == "iban" else text
 
 
+#: Tells the genders of a given name apart in longer shapes.
+_MARKS = {("latin", "f"): "a", ("latin", "m"): "e", ("cyrillic", "f"): "а", ("cyrillic", "m"): "е", ("greek", "f"): "α", ("greek", "m"): "ε"}
+
+
+def longer(text: str, attempt: int) -> str:
+    """The text and, from attempt ATTEMPTS on, 1, 2, 4, ... of its own letters and digits, again and again."""
+    own = "".join(c if text.isupper() else _fold(c) for c in text if c.isalnum()) or "0"
+    return text + "".join(itertools.islice(itertools.cycle(own), 2 ** (attempt - ATTEMPTS))) if attempt >= ATTEMPTS else text
+
+
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
-    """The replacement of a canonical entity; another one for each attempt."""
+    """The replacement of a canonical entity; another one for each attempt.
+
+    From attempt ATTEMPTS on different entities of a kind (given names of all genders are one) have different surrogates
+    at the same attempt, each longer than at the attempt before.
+    """
     tweak = f"{kind}|{attempt}"
+    if attempt >= ATTEMPTS and (kind.startswith("given") or kind in ("ip", "secret")):
+        mark = _MARKS[tuple(kind.split(":")[1:])] if ":" in kind else ""
+        return permute(key, f"{kind.split(':')[0]}|{attempt}", longer(entity + mark, attempt))
     if kind == "email":
         name, _, domain = entity.rpartition("@")
+        name = longer(name, attempt)
         labels = domain.split(".")
         return permute(key, tweak, name) + "@" + ".".join([permute(key, tweak + "|domain", x) for x in labels[:-1]] + labels[-1:])
     if kind == "card":
-        body = entity[0] + permute(key, tweak, entity[1:-1])
+        body = entity[0] + permute(key, tweak, longer(entity[1:-1], attempt))
         return next(body + d for d in "0123456789" if luhn(body + d))
     if kind == "iban":
-        body = permute(key, tweak, entity[4:])
+        body = permute(key, tweak, longer(entity[4:], attempt))
         return entity[:2] + iban_check(body, entity[:2]) + body
     if kind == "ip":
         octets = [int(x) for x in entity.split(".")]
@@ -148,7 +198,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         return ".".join(map(str, octets))
     if kind in ("phone", "ssn"):
         keep = max(0, len(entity) - 10) if kind == "phone" else 0
-        return entity[:keep] + permute(key, tweak, entity[keep:])
+        return entity[:keep] + permute(key, tweak, longer(entity[keep:], attempt))
     if kind.startswith("given"):
         script, gender = kind.split(":")[1:]
         names = GIVEN[script, gender]
@@ -161,7 +211,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         parts = range(-(-len(entity) // 128))
         noise = "".join(hmac.new(key, f"{tweak}|{entity}{f'|{k}' if k else ''}".encode(), hashlib.sha512).hexdigest() for k in parts)
         return "".join(digits[int(c, 16)] for c in noise[: len(entity)])
-    return permute(key, tweak, entity)
+    return permute(key, tweak, longer(entity, attempt))
 
 
 def local_start(text: str, at: int, least: int) -> int:
@@ -251,13 +301,14 @@ def exceptions_of(found: DataFrame, key: bytes) -> DataFrame:
     """entity and attempt (1 or more) of the entities whose first surrogate collides or is an entity of the corpus.
 
     Of entities that draw the same surrogate the first by name keeps it; the others draw again, as does one that draws
-    what is an entity itself. Raises an error if some still collide after ATTEMPTS draws.
+    what is an entity itself. This ends: from draw ATTEMPTS on, what is drawn together differs, and its doubling length
+    passes that of all entities and of the surrogates settled before.
     """
     draw = _draw_column(key)
     plain = F.regexp_replace(F.col("entity"), r"^([a-z]+)(:[a-z:]+)?\t", "$1\t")
     real = found.select(plain.alias("surrogate")).distinct()
     state = materialize(found.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("entity", F.lit(0))), "pii-surrogates")
-    for k in range(1, ATTEMPTS):
+    for k in itertools.count(1):
         firsts = state.groupBy("surrogate").agg(F.min(F.struct("attempt", "entity")).alias("first"), F.count("*").alias("n"))
         clash = firsts.join(real.withColumn("is_real", F.lit(True)), "surrogate", "left").filter("n > 1 OR is_real")
         again = state.join(clash, "surrogate").filter(F.coalesce("is_real", F.lit(False)) | (F.col("entity") != F.col("first.entity")))
@@ -266,7 +317,6 @@ def exceptions_of(found: DataFrame, key: bytes) -> DataFrame:
             return state.filter("attempt > 0").select("entity", "attempt")
         fresh = again.withColumn("attempt", F.lit(k)).withColumn("surrogate", draw("entity", F.lit(k)))
         state = materialize(state.join(again, "entity", "left_anti").unionByName(fresh), "pii-surrogates")
-    raise RuntimeError(f"surrogates still collide after {ATTEMPTS} draws")
 
 
 def replace_column(key: bytes, exceptions: dict[str, int] | None = None) -> Callable[..., Column]:

@@ -90,3 +90,31 @@ def test_patterns_take_linear_time():
         start = time.perf_counter()
         P.entities(text)
         assert time.perf_counter() - start < 3
+
+
+def test_every_script_is_permuted():
+    for word in ("王小明", "محمد", "דוד", "김철수", "Łukasz", "ÉLODIE", "Ёлкин", "สมชาย", "٠١٢٣٤٥", "İpek", "Straße"):
+        new = P.permute(b"k", "t", word)
+        assert new != word and len(new) == len(word) and new.isalnum()
+        assert [c.isupper() for c in new] == [c.isupper() for c in word] or "İ" in word
+    letters = P._members(P._class("ש"))[0]
+    words = ["".join(w) for w in itertools.product(letters, repeat=2)]
+    assert sorted(P.permute(b"k", "t", w) for w in words) == sorted(words)
+
+
+def test_longer_shapes_are_distinct():
+    kinds = {"surname": ["Li", "LI", "Lili", "Wu", "王", "X"], "email": ["a@x.org", "aa@x.org", "a@y.org"], "ssn": ["123456789", "987654321"], "ip": ["1.0.0.1", "01.0.0.1"], "phone": ["6635556869", "16635556869"]}
+    kinds |= {"given:latin:m": ["Andrea", "ANDREA", "Paul"], "given:latin:f": ["Andrea", "Paula"], "card": ["4539148803436467"], "iban": ["DE89370400440532013000"], "secret": ["ab" * 40, "sk-" + "aB" * 12]}
+    for attempt in range(P.ATTEMPTS, P.ATTEMPTS + 4):
+        new = [(k.split(":")[0], e, P.surrogate(b"k", k, e, attempt)) for k, es in kinds.items() for e in es]
+        assert len({(k, x) for k, _, x in new}) == len(new) and all(len(x) > len(e) for _, e, x in new)
+
+
+def test_collisions_have_an_exact_way_out(spark):
+    small = [c.upper() + v for c in P.ALPHABETS[2] for v in P.ALPHABETS[1]]  # all 105 surrogates of "Li"
+    names = ["王小明", "محمد", "דוד", "김철수", *small]
+    docs = spark.createDataFrame([(k, f"Mr {n}") for k, n in enumerate(names)], "doc_id long, text string")
+    got = {r.doc_id: r.text[3:] for r in P.replace_entities(docs).collect()}
+    new = [got[k] for k in range(len(names))]
+    assert len(set(new)) == len(names) and not set(new) & set(names)
+    assert new == [r.text[3:] for r in P.replace_entities(docs).orderBy("doc_id").collect()]
