@@ -637,7 +637,7 @@ def m08(spark, d):
 
 @query("p05_p20_layout_repairs")
 def p05(spark, d):
-    return docs(spark, d).select("doc_id", O.collapse_spaced_heading(F.upper(F.substring("text", 1, 40))).alias("p05"), O.drop_repeated_lines(c("text")).alias("p16"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(F.substring("text", 1, 500)).alias("p21"), O.description_class(c("text")).alias("f26"))
+    return docs(spark, d).select("doc_id", O.collapse_spaced_heading(c("text")).alias("p05"), O.drop_repeated_lines(c("text")).alias("p16"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(c("text")).alias("p21"), O.description_class(c("text")).alias("f26"))
 
 
 @query("w11_reading_order")

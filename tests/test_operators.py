@@ -173,3 +173,13 @@ def test_json_lines_round_trip(spark, tmp_path):
     chunks, headers, bad = readers.read_jsonl(spark, f"{tmp_path}/out")
     assert sorted(r.content for r in chunks.collect()) == ["x", "y"]
     assert headers.first().chunk_count == 2 and bad.count() == 0
+
+
+def test_layout_repairs_take_the_whole_text(spark, tmp_path):
+    from foliospark.plans import catalog
+
+    text = "x" * 60 + " C H A P T E R  O N E <think>" + "y" * 600 + "</think> tail"
+    frame(spark, [text]).write.parquet(f"{tmp_path}/documents.parquet")
+    row = catalog.queries()["p05_p20_layout_repairs"](spark, str(tmp_path)).first()
+    assert " CHAPTER ONE <think>" in row.p05
+    assert row.p21.endswith(" tail") and "yy" not in row.p21
