@@ -15,6 +15,31 @@ SUFFIXES = (
 ).split()
 #: Share of the page width that parts two columns.
 COLUMN_GAP = 0.04
+#: Words of spaced headings (fixed values).
+HEADING_WORDS = (
+    "CHAPTER PART BOOK SECTION APPENDIX EPILOGUE PROLOGUE ONE TWO THREE FOUR FIVE SIX SEVEN EIGHT NINE TEN ELEVEN TWELVE THIRTEEN FOURTEEN "
+    "FIFTEEN SIXTEEN SEVENTEEN EIGHTEEN NINETEEN TWENTY THIRTY THE AND OF"
+).split()
+#: Atomic, as the split takes the longest word and never goes back.
+_WORD = f"(?>{'|'.join(sorted(HEADING_WORDS, key=len, reverse=True))})"
+#: White space as Python's \s and strip know it.
+_BLANK = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+_SPACED = rf"[A-Z](?:{_BLANK}{{1,2}}[A-Z]){{3,}}+"
+#: Openings of descriptions, in the order in which they go (fixed values).
+OPENINGS = (
+    "(?:This|The) image (?:shows?|appears to be|is|depicts|displays)", "(?:This|The) page (?:contains?|shows?|displays?)", "(?:This|The) document (?:shows?|discusses?|presents?)",
+    *(f"(?:An? |The )?{x} of" for x in ("image", "photograph", "photo", "illustration", "picture", "drawing", "depiction", "rendering", "graphic")),
+    "(?:An? |The )?figure (?:showing|depicting|illustrating|of)", "(?:An? |The )?visual (?:representation )?of", "(?:This|It) (?:is|appears to be)", "Here (?:is|we see)",
+)
+#: A run of white space, tried at its beginning only.
+_GAP = rf"(?<!{_BLANK}){_BLANK}++"
+_ENDS = rf"^{_BLANK}+|{_GAP}\z"
+_MANUAL = rf"(?:a|an|the) (?:technical{_BLANK}+)?(?:manual|instructional guide|guide|book|document)"
+#: Clauses at the end of descriptions that go (fixed values).
+TRAILERS = (
+    rf"{_GAP}(?:in|on|from) (?:the|this) (?:page|document|image|photograph)", rf",?{_GAP}(?:as shown|as seen|as depicted|as illustrated) (?:in|on) (?:the|this) (?:image|page|figure)",
+    rf",?{_GAP}(?:from|in) {_MANUAL}", rf",?{_GAP}appears to be from {_MANUAL}",
+)
 #: Reasons for which a document counts as full of code.
 CODE_HEAVY, CODE_SOME = 0.15, 3
 
@@ -54,11 +79,28 @@ def strip_trailing_heading(chunks: DataFrame, most: int = 40) -> DataFrame:
     return hit.withColumn("content", F.when(F.coalesce("__is", F.lit(False)) & several, cut).otherwise(F.col("content"))).drop("__last", "__is")
 
 
+def _split_blob(blob: Column) -> Column:
+    """The words of HEADING_WORDS that begin the text, the longest first, one after another; then the rest."""
+    rest = F.regexp_replace(blob, rf"^(?:{_WORD})++", "")
+    known = F.regexp_extract_all(F.substr(blob, F.lit(1), F.char_length(blob) - F.char_length(rest)), F.lit(f"({_WORD})"), F.lit(1))
+    return F.array_join(F.when(rest == "", known).otherwise(F.concat(known, F.array(rest))), " ")
+
+
+def _collapsed(run: Column) -> Column:
+    """A spaced run without its blanks; two blanks or more part words, and a long one without them is split by known words."""
+    joined = F.array_join(F.transform(F.split(run, r" {2,}"), lambda x: F.replace(x, F.lit(" "), F.lit(""))), " ")
+    return F.when(~run.contains("  ") & (F.char_length(joined) > 7), _split_blob(joined)).otherwise(joined)
+
+
 def collapse_spaced_heading(text: Column) -> Column:
-    """Capitals set apart by one or two blanks join; more blanks part words: `C H A P T E R  O N E`."""
-    parts = F.split(text, r" {2,}")
-    spaced = text.rlike(r"(?:[A-Z] {1,2}){3,}[A-Z]\b")
-    return F.when(spaced, F.array_join(F.transform(parts, lambda x: F.when(x.rlike(r"^(?:[A-Z] )+[A-Z]$"), F.replace(x, F.lit(" "), F.lit(""))).otherwise(x)), " ")).otherwise(text)
+    """Each run of four or more capitals set apart by one or two blanks joins; two blanks part words: `C H A P T E R  O N E`.
+
+    A run of more than seven letters without two blanks is split by HEADING_WORDS, as far as they go.
+    """
+    between = F.split(text, _SPACED, -1)
+    runs = F.transform(F.regexp_extract_all(text, F.lit(f"({_SPACED})"), F.lit(1)), _collapsed)
+    pieces = F.transform(between, lambda x, i: F.concat(x, F.coalesce(F.get(runs, i), F.lit(""))))
+    return F.when(text.rlike(_SPACED), F.array_join(pieces, "")).otherwise(text)
 
 
 def drop_repeated_lines(text: Column) -> Column:
@@ -158,8 +200,13 @@ def description_class(description: Column) -> Column:
 
 
 def clean_description(description: Column) -> Column:
-    """Without thoughts, quotation marks and openings; capitalised, at most 400 characters."""
-    x = F.regexp_replace(description, r"(?is)<think>.*?</think>", "")
-    x = F.regexp_replace(F.trim(x), "^[\"'“]+|[\"'”]+$", "")
-    x = F.regexp_replace(x, r"(?i)^(?:sure[,!]? |here is |this is |the image (?:shows|depicts|contains) |an? image of )+", "")
-    return F.substring(F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2))), 1, 400)
+    """Without thoughts, ended or not, quotation marks, openings and trailing clauses; capitalised, at most 400 characters."""
+    x = F.regexp_replace(description, r"(?s)<think>(?:.*?</think>|.*)", "")
+    x = F.regexp_replace(x, r"(?s)<think>.*", "")
+    x = F.translate(F.regexp_replace(x, _ENDS, ""), "\"'", "")
+    for opening in OPENINGS:
+        x = F.regexp_replace(x, rf"(?iu)^{opening}{_BLANK}+", "")
+    for trailer in TRAILERS:
+        x = F.regexp_replace(x, rf"(?iu){trailer}\.?(?=\n?\z)", "")
+    x = F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2)))
+    return F.substring(F.regexp_replace(x, _ENDS, ""), 1, 400)

@@ -183,3 +183,19 @@ def test_layout_repairs_take_the_whole_text(spark, tmp_path):
     row = catalog.queries()["p05_p20_layout_repairs"](spark, str(tmp_path)).first()
     assert " CHAPTER ONE <think>" in row.p05
     assert row.p21.endswith(" tail") and "yy" not in row.p21
+
+
+def test_spaced_headings_and_descriptions_by_rule(spark):
+    from foliospark.operators import layout as O
+
+    headings = {"C H A P T E R O N E": "CHAPTER ONE", "See C H A P T E R  T W O, then P A R T": "See CHAPTER TWO, then PART", "T W E N T Y F I V E X": "TWENTY FIVE X", "A B C": "A B C", "A\nB C D": "A\nBCD", "": ""}
+    headings |= {"Q U I E T H O U S E": "QUIETHOUSE", "O N E " * 5000: "ONE " * 5000}
+    got = frame(spark, list(headings)).select("doc_id", O.collapse_spaced_heading(F.col("text")).alias("x")).orderBy("doc_id").collect()
+    assert [r.x for r in got] == list(headings.values())
+    words = {
+        "Photo of a dog, as shown in the image.": "A dog, as shown", "Photo of a dog, as shown in the figure.": "A dog", "The image depicts a red 'car' on the page": "A red car", "An illustration of a cat appears to be from a technical manual.": "A cat appears to be",
+        "a dog <think>unfinished": "A dog", "<think>a</think>Figure showing two \"men\" in the book\n": "Two men", "Here we see the visual representation of it": "The visual representation of it",
+        "This is a photo of x": "A photo of x", "the page contains text" + " " * 100_000 + "end": ("Text" + " " * 400)[:400], "<think>" * 20_000: "", "": "", "a" * 500: "A" + "a" * 399,
+    }
+    got = frame(spark, list(words)).select("doc_id", O.clean_description(F.col("text")).alias("x")).orderBy("doc_id").collect()
+    assert [r.x for r in got] == list(words.values())
