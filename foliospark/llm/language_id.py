@@ -264,8 +264,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_language(docs, model).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose language was told with a probability of at least `least`, with docs' columns."""
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:
+    """The rows of docs whose language was told, with a probability of at least `least` if that is given, with docs' columns."""
     found = language_of(model, docs.sparkSession)(F.col("text"))
     told = docs.select(F.struct("*").alias("__row"), found.alias("__found"))
     return told.filter((F.col("__found.lang_pred") != UND) & (F.col("__found.score") >= least)).select("__row.*")

@@ -81,3 +81,12 @@ def test_empty_tables_and_no_labels(spark):
     assert none.languages == []
     assert {r.lang_pred for r in L.predict_language(docs, none).collect()} == {"und"}
     assert L.predict_language(docs.limit(0), none).count() == 0
+
+
+def test_words_that_languages_share_are_kept(spark):
+    rows = [(k, "a hotel in the centre with radio and taxi", lang) for k, lang in enumerate(["de", "en", "fr"] * 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(docs, public_tokenizers.path(L.VOCABULARY))
+    asked = spark.createDataFrame([(1, "hotel taxi", "x"), (2, "123", "x")], "doc_id long, text string, lang string")
+    assert L.predict_language(asked, model).filter("doc_id = 1").first().score < 0.5
+    assert [r.doc_id for r in L.keep_identified(asked, model).collect()] == [1]
