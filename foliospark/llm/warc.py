@@ -18,6 +18,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +47,17 @@ def payload_digest(payload: bytes) -> str:
 # ---- writing
 
 
+def target_uri(url: str | None) -> str:
+    """The URL as a header may hold it: what is no printable ASCII, and spaces, are percent-encoded."""
+    return quote(url or "", safe="%/:?#[]@!$&'()*+,;=~|", errors="replace")
+
+
 def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: int | None) -> bytes:
     """One WARC record: a response with its payload, or (payload None) a revisit without."""
     kind = "response" if payload is not None else "revisit"
     lines = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest}')}>", f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {(url or '').encode('unicode_escape').decode()}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}",
+        f"WARC-Target-URI: {target_uri(url)}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}",
         "Content-Type: application/http; msgtype=response",
     ]
     if page_id is not None:
@@ -83,7 +89,7 @@ class ArchiveWriter:
             self._open()
         packed = gzip.compress(data, 6, mtime=0)
         self.member.write(packed)
-        self.lines.append(f"{url or ''} 19700101000000 ".encode("unicode_escape").decode() + json.dumps({"offset": self.at, "length": len(packed), "filename": DATA, "type": kind, "page_id": page_id}))
+        self.lines.append(f"{target_uri(url)} 19700101000000 " + json.dumps({"offset": self.at, "length": len(packed), "filename": DATA, "type": kind, "page_id": page_id}))
         self.at += len(packed)
         return self.close() if self.at >= self.limit else None
 
@@ -290,12 +296,13 @@ def read_records(places: DataFrame) -> DataFrame:
                 else:
                     size, digest = int(headers["x-payload-length"]), told
                 page, to = headers.get("x-page-id"), headers.get("x-refers-to-page-id")
-                rows.append((int(page) if page else None, size, digest, kind, int(to) if to else None))
-            found = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-            yield found.astype({"page_id": "Int64", "refers_to": "Int64"})
+                rows.append((page, size, digest, kind, to))
+            yield pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
         ranges.close()
 
-    return places.mapInPandas(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    # ids travel as text: pandas makes floats of numbers beside nulls
+    found = places.mapInPandas(run, "page_id string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    return found.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
