@@ -2,7 +2,8 @@
 
 Pass 1 maps the digest of every text to one slot in each of two hash tables and keeps, as bitmaps, the
 slots that two or more rows fell into. Pass 2 probes the bitmaps: a row that misses in either table has a
-text of its own and passes straight through; only the others are shuffled by their digest.
+text of its own and passes straight through; only the others are shuffled by their digest. The filter grows with the
+rows; where it would pass what may be broadcast, digests are dealt to segments that are filtered one after another.
 """
 
 from __future__ import annotations
@@ -10,16 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import heavy_bar, materialize, read_table
+from .common import FILTER_BITS, bitmaps_of, by_segment, filter_bits, filter_slots, heavy_bar, materialize, probe, read_table, segment_count
 
 #: What is deleted before texts are compared.
 WHITESPACE = " \t\n\x0b\x0c\r"
-#: Slots of a hash table for each row.
-SLOTS_PER_ROW = 8
-#: The most bits of one bitmap: two of them are 64 MB, which is what may be broadcast.
-MAX_BITS = 1 << 28
-#: Bits of one binary value that bitmap_construct_agg makes.
-CHUNK = 32768
 
 
 def digest(text: Column) -> Column:
@@ -34,44 +29,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return materialize(rows.withColumn("__uid", F.monotonically_increasing_id()), "dedup-fingerprints")
 
 
-def _slots(bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.col("__sha"), F.lit(k)), F.lit(bits)) for k in (0, 1)]
-
+def repeated_slots(rows: DataFrame, bits: int) -> DataFrame:
+    """Pass 1: the bitmaps of the slots that two or more rows share. Of a row only its two slots, 8 bytes each, are shuffled."""
+    slots = rows.select(F.posexplode(F.array(*filter_slots(F.col("__sha"), bits))).alias("__table", "__slot"))
+    return bitmaps_of(slots.groupBy("__table", "__slot").count().filter("count > 1"))
 
-def filter_bits(rows: int, max_bits: int = MAX_BITS) -> int:
-    """Bits of each bitmap: a power of two, SLOTS_PER_ROW times the rows or more, within max_bits."""
-    return min(max_bits, max(CHUNK, 1 << max(0, rows * SLOTS_PER_ROW - 1).bit_length()))
 
+def flag_repeats(rows: DataFrame, total: int, max_bits: int, label: str) -> DataFrame:
+    """Both passes: adds __maybe, false only where no other row has the same __sha.
 
-def repeated_slots(rows: DataFrame, bits: int) -> DataFrame:
-    """Pass 1: __table, __chunk, __bits - the slots that two or more rows share, at most 2 * bits bits in all."""
-    slots = rows.select(F.posexplode(F.array(*_slots(bits))).alias("__table", "__slot"))
-    return (
-        slots.groupBy("__table", "__slot").count().filter("count > 1")
-        .groupBy("__table", F.shiftright("__slot", 15).alias("__chunk"))
-        .agg(F.bitmap_construct_agg(F.col("__slot").bitwiseAND(F.lit(CHUNK - 1))).alias("__bits"))
-    )
-
-
-def flag_candidates(rows: DataFrame, bitmaps: DataFrame, bits: int) -> DataFrame:
-    """Pass 2: adds __maybe, false only where no other row has the same __sha."""
-    hits = []
-    for k, slot in enumerate(_slots(bits)):
-        own = bitmaps.filter(F.col("__table") == k).select(F.col("__chunk").alias(f"__c{k}"), F.col("__bits").alias(f"__b{k}"))
-        rows = rows.withColumn(f"__s{k}", slot).withColumn(f"__c{k}", F.shiftright(f"__s{k}", 15))
-        rows = rows.join(F.broadcast(own), f"__c{k}", "left")  # at most MAX_BITS / 8 bytes
-        at = F.col(f"__s{k}").bitwiseAND(F.lit(CHUNK - 1)).cast("int")
-        byte = F.conv(F.hex(F.substring(F.col(f"__b{k}"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-        hits.append(F.coalesce(F.floor(byte / F.pow(F.lit(2.0), at.bitwiseAND(F.lit(7)))) % 2 == 1, F.lit(False)))
-    flagged = rows.withColumn("__maybe", hits[0] & hits[1])
-    return flagged.drop(*(f"__{x}{k}" for x in "scb" for k in (0, 1)))
-
-
-def _flagged(rows: DataFrame, total: int, max_bits: int) -> DataFrame:
-    if total > max_bits:  # a full filter would tell nothing: every row is a candidate
-        return rows.withColumn("__maybe", F.lit(True))
-    bits = filter_bits(total, max_bits)
-    return flag_candidates(rows, materialize(repeated_slots(rows, bits), "dedup-bitmaps"), bits)
+    The filter's size follows the rows; beyond max_bits it is made and probed segment by segment of the digests.
+    """
+    bits, sha = filter_bits(total, max_bits), F.col("__sha")
+    return by_segment(rows, sha, segment_count(total, max_bits), lambda own, _: probe(own, sha, repeated_slots(own, bits), bits, "__maybe"), label)
 
 
 def repeated_groups(candidates: DataFrame) -> DataFrame:
@@ -89,16 +59,17 @@ def _join_groups(candidates: DataFrame, groups: DataFrame, total: int) -> DataFr
     return of_heavy.unionByName(of_light)
 
 
-def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, max_bits: int = FILTER_BITS) -> DataFrame:
     """For every row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are identical without white space. The row with the most code points stays,
     then the smallest doc_id, a null doc_id last, then any one of rows that are the same throughout. A null
-    text is an empty one, and all empty texts are one group. An empty table gives no rows.
+    text is an empty one, and all empty texts are one group. Very long texts count whole. Other columns of docs,
+    whatever their names, are not read. An empty table gives no rows.
     """
     rows = fingerprints(docs)
     total = rows.count()
-    flagged = _flagged(rows, total, max_bits)
+    flagged = flag_repeats(rows, total, max_bits, "dedup-flagged")
     candidates = flagged.filter("__maybe")
     groups = materialize(repeated_groups(candidates), "dedup-groups")
     joined = _join_groups(candidates, groups, total).select("doc_id", "__sha", "__uid", "__size", "__best")
@@ -113,29 +84,29 @@ def exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs that exact_duplicates keeps, with docs' columns.
+def drop_exact_duplicates(docs: DataFrame, max_bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of docs that exact_duplicates keeps, with docs' columns, whatever their names.
 
     Rows that miss in the filter are never shuffled; of the others those that stay are told by digest,
     length and doc_id.
     """
     prints = fingerprints(docs)
     total = prints.count()
+    bits, segments, sha = filter_bits(total, max_bits), segment_count(total, max_bits), F.col("__sha")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("__row"), digest(F.col("text")).alias("__sha"), F.char_length(text).alias("__cp"), F.col("doc_id").alias("__id"))
-    if total > max_bits:
-        flag = lambda x: x.withColumn("__maybe", F.lit(True))
-    else:
-        bits = filter_bits(total, max_bits)
-        bitmaps = materialize(repeated_slots(prints, bits), "dedup-bitmaps")
-        flag = lambda x: flag_candidates(x, bitmaps, bits)
-    groups = materialize(repeated_groups(flag(prints).filter("__maybe")), "dedup-groups")
-    rows = flag(rows)
-    joined = _join_groups(rows.filter("__maybe"), groups, total)
+    if segments == 1:
+        bitmaps = repeated_slots(prints, bits)
+        flagged, thin = probe(rows, sha, bitmaps, bits, "__maybe"), probe(prints, sha, bitmaps, bits, "__maybe")
+    else:  # the rows are stored by segment once and each segment has a filter of its own
+        flagged = flag_repeats(rows, total, max_bits, "dedup-rows")
+        thin = flagged.select(F.col("__id").alias("doc_id"), "__sha", "__cp", F.lit(0).alias("__uid"), "__maybe")
+    groups = materialize(repeated_groups(thin.filter("__maybe")), "dedup-groups")
+    joined = _join_groups(flagged.filter("__maybe"), groups, total)
     alone = joined.filter(F.col("__size").isNull()).select("__row")
     best = joined.filter((F.col("__best.doc_id").eqNullSafe(F.col("__id"))) & (-F.col("__best.cp") == F.col("__cp")))
     once = best.dropDuplicates(["__sha"]).select("__row")
-    return rows.filter(~F.col("__maybe")).select("__row").unionByName(alone).unionByName(once).select("__row.*")
+    return flagged.filter(~F.col("__maybe")).select("__row").unionByName(alone).unionByName(once).select("__row.*")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
