@@ -8,26 +8,27 @@ The probabilities are learned by expectation maximisation over the same sums.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, hash_share, read_table
+from .common import crc_mod, hash_share, read_table, release_memory
 
 VOCABULARY = "piece_bpe_32k.model"
 #: About so many labelled texts of each language are learned from.
 SAMPLE_PER_LANGUAGE = 400
-#: Distinct words of each language that the expectation maximisation sees at most, the most frequent.
-WORDS_PER_LANGUAGE = 60_000
 ROUNDS = 3
 #: Added to the expected count of each piece.
 SMOOTHING = 0.02
 #: Words that a worker remembers at most.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
+#: Words whose cuts are summed at a time.
+WORDS_AT_ONCE = 5_000
 #: Longer words are cut every so many characters, which keeps the products within a double.
 LONG_WORD = 40
 #: The longest piece, in characters.
@@ -35,7 +36,10 @@ LONG_PIECE = 12
 #: Probability of a character that no piece has, as a share of a piece seen once.
 UNKNOWN = 1e-7
 UND = "und"
-letters = re.compile(r"[^\W\d_]+").findall
+#: Signs that Python counts as word characters but that are no letters, such as fractions and circled numbers.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+#: The runs of letters (\p{L}+) of a text.
+letters = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+").findall
 
 
 def load_pieces(path: str) -> list[str]:
@@ -57,6 +61,11 @@ def words_of(text: str | None) -> list[str]:
     return [" " + w for w in letters(text.lower())] if text else []
 
 
+def word_parts(word: str) -> list[str]:
+    """The word, or its parts of LONG_WORD characters."""
+    return [word[i : i + LONG_WORD] for i in range(0, len(word), LONG_WORD)]
+
+
 class Lattice:
     """All cuts of words into pieces of a vocabulary; a character that is no piece is one of its own."""
 
@@ -105,7 +114,7 @@ class Lattice:
 
     def log_probability(self, words: list[str], model: np.ndarray) -> np.ndarray:
         """Natural logarithm of each word's probability in each language."""
-        parts = [[w[i : i + LONG_WORD] for i in range(0, len(w), LONG_WORD)] for w in words]
+        parts = [word_parts(w) for w in words]
         flat = [p for own in parts for p in own]
         alpha = self.forward(flat, model)
         sizes = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
@@ -135,18 +144,19 @@ class Lattice:
 class LanguageModel:
     """Piece probabilities of each language, in the order of languages."""
 
-    def __init__(self, languages: list[str], pieces: list[str], model: np.ndarray, prior: np.ndarray):
-        self.languages, self.pieces, self.model, self.prior = languages, pieces, model, prior
+    def __init__(self, languages: list[str], pieces: list[str], model: np.ndarray):
+        self.languages, self.pieces, self.model = languages, pieces, model
 
 
 def fit_language(lattice: Lattice, words: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities by expectation maximisation; the last one is for unknown characters."""
-    words = [w[:LONG_WORD] for w in words]
+    parts = [word_parts(w) for w in words]
+    words, counts = [p for own in parts for p in own], np.repeat(counts, [len(own) for own in parts])
     model = np.full((lattice.unknown + 1, 1), 1.0 / (lattice.unknown + 1))
     for _ in range(rounds):
         total = np.zeros(lattice.unknown + 1)
-        for k in range(0, len(words), 20_000):
-            total += lattice.expected(words[k : k + 20_000], counts[k : k + 20_000], model)
+        for k in range(0, len(words), WORDS_AT_ONCE):
+            total += lattice.expected(words[k : k + WORDS_AT_ONCE], counts[k : k + WORDS_AT_ONCE], model)
         total[: lattice.unknown] += SMOOTHING
         total[lattice.unknown] = 0
         model = (total / total.sum())[:, None]
@@ -164,14 +174,12 @@ def labelled_sample(docs: DataFrame, per_language: int) -> DataFrame:
 
 
 def train(docs: DataFrame, path: str, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
-    """Learns from text and lang of docs. Without labelled texts the model has no languages."""
+    """Learns from text and lang of docs; all words of the chosen texts count. Without labelled texts the model has no languages."""
     words = labelled_sample(docs, per_language).select(
         "lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("word")
     )
-    counted = words.groupBy("lang", "word").count()
-    ranked = counted.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word")))
     by_lang: dict[str, tuple[list[str], list[int]]] = {}
-    for lang, word, n in ranked.filter(F.col("r") <= WORDS_PER_LANGUAGE).select("lang", "word", "count").toLocalIterator():
+    for lang, word, n in words.groupBy("lang", "word").count().orderBy("lang", "word").toLocalIterator():
         own = by_lang.setdefault(lang, ([], []))
         own[0].append(" " + word)
         own[1].append(n)
@@ -180,7 +188,9 @@ def train(docs: DataFrame, path: str, per_language: int = SAMPLE_PER_LANGUAGE) -
     languages = sorted(by_lang)
     columns = [fit_language(lattice, by_lang[k][0], np.array(by_lang[k][1], dtype=float)) for k in languages]
     model = np.stack(columns, axis=1) if columns else np.zeros((len(pieces) + 1, 0))
-    return LanguageModel(languages, pieces, model, np.full(len(languages), 1.0 / max(1, len(languages))))
+    del by_lang, columns
+    release_memory()
+    return LanguageModel(languages, pieces, model)
 
 
 class Scorer:
@@ -189,17 +199,19 @@ class Scorer:
     def __init__(self, model: LanguageModel):
         self.model, self.lattice = model, Lattice(model.pieces)
         self.at: dict[str, int] = {}
-        self.logs = np.zeros((0, len(model.languages)))
+        self.logs = np.zeros((1024, len(model.languages)))
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.at) > REMEMBERED:
-            self.at, self.logs = {}, self.logs[:0]
+        """Puts the words' logarithms into the table, which grows by doubling and is reused when the memory is full."""
+        if len(self.at) + len(words) > REMEMBERED:
+            self.at = {}
         new = [w for w in words if w not in self.at]
         base = len(self.at)
-        blocks = [self.logs]
-        for k in range(0, len(new), 20_000):
-            blocks.append(self.lattice.log_probability(new[k : k + 20_000], self.model.model))
-        self.logs = np.concatenate(blocks)
+        while base + len(new) > len(self.logs):
+            self.logs = np.concatenate((self.logs, np.zeros_like(self.logs)))
+        for k in range(0, len(new), WORDS_AT_ONCE):
+            some = new[k : k + WORDS_AT_ONCE]
+            self.logs[base + k : base + k + len(some)] = self.lattice.log_probability(some, self.model.model)
         self.at.update((w, base + k) for k, w in enumerate(new))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -230,18 +242,22 @@ def language_of(model: LanguageModel, spark: SparkSession) -> Callable[[Column],
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
-        for texts in batches:
-            names, scores = [], []
-            for block in _blocks(texts):
-                found = scorer.predict([t if isinstance(t, str) else None for t in block])
-                names += found[0]
-                scores += found[1]
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+        try:
+            for texts in batches:
+                names, scores = [], []
+                for block in _blocks(texts):
+                    found = scorer.predict([t if isinstance(t, str) else None for t in block])
+                    names += found[0]
+                    scores += found[1]
+                yield pd.DataFrame({"lang_pred": names, "score": scores})
+        finally:
+            del scorer
+            release_memory()
 
     return F.pandas_udf(run, "lang_pred string, score double")
 
 
-def _blocks(texts: pd.Series, chars: int = 8_000_000) -> Iterator[pd.Series]:
+def _blocks(texts: pd.Series, chars: int = 2_000_000) -> Iterator[pd.Series]:
     """The series in parts of about so many characters, which bounds what one prediction holds."""
     sizes = texts.str.len().fillna(0).to_numpy() if len(texts) else []
     start, held = 0, 0
@@ -253,7 +269,10 @@ def _blocks(texts: pd.Series, chars: int = 8_000_000) -> Iterator[pd.Series]:
 
 
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang_pred and score of every row of docs; an empty table gives none."""
+    """doc_id, lang_pred and score of every row of docs, repeated ones too; an empty table gives none.
+
+    Whole texts count, however long. Other columns of docs, whatever their names, are not read.
+    """
     found = language_of(model, docs.sparkSession)(F.col("text"))
     return docs.select("doc_id", found.alias("__found")).select("doc_id", "__found.*")
 
