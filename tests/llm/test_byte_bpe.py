@@ -8,6 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 PATH = public_tokenizers.path(B.RANKS)
+ENCODER = B.Encoder(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -19,17 +20,17 @@ TEXTS = ["", " ", "Hello world, it's 2024!", "aaaaaaaaaaaaaaaa", "ababababab " *
 
 
 def test_same_ids_as_the_library(library):
-    got = B.Encoder(PATH).encode_block(TEXTS)
+    got = ENCODER.encode_block(TEXTS)
     assert got == [library.encode_ordinary(t) for t in TEXTS]
-    replay = B.encoder(PATH).replay
+    replay = B.replay_of(PATH)
     assert [replay.decode(i).decode() for i in got] == TEXTS
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("abes 'tlrn\n.0"), st.characters(exclude_categories=["Cs"])), max_size=60), max_size=8))
 def test_any_text(texts):
-    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=B.encoder(PATH).replay.ranks, special_tokens={})
-    assert B.encoder(PATH).encode_block(texts) == [own.encode_ordinary(t) for t in texts]
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ENCODER.replay.ranks, special_tokens={})
+    assert ENCODER.encode_block(texts) == [own.encode_ordinary(t) for t in texts]
 
 
 def test_pairs_of_lower_rank_that_arise_late():
@@ -40,8 +41,11 @@ def test_pairs_of_lower_rank_that_arise_late():
     assert B.MergeReplay(ranks).encode_pieces([w.encode() for w in words]) == [own.encode_ordinary(w) for w in words]
 
 
-def test_rows_of_every_kind(spark, library):
-    rows = [(1, "one two", "x"), (2, None, "x"), (None, "", "y"), (2, None, "x"), (2**60 + 1, "long " * 20000, "y")]
+@pytest.mark.parametrize("block", [B.BLOCK_CHARS, 50])
+def test_rows_of_every_kind(spark, library, monkeypatch, block):
+    monkeypatch.setattr(B, "BLOCK_CHARS", block)
+    rows = [(1, "one two", "x"), (2, None, "x"), (None, "", "y"), (2, None, "x"), (2**60 + 1, "long " * 20000, "y"), (7, "x" * 9000, "z")]
+    rows += [(10 + k, f"text number {k % 7} of one two three", "n") for k in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
     got = sorted(map(tuple, B.encode_digests(docs, PATH).collect()), key=str)
     want = []
