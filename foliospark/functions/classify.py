@@ -6,27 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .predicates import looks_like_code
-from .text import any_of, count_of
+from .text import any_of, count_of, strip_text
 
 AD_MARKS = ("buy now", "special offer", "discount", "order now", "limited time", "subscribe")
 TECHNICAL = ("api", "schema", "algorithm", "function", "class", "module", "pipeline", "configuration", "implementation", "model")
-#: Weighted signs of corrupted text, each worth at most three times its weight (fixed values).
+#: Signs of corrupted text with their weights, each worth at most three times that, and the language they are for (fixed values).
 CORRUPTION = (
-    ("broken_words", r"(?U)\b\w{1,2}\s+\w{1,2}\s+\w{1,2}\b", 0.3),
-    ("floating_hyphens", r"\s-\s|\s-$|^-\s", 0.2),
-    ("excessive_kerning", r"(?U)(\w)\s{2,}(\w)", 0.25),
-    ("ocr_artifacts", r"[|lI1]{3,}|[O0]{3,}", 0.3),
-    ("ligature_breaks", r"fi\s|fl\s|ff\s", 0.15),
-    ("german_umlaut_errors", r'[aou]\s*[¨"]', 0.2),
-    ("dutch_ij_break", r"(?U)i\s+j\b", 0.2),
-    ("misplaced_punctuation", r"\s+[.,;:!?]", 0.1),
-    ("character_substitution", r"[O0]{1}[lI1]{1}|[lI1]{1}[O0]{1}", 0.2),
-    ("merged_words", r"[a-z]{3,}[a-z][A-Z][a-z]|[a-z]{2,}i[a-z]{3,}|[A-Z]{2,}[A-Z][a-z]{3,}", 0.3),
-    ("symbol_noise", r"[@~§¢£¥]\s*[a-zA-Z]|[a-zA-Z]\s*[@~§]", 0.25),
-    ("accent_on_ascii", r"[éèêëàâäùûüôöîï][a-z]{2,}", 0.2),
-    ("dot_stuck_to_word", r"[a-z]\.[a-z]{2,}", 0.15),
-    ("truncated_start", r"(?U)(?:^|\n)[a-z]{1,3}\b\s+[a-z]", 0.2),
-    ("encoding_glyph", r"/C\d{1,3}\b|\\x[0-9a-f]{2}", 0.4),
+    (r"(?U)\b\w{1,2}\s+\w{1,2}\s+\w{1,2}\b", 0.3, None),
+    (r"\s-\s|\s-$|^-\s", 0.2, None),
+    (r"(?U)(\w)\s{2,}(\w)", 0.25, None),
+    (r"[|lI1]{3,}|[O0]{3,}", 0.3, None),
+    (r"fi\s|fl\s|ff\s", 0.15, None),
+    (r'[aou]\s*[¨"]', 0.2, "de"),
+    (r"(?U)i\s+j\b", 0.2, "nl"),
+    (r"\s+[.,;:!?]", 0.1, None),
+    (r"[O0]{1}[lI1]{1}|[lI1]{1}[O0]{1}", 0.2, None),
+    (r"[a-z]{3,}[a-z][A-Z][a-z]|[a-z]{2,}i[a-z]{3,}|[A-Z]{2,}[A-Z][a-z]{3,}", 0.3, None),
+    (r"[@~§¢£¥]\s*[a-zA-Z]|[a-zA-Z]\s*[@~§]", 0.25, None),
+    (r"[éèêëàâäùûüôöîï][a-z]{2,}", 0.2, None),
+    (r"[a-z]\.[a-z]{2,}", 0.15, None),
+    (r"(?U)(?:^|\n)[a-z]{1,3}\b\s+[a-z]", 0.2, None),
+    (r"/C\d{1,3}\b|\\x[0-9a-f]{2}", 0.4, None),
 )
 #: Parts of texts that no edit may touch (fixed values).
 PROTECTED = (
@@ -71,7 +71,11 @@ def text_confidence(content: Column) -> Column:
 
 
 def tier(confidence: Column) -> Column:
-    return F.when(confidence >= 0.85, "high").when(confidence >= 0.7, "good").when(confidence >= 0.5, "fair").otherwise("poor")
+    return F.when(confidence >= 0.85, "excellent").when(confidence >= 0.7, "good").when(confidence >= 0.5, "fair").otherwise("poor")
+
+
+def needs_ocr(confidence: Column) -> Column:
+    return confidence < 0.7
 
 
 def recognition_artifacts(content: Column) -> Column:
@@ -92,8 +96,8 @@ def noise_level(content: Column, density: Column) -> Column:
 def corruption_score(content: Column, hint: str | None = None) -> Column:
     """Sum of the weights of signs that occur twice or more, at most 1; a hint of de or nl leaves only its own signs."""
     total = F.lit(0.0)
-    for name, pattern, weight in CORRUPTION:
-        if (hint == "de" and "german" not in name) or (hint == "nl" and "dutch" not in name) or (hint == "en" and ("german" in name or "dutch" in name)):
+    for pattern, weight, language in CORRUPTION:
+        if (hint in ("de", "nl") and language != hint) or (hint == "en" and language):
             continue
         hits = F.regexp_count(content, F.lit(pattern))
         total = total + F.when(hits >= 2, F.least(hits * weight, F.lit(weight * 3))).otherwise(0.0)
@@ -134,30 +138,55 @@ def refine_route(content: Column, threshold: float = 0.15) -> Column:
 
 
 def tokens_stripped(content: Column) -> Column:
-    """A quarter of the stripped characters, rounded, at least one."""
-    return F.greatest(F.lit(1), F.floor(F.char_length(F.trim(content)) / 4 + 0.5).cast("long"))
+    """A quarter of the stripped characters, rounded, at least one; none for a blank text."""
+    text = strip_text(F.coalesce(content, F.lit("")))
+    return F.when(text == "", 0).otherwise(F.greatest(F.lit(1), F.floor(F.char_length(text) / 4 + 0.5))).cast("long")
 
 
 def tokens_plain(content: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.char_length(content) / 4).cast("long"))
 
 
-def vision_status(description: Column) -> Column:
-    return F.when(description.isNull() | (F.trim(description) == ""), "pending").when(description.startswith("[VLM_FAILED"), "failed").otherwise("done")
+def vision_status(description: Column, provider: Column | None = None) -> Column:
+    """done; without a description failed if a model was asked, else pending; pending where extraction was unavailable."""
+    asked = F.lit(False) if provider is None else F.coalesce(provider != "none", F.lit(False))
+    none = F.coalesce(description, F.lit("")).rlike(r"^$|^\[Figure on page|^\[VLM_FAILED")
+    return F.when(none, F.when(asked, "failed").otherwise("pending")).when(F.lower(description).contains("extraction unavailable"), "pending").otherwise("done")
+
+
+#: Priority by modality, ranks, and headings of contents, references and back matter (fixed values).
+PRIORITY = {"text": "high", "table": "medium", "image": "low"}
+CONTENTS = r"(?i)^\s*(?:table\s+of\s+contents|contents)\s*$"
+REFERENCES = r"(?i)^\s*(?:references|bibliography|works\s+cited)\s*$"
+BACK_MATTER = r"(?i)^\s*(?:index|appendix(?:\s+[a-z0-9]+)?|appendices)\b"
+
 
+def search_priority(modality: Column, domain: Column, page: Column, contents_page: Column, headings: Column, given: Column | None = None) -> Column:
+    """The given priority, or that of the modality, lowered by domain: literature before its contents, references, back matter.
 
-def search_priority(modality: Column, domain: Column, page: Column, contents_page: Column, references: Column) -> Column:
-    """By modality; matter before the contents, and references, go down."""
-    base = F.when(modality == "text", "high").when(modality == "table", "high").otherwise("medium")
-    return F.when((domain == "literature") & (page < contents_page), "low").when((domain == "academic") & references, "medium").otherwise(base)
+    headings is the array of a chunk's headings. Nothing raises a priority.
+    """
+    own = F.lit(None).cast("string") if given is None else F.lower(given)
+    base = F.when(own.isin("high", "medium", "low"), own)
+    for kind, value in PRIORITY.items():
+        base = F.coalesce(base, F.when(modality == kind, value))
+    base = F.coalesce(base, F.lit("medium"))
+    has = lambda pattern: F.coalesce(F.exists(headings, lambda h: h.rlike(pattern)), F.lit(False))
+    low = (domain == "literature") & (page > 0) & (page < contents_page)
+    medium = ((domain == "academic") & has(REFERENCES)) | ((domain == "technical") & has(BACK_MATTER))
+    return F.when(F.coalesce(low, F.lit(False)), "low").when(F.coalesce(medium, F.lit(False)) & (base == "high"), "medium").otherwise(base)
 
 
 def min_dimension(sensitivity: Column) -> Column:
     return F.greatest(F.lit(0), (400 - 300 * sensitivity).cast("int"))
 
 
-def asset_complexity(variance: Column, edges: Column, text_share: Column, size: Column) -> Column:
-    return F.when(text_share > 0.5, "text_heavy").when((edges > 0.15) | (size > 100_000), "complex").when((variance < 0.01) | (size < 5_000), "simple").otherwise("complex")
+def asset_complexity(area_share: Column, size: Column) -> Column:
+    """By the share of the page and the file's bytes, either of which may be unknown: text_heavy, simple or complex."""
+    heavy = F.coalesce(area_share >= 0.50, F.lit(False)) | F.coalesce(size >= 100_000, F.lit(False))
+    tiny = F.coalesce(area_share < 0.01, F.lit(False))
+    small = F.coalesce(area_share < 0.15, F.lit(False)) & F.coalesce(size <= 5_000, F.lit(True))
+    return F.when(heavy, "text_heavy").when(tiny | small, "simple").otherwise("complex")
 
 
 def image_type(colours: Column, white: Column, saturation: Column) -> Column:

@@ -5,6 +5,7 @@ Java's classes are ASCII; patterns that need letters or white space of all scrip
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ PRIVATE_FROM, PRIVATE_TO = "\uf02d\uf0b7\uf0e0\uf070\uf071\uf074\uf075", "••
 CONTROLS = r" *[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]+ *"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value computed once for each row however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def any_of(text: Column, words) -> Column:
     return reduce(lambda a, b: a | b, (text.contains(w) for w in words))
 

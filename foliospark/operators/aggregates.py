@@ -9,7 +9,7 @@ from ..functions import classify as C
 from ..functions import predicates as P
 
 #: Share of the tokens that filters may remove, by profile (fixed values).
-NOISE_ALLOWANCE = {"academic_whitepaper": 0.05, "technical_manual": 0.10, "digital_magazine": 0.25, "scanned": 0.15, "scanned_degraded": 0.25, "unknown": 0.10}
+NOISE_ALLOWANCE = {"academic_whitepaper": 0.25, "technical_manual": 0.15, "digital_magazine": 0.10, "scanned_degraded": 0.05, "scanned": 0.05, "unknown": 0.10}
 OVERLAP = 0.15
 TOLERANCE = 0.10
 
@@ -20,8 +20,8 @@ def filter_summary(chunks: DataFrame, category: Column) -> DataFrame:
     return rows.groupBy("doc_id", "category").agg(F.count("*").alias("n_chunks"), F.sum("t").alias("n_tokens"))
 
 
-def token_balance(totals: DataFrame, tolerance: float = TOLERANCE, noise: float = NOISE_ALLOWANCE["unknown"]) -> DataFrame:
-    """variance and valid, from source_tokens, chunk_tokens and filtered_tokens of each document.
+def token_balance(totals: DataFrame, tolerance: float = TOLERANCE, profile: Column | None = None) -> DataFrame:
+    """variance and valid, from source_tokens, chunk_tokens and filtered_tokens of each document; noise is what its profile allows.
 
     Overlap is allowed for only where chunks have no fewer tokens than the source. Shortfall is allowed up to the larger
     of tolerance and noise, surplus up to tolerance, and filters may take no more than noise.
@@ -30,7 +30,10 @@ def token_balance(totals: DataFrame, tolerance: float = TOLERANCE, noise: float
     overlap = F.when(c < s, 0).otherwise(F.floor(s * OVERLAP))
     adjusted = F.greatest(F.lit(0), s - f)
     variance = F.when(adjusted == 0, 0.0).otherwise((c - overlap - adjusted) / adjusted)
-    fine = variance.between(-max(tolerance, noise), tolerance) & (f / s <= noise)
+    noise = F.lit(NOISE_ALLOWANCE["unknown"])
+    for name, share in NOISE_ALLOWANCE.items():
+        noise = noise if profile is None else F.when(profile == name, share).otherwise(noise)
+    fine = variance.between(-F.greatest(F.lit(tolerance), noise), F.lit(tolerance)) & (f / s <= noise)
     return totals.withColumn("variance", variance).withColumn("valid", F.when(s == 0, True).otherwise(fine))
 
 

@@ -6,13 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
+from ..functions.text import let, strip_text
 from .windows import reading_order
 
-#: Ends of words that a column break tears off (fixed values).
-SUFFIXES = (
-    "ment ments ness tion tions sion sions ing ings ated ates ized izes ance ences ence ances ible able ward wards wise ure ures ive ives "
-    "ary ory ery nge uce rames ted ent ers ler ding king ling ring sing ting ched shed ies ied"
-).split()
 #: Share of the page width that parts two columns.
 COLUMN_GAP = 0.04
 #: Words of spaced headings (fixed values).
@@ -53,14 +49,6 @@ def _move_head(chunks: DataFrame, takes: Column, head: Column, own: Column, sepa
     return rows.withColumn("__new", ended).withColumn("content", F.col("__new")).drop("__takes", "__head", "__own", "__new")
 
 
-def rejoin_fragments(chunks: DataFrame) -> DataFrame:
-    """A torn-off word end that begins a chunk goes back to the chunk before, on the same page, if that ends in lower case."""
-    nxt, page = F.lead("content").over(reading_order()), F.lead("page_number").over(reading_order())
-    head = F.regexp_extract(nxt, r"^\s*([a-z]{1,6})\s+\S", 1)
-    takes = (page == F.col("page_number")) & F.col("content").rlike(r"[a-z]$") & head.isin(SUFFIXES)
-    return _move_head(chunks, takes, head, F.col("content"), "")
-
-
 def rejoin_hyphenated(chunks: DataFrame) -> DataFrame:
     """A word broken by a hyphen at a chunk's end is completed from the next chunk."""
     nxt = F.lead("content").over(reading_order())
@@ -70,13 +58,15 @@ def rejoin_hyphenated(chunks: DataFrame) -> DataFrame:
 
 
 def strip_trailing_heading(chunks: DataFrame, most: int = 40) -> DataFrame:
-    """The last line goes if it is a short heading of the document that stands elsewhere as a chunk's parent heading."""
-    headings = chunks.filter(F.col("parent_heading").isNotNull()).select("doc_id", F.col("parent_heading").alias("__last")).distinct().withColumn("__is", F.lit(True))
-    rows = chunks.withColumn("__last", F.trim(F.element_at(F.split("content", "\n", -1), -1)))
+    """The last of several lines goes if it is short and, whatever its case, a parent heading of the document of three characters or more."""
+    blank = r"(?U)^\s+|\s+\z"
+    headings = chunks.filter(F.char_length("parent_heading") > 2).select("doc_id", F.regexp_replace(F.lower("parent_heading"), blank, "").alias("__last")).distinct().withColumn("__is", F.lit(True))
+    rows = chunks.withColumn("__text", F.regexp_replace("content", r"(?U)\s+\z", ""))
+    rows = rows.withColumn("__last", F.lower(F.regexp_replace(F.element_at(F.split("__text", "\n", -1), -1), blank, "")))
     hit = rows.join(headings, ["doc_id", "__last"], "left")
-    several = F.col("content").contains("\n") & (F.char_length("__last") < most)
-    cut = F.rtrim(F.regexp_replace("content", r"\n[^\n]*$", ""))
-    return hit.withColumn("content", F.when(F.coalesce("__is", F.lit(False)) & several, cut).otherwise(F.col("content"))).drop("__last", "__is")
+    several = F.col("__text").contains("\n") & (F.char_length("__last") < most)
+    cut = F.regexp_replace(F.regexp_replace("__text", r"\n[^\n]*\z", ""), r"(?U)\s+\z", "")
+    return hit.withColumn("content", F.when(F.coalesce("__is", F.lit(False)) & several, cut).otherwise(F.col("content"))).select(*chunks.columns)
 
 
 def _split_blob(blob: Column) -> Column:
@@ -103,12 +93,33 @@ def collapse_spaced_heading(text: Column) -> Column:
     return F.when(text.rlike(_SPACED), F.array_join(pieces, "")).otherwise(text)
 
 
-def drop_repeated_lines(text: Column) -> Column:
-    """Of texts of four lines or more, lines over five characters that came before, whatever their case, go."""
+def _halved(text: Column) -> Column:
+    """The first half, third or quarter of a text, of 30 characters or more, if what follows begins as it does; else the text."""
+    out = text
+    for parts in (4, 3, 2):
+        size = F.floor(F.char_length(text) / parts).cast("int")
+        head = F.regexp_replace(F.left(text, size), r"(?U)\s+\z", "")
+        rest = F.regexp_replace(F.substr(text, size + 1, F.lit(400)), r"(?U)^\s+", "")
+        rest = F.when(F.char_length(rest) >= 40, rest).otherwise(F.regexp_replace(F.substr(text, size + 1), r"(?U)^\s+", ""))
+        out = F.when((size >= 30) & rest.startswith(F.left(head, F.lit(40))), head).otherwise(out)
+    return F.when(F.char_length(text) > 60, out).otherwise(text)
+
+
+def drop_repeats(text: Column) -> Column:
+    """Of texts of four lines or more: the start alone if the text repeats it, cut again until it does not; else without lines
+    over five characters that came before, whatever their case."""
+    bare = strip_text(text)
+    turns = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.log2(F.greatest(F.char_length(bare), F.lit(1)) / 30.0)).cast("int")))
+    cut = let(_halved(bare), lambda once: F.when(once == bare, F.lit(None)).otherwise(F.aggregate(turns, once, lambda t, _: _halved(t))))
+    return F.when(F.size(F.split(text, "\n", -1)) >= 4, F.coalesce(cut, _without_repeated_lines(text))).otherwise(text)
+
+
+def _without_repeated_lines(text: Column) -> Column:
     lines = F.split(text, "\n", -1)
-    keys = F.transform(lines, lambda x: F.lower(F.trim(x)))
-    kept = F.filter(lines, lambda x, i: (F.char_length(F.trim(x)) <= 5) | (F.array_position(keys, F.lower(F.trim(x))) == i + 1))
-    return F.when(F.size(lines) >= 4, F.array_join(kept, "\n")).otherwise(text)
+    keys = F.transform(lines, lambda x: F.lower(strip_text(x)))
+    kept = F.filter(lines, lambda x, i: let(F.lower(strip_text(x)), lambda key: (F.char_length(key) <= 5) | (F.array_position(keys, key) == i + 1)))
+    joined = strip_text(F.array_join(kept, "\n"))
+    return F.when(joined != strip_text(text), joined).otherwise(text)
 
 
 def heal_drop_cap(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +21,16 @@ def chunks_of(docs: DataFrame, lines_per_page: int = LINES_PER_PAGE) -> DataFram
 
 def pages_of(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("doc_id", "page_number").agg(F.sum(F.char_length("content")).cast("long").alias("chars"), F.count("*").alias("n_chunks"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the shared folder of the session (spark.checkpoint.dir), so a lost executor costs no round anew."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            root = "file://" + tempfile.mkdtemp(prefix="foliospark-")
+        context.setCheckpointDir(root)
+    return df.checkpoint()

@@ -81,37 +81,98 @@ def section_number(heading: Column) -> Column:
 
 
 def trim_overlap(chunks: DataFrame, least: int = 10, most: int = 300) -> DataFrame:
-    """content without the longest start, of 10 to 300 characters, that ends the (already trimmed) chunk before on its page."""
-    rows = chunks.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("pos", "content"))).alias("__rows"))
+    """content without the longest start, of 10 to 300 characters, that ends the (already trimmed) chunk before on its page.
+
+    Empty chunks are passed over. After a chunk that trimming empties, nothing more of its document is trimmed.
+    """
+    rows = chunks.filter("content <> ''").groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("pos", "content"))).alias("__rows"))
     folded = F.expr(
-        f"""aggregate(__rows, array(cast(null AS struct<pos: bigint, content: string>)), (acc, r) -> concat(acc, array(named_struct(
-            'pos', r.pos, 'content', substr(r.content, 1 + coalesce(array_max(filter(sequence(0, least({most}, length(r.content), coalesce(length(element_at(acc, -1).content), 0))),
-            k -> k = 0 OR (k >= {least} AND right(element_at(acc, -1).content, k) = left(r.content, k)))), 0))))))"""
+        f"""aggregate(__rows, array(cast(null AS struct<pos: bigint, content: string, given: string>)), (acc, r) -> concat(acc, array(named_struct(
+            'pos', r.pos, 'content', transform(array(coalesce(array_max(filter(sequence(0, least({most}, length(r.content), coalesce(length(element_at(acc, -1).content), 0))),
+            k -> k >= {least} AND right(element_at(acc, -1).content, k) = left(r.content, k))), 0)),
+            k -> IF(k = 0, r.content, regexp_replace(substr(r.content, 1 + k), '(?U)^\\\\s+', '')))[0], 'given', r.content))))"""
     )
-    return rows.select("doc_id", "page_number", F.explode(F.filter(folded, lambda x: x.isNotNull())).alias("r")).select("doc_id", "page_number", "r.*")
+    out = rows.select("doc_id", "page_number", F.explode(F.filter(folded, lambda x: x.isNotNull())).alias("r")).select("doc_id", "page_number", "r.*")
+    ended = F.min(F.when(F.col("content") == "", F.col("pos"))).over(Window.partitionBy("doc_id"))
+    kept = F.when(F.col("pos") > F.col("__ended"), F.col("given")).otherwise(F.col("content"))
+    trimmed = out.withColumn("__ended", ended).select("doc_id", "page_number", "pos", kept.alias("content"))
+    return trimmed.unionByName(chunks.filter("content = ''").select("doc_id", "page_number", "pos", "content"))
+
+
+def merge_pairs(chunks: DataFrame, joins: Column, text: Column) -> DataFrame:
+    """Each chunk for which `joins` holds becomes `text` and the next chunk goes. A chunk that went joins no other.
+
+    `joins` and `text` may use the columns of the next chunk as next_<column>. Of a run of chunks that would all join,
+    every second one does, from the first on.
+    """
+    w = reading_order()
+    ahead = {f"next_{c}": F.lead(c).over(w) for c in chunks.columns if c not in ("doc_id", "pos")}
+    rows = chunks.withColumns(ahead).withColumn("__joins", F.coalesce(joins, F.lit(False)))
+    rows = rows.withColumn("__run", F.sum((~F.col("__joins")).cast("int")).over(so_far()))
+    place = F.sum(F.col("__joins").cast("int")).over(Window.partitionBy("doc_id", "__run").orderBy("pos"))
+    rows = rows.withColumn("__joins", F.col("__joins") & (place % 2 == 1))
+    rows = rows.withColumn("__gone", F.coalesce(F.lag("__joins").over(w), F.lit(False))).filter("NOT __gone")
+    return rows.withColumn("content", F.when(F.col("__joins"), text).otherwise(F.col("content"))).select(*chunks.columns)
+
+
+def _right(text: str) -> Column:
+    return F.regexp_replace(text, r"(?U)\s+\z", "")
+
+
+def _left(text: str) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+", "")
 
 
 def merge_sentences(chunks: DataFrame) -> DataFrame:
-    """Joins a chunk without a sentence end with the next one of its page if that begins in lower case; a joined chunk joins no other in the same pass."""
-    rows = chunks.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("pos", "content"))).alias("__rows"))
-    folded = F.expr(
-        """aggregate(__rows, array(cast(null AS struct<pos: bigint, content: string, merged: boolean>)), (acc, r) -> IF(
-            element_at(acc, -1) IS NOT NULL AND NOT element_at(acc, -1).merged AND element_at(acc, -1).content <> '' AND NOT rtrim(element_at(acc, -1).content) RLIKE '[.!?:;]["\\')]?$'
-              AND ltrim(r.content) RLIKE '^\\\\p{Ll}',
-            concat(slice(acc, 1, size(acc) - 1), array(named_struct('pos', element_at(acc, -1).pos, 'content', concat(rtrim(element_at(acc, -1).content), ' ', ltrim(r.content)), 'merged', true))),
-            concat(acc, array(named_struct('pos', r.pos, 'content', r.content, 'merged', false)))))"""
-    )
-    return rows.select("doc_id", "page_number", F.explode(F.filter(folded, lambda x: x.isNotNull())).alias("r")).select("doc_id", "page_number", "r.pos", "r.content")
-
-
-def move_prepositions(chunks: DataFrame, words=("of", "for", "with", "von", "für", "mit", "de", "avec", "van", "voor")) -> DataFrame:
-    """A chunk's last word, if it is a preposition of its own line or end and the next chunk begins with a capital, goes there."""
-    pattern = rf"(?:^|\s)({'|'.join(words)})\s*$"
-    hungry = lambda c, nxt, gap: c.rlike("(?i)" + pattern) & nxt.rlike(r"^\s*\p{Lu}") & (gap <= 1)
-    moves = F.coalesce(hungry(F.col("content"), F.lead("content").over(reading_order()), F.lead("page_number").over(reading_order()) - F.col("page_number")), F.lit(False))
-    rows = chunks.withColumn("__moves", moves)
-    word = F.regexp_extract(F.col("content"), "(?i)" + pattern, 1)
-    rows = rows.withColumn("__given", F.when(F.col("__moves"), word))
-    got = F.lag("__given").over(reading_order())
-    kept = F.when(F.col("__moves"), F.rtrim(F.regexp_replace("content", "(?i)" + pattern, ""))).otherwise(F.col("content"))
-    return rows.withColumn("__got", got).withColumn("content", F.when(F.col("__got").isNotNull(), F.concat("__got", F.lit(" "), kept)).otherwise(kept)).drop("__moves", "__given", "__got")
+    """Joins a chunk that ends amid a sentence with the next one of its page if that begins in lower case; a joined chunk joins no other in the same pass."""
+    rows = chunks.select("doc_id", "page_number", "pos", "content").filter("content <> ''")
+    joins = (F.col("page_number") == F.col("next_page_number")) & ~_right("content").rlike(r"(?U)[.!?:;\"')\]}\d]\z") & _left("next_content").rlike(r"^\p{Ll}")
+    return merge_pairs(rows, joins, F.concat(_right("content"), F.lit(" "), _left("next_content")))
+
+
+#: Ends of words that a column break tears off (fixed values).
+SUFFIXES = (
+    "ment", "ments", "ness", "tion", "tions", "sion", "sions", "ing", "ings", "ated", "ates", "ized", "izes", "ance", "ences", "ence", "ances", "ible", "able", "ward", "wards", "wise", "ure", "ures",
+    "ive", "ives", "ary", "ory", "ery", "nge", "uce", "rames", "ted", "ent", "ers", "ler", "ding", "king", "ling", "ring", "sing", "ting", "ched", "shed", "ies", "ied",
+)
+
+
+def rejoin_fragments(chunks: DataFrame) -> DataFrame:
+    """A chunk that ends in a small letter takes the whole next one of its page if that begins with a torn-off word end and goes on."""
+    first = F.regexp_extract(F.col("next_content"), r"(?U)^\s*(\S+)\s+\S", 1)
+    torn = F.regexp_replace(first, r"[.,;:!?]+\z", "").isin(*SUFFIXES)
+    joins = (F.col("page_number") == F.col("next_page_number")) & _right("content").rlike(r"[a-z]\z") & torn
+    return merge_pairs(chunks, joins, F.concat(_right("content"), _left("next_content")))
+
+
+#: Prepositions that wait for their noun (fixed values).
+HUNGRY = (
+    "by", "for", "of", "with", "from", "to", "in", "at", "on", "von", "für", "mit", "aus", "bei", "nach", "zu",
+    "van", "voor", "met", "uit", "bij", "naar", "door", "par", "pour", "de", "avec",
+)
+
+
+def move_prepositions(chunks: DataFrame) -> DataFrame:
+    """A preposition alone on a chunk's last line goes to the next chunk, on this page or the one after, if that begins with a capital.
+
+    Empty chunks are passed over, and a chunk that this empties goes. A chunk of one line that was given a preposition
+    keeps it, as its line then has two words.
+    """
+    w = reading_order()
+    rows = chunks.filter("content <> ''").withColumn("__text", _right("content"))
+    rows = rows.withColumn("__last", F.regexp_replace(F.element_at(F.split("__text", "\n", -1), -1), r"(?U)^\s+|\s+\z", "")).withColumn("__word", F.regexp_replace("__last", r"^[.,;:!?]+|[.,;:!?]+\z", ""))
+    gap = F.abs(F.lead("page_number").over(w) - F.col("page_number"))
+    base = F.lower("__word").isin(*HUNGRY) & ~F.col("__last").rlike(r"(?U)\s") & (gap <= 1) & F.lead("content").over(w).rlike(r"(?U)^\s*\p{Lu}")
+    rows = rows.withColumn("__base", F.coalesce(base, F.lit(False))).withColumn("__one", F.col("__base") & ~F.col("__text").contains("\n"))
+    # a run of one-line chunks takes turns, which the chunk before it begins
+    rows = rows.withColumn("__run", F.sum((~F.col("__one")).cast("int")).over(so_far()))
+    run = Window.partitionBy("doc_id", "__run").orderBy("pos")
+    rows = rows.withColumn("__turn", F.sum(F.col("__one").cast("int")).over(run)).withColumn("__began", F.first(F.when(~F.col("__one"), F.col("__base")), ignorenulls=True).over(run))
+    odd = F.when(F.coalesce("__began", F.lit(False)), 0).otherwise(1)
+    rows = rows.withColumn("__moves", F.when(F.col("__one"), F.col("__turn") % 2 == odd).otherwise(F.col("__base")))
+    rows = rows.withColumn("__got", F.lag(F.when(F.col("__moves"), F.col("__word"))).over(w))
+    given = F.when(F.col("__got").isNotNull(), F.concat("__got", F.lit(" "), _left("content"))).otherwise(F.col("content"))
+    rows = rows.withColumn("__given", given)
+    cut = F.regexp_replace(F.regexp_replace(_right("__given"), r"(?:^|\n)[^\n]*\z", ""), r"(?U)\s+\z", "")
+    rows = rows.withColumn("content", F.when(F.col("__moves"), cut).otherwise(F.col("__given"))).filter("NOT (__moves AND content = '')")
+    return rows.select(*chunks.columns).unionByName(chunks.filter("content = ''"))

@@ -223,27 +223,6 @@ def skip_category(spark, d):
     return chunks(spark, d).select("doc_id", "pos", P.skip_category(c("content"), "academic_whitepaper").alias("category"))
 
 
-@query("f02_f29_predicates")
-def predicates(spark, d):
-    x = c("content")
-    named = {
-        "noise": P.is_noise(x), "advertisement": P.is_advertisement(x), "artifacts": P.has_artifacts(x), "corrupt": P.is_corrupt(x), "repeats": P.repeats_first_token(x), "contents_page": P.is_contents_page(x),
-        "code": P.looks_like_code(x), "code_lines": P.code_lines(x), "label": P.is_label(x), "heading": P.is_heading(x), "table": P.is_markdown_table(x), "boilerplate": P.is_boilerplate(x), "soak": P.soak_eligible(x),
-        "blank": P.blank_page(x), "dropped": P.drop_corrupt_chunk(x, F.lit("hybrid")), "subtitle": P.continues_subtitle(x, F.lit("paragraph"), c("source")), "keyword": P.keyword_of(x),
-    }
-    return chunks(spark, d).select("doc_id", "pos", *(v.alias(k) for k, v in named.items()))
-
-
-@query(
-    "f04_f10_sql",
-    f"""WITH {CHUNKS} SELECT doc_id, pos, regexp_matches(content, '/C\\d{{1,3}}|/uni[0-9A-Fa-f]{{4}}|\\\\x[0-9A-Fa-f]{{2}}|\\x{{FFFD}}') OR regexp_matches(content, '—{{6,}}|[CS]{{10,}}') AS artifacts,
-  len(regexp_extract_all(content, '(?i)ISBN|ISSN|©\\s*\\d{{4}}|all rights reserved|printed in|library of congress')) >= 2 AS boilerplate,
-  content LIKE '%the%' AND page_number = 1 AS keyword_hit FROM chunks""",
-)
-def f_sql(spark, d):
-    return chunks(spark, d).select("doc_id", "pos", P.has_artifacts(c("content")).alias("artifacts"), P.is_boilerplate(c("content")).alias("boilerplate"), (c("content").contains("the") & (c("page_number") == 1)).alias("keyword_hit"))
-
-
 @query(
     "c01_c05_classes",
     f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, content, lower(content) AS l, length(content) AS n FROM chunks)
@@ -269,16 +248,6 @@ def text_confidence(spark, d):
     return chunks(spark, d).select("doc_id", "pos", C.text_confidence(c("content")).alias("confidence"))
 
 
-@query("c11_c26_scores")
-def scores(spark, d):
-    x = c("content")
-    n = F.char_length(x)
-    return chunks(spark, d).select(
-        "doc_id", "pos", C.recognition_artifacts(x).alias("artifacts"), C.noise_level(x, n / 5000).alias("noise"), C.recovery_class(x).alias("recovery_class"), C.tier(C.text_confidence(x)).alias("tier"),
-        C.vision_status(x).alias("vision_status"), C.min_dimension(n / 1000).alias("min_dimension"), C.search_priority(F.lit("text"), F.lit("literature"), c("page_number"), F.lit(2), F.lit(False)).alias("priority"),
-    )
-
-
 @query("z_refine")
 def refine(spark, d):
     x = c("content")
@@ -288,40 +257,6 @@ def refine(spark, d):
 # ---- chunkers
 
 
-def _exploded(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", F.posexplode("chunks").alias("part", "chunk"))
-
-
-@query("x02_sentence_chunks")
-def x02(spark, d):
-    return _exploded(X.sentence_chunks(docs(spark, d).select("doc_id", "text")))
-
-
-@query("x03_word_chunks")
-def x03(spark, d):
-    return _exploded(X.word_chunks(docs(spark, d).select("doc_id", "text"), most=1200))
-
-
-@query("x07_mapper_chunks")
-def x07(spark, d):
-    return _exploded(X.mapper_chunks(docs(spark, d).select("doc_id", "text")))
-
-
-@query("x10_line_chunks")
-def x10(spark, d):
-    return _exploded(X.line_chunks(docs(spark, d).select("doc_id", "text")))
-
-
-@query("x11_token_chunks")
-def x11(spark, d):
-    return _exploded(X.token_chunks(docs(spark, d).select("doc_id", "text")))
-
-
-@query("x13_index_chunks")
-def x13(spark, d):
-    return _exploded(X.index_chunks(docs(spark, d).select("doc_id", "text")))
-
-
 @query("x18_sentences", "SELECT doc_id, len(list_filter(list_transform(string_split_regex(replace(text, chr(10), ' . '), '[.!?]\\s+'), lambda x: trim(x)), lambda x: x <> ''))::INT AS n FROM documents")
 def x18(spark, d):
     return docs(spark, d).select("doc_id", F.size(X.sentences(c("text"))).alias("n"))
@@ -392,21 +327,6 @@ def orphans(spark, d):
     return W.orphan_labels(chunks(spark, d), P.is_label(c("content"))).select("doc_id", "pos", "orphan")
 
 
-@query("m04_sentence_merge")
-def m04(spark, d):
-    return W.merge_sentences(chunks(spark, d))
-
-
-@query("m05_prepositions")
-def m05(spark, d):
-    return W.move_prepositions(chunks(spark, d)).select("doc_id", "pos", "content")
-
-
-@query("m07_overlap_trim")
-def m07(spark, d):
-    return W.trim_overlap(chunks(spark, d))
-
-
 # ---- repetition
 
 
@@ -438,16 +358,6 @@ def d02(spark, d):
     return D.drop_near_repeats(chunks(spark, d)).select("doc_id", "page_number", "pos")
 
 
-@query(
-    "d04_similar_hashes",
-    "WITH h AS (SELECT vec_id AS image_id, list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END))::BIGINT AS phash FROM embeddings) "
-    "SELECT a.image_id AS id_a, b.image_id AS id_b, bit_count(xor(a.phash, b.phash))::INT AS distance FROM h a JOIN h b ON a.image_id < b.image_id WHERE bit_count(xor(a.phash, b.phash)) <= 4",
-)
-def d04(spark, d):
-    bits = F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"), lambda s, i: s + F.when(F.get("embedding", i) > 0, F.expr("1L") * F.pow(F.lit(2.0), i).cast("long")).otherwise(F.lit(0).cast("long")))
-    return D.similar_hashes(S.table(spark, d, "embeddings").select(c("vec_id").alias("image_id"), bits.alias("phash")), 4)
-
-
 @query(
     "d07_long_repeats",
     f"""WITH {CHUNKS}, t AS (SELECT doc_id, page_number, trim(regexp_replace(content, '\\s+', ' ', 'g')) AS t FROM chunks)
@@ -507,15 +417,6 @@ def a12(spark, d):
     return A.conversion_audit(chunks(spark, d)).select("lang", "n_chunks", "chars", "longest", "empty", "piped", "tokens")
 
 
-@query(
-    "a15_page_outliers",
-    f"""WITH {CHUNKS}, p AS (SELECT doc_id, page_number, count(*) AS n_chunks, sum(length(content))::BIGINT AS chars FROM chunks GROUP BY ALL),
-m AS (SELECT doc_id, greatest(30, floor(median(n_chunks) * 8)) AS mc, greatest(50000, floor(median(chars) * 12)) AS mt FROM p GROUP BY doc_id) SELECT doc_id, page_number, n_chunks, chars FROM p JOIN m USING (doc_id) WHERE n_chunks > mc OR chars > mt""",
-)
-def a15(spark, d):
-    return A.page_outliers(chunks(spark, d))
-
-
 @query("a16_collection", f"WITH {CHUNKS} SELECT source, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM chunks), 6) AS percent, median(length(content)) AS median_chars, round(avg(length(content)), 6) AS mean_chars FROM chunks GROUP BY source")
 def a16(spark, d):
     return A.collection_stats(chunks(spark, d)).withColumns({"percent": F.round("percent", 6), "mean_chars": F.round("mean_chars", 6)})
@@ -590,54 +491,9 @@ def r13(spark, d):
 # ---- gates
 
 
-@query(
-    "q03_missing_pages",
-    f"""WITH {CHUNKS}, g AS (SELECT doc_id, page_number FROM chunks GROUP BY doc_id, page_number HAVING sum(length(content)) <= 150)
-SELECT doc_id, CASE WHEN count(*) > 1 THEN 'FAIL' ELSE 'WARN' END AS severity, 'PAGE_MISSING' AS code, count(*) AS n FROM g GROUP BY doc_id""",
-)
-def q03(spark, d):
-    rows = chunks(spark, d)
-    pages = rows.groupBy("doc_id", "page_number").agg(F.sum(F.char_length("content")).alias("n"))
-    return Q.missing_pages(pages.filter("n > 150"), rows.groupBy("doc_id").agg(F.max("page_number").alias("total_pages")))
-
-
-@query(
-    "q02_invariants",
-    f"""WITH {CHUNKS}, e AS (SELECT doc_id, count(*) FILTER (trim(content) = '') AS n FROM chunks GROUP BY doc_id),
-x AS (SELECT doc_id, count(*) - 1 AS n FROM chunks WHERE trim(content) <> '' GROUP BY doc_id, page_number, trim(content)),
-a AS (SELECT doc_id, count(*) AS n FROM chunks WHERE regexp_matches(content, '/C\\d{{1,3}}|/uni[0-9A-Fa-f]{{4}}|\\\\x[0-9A-Fa-f]{{2}}|\\x{{FFFD}}|—{{6,}}|[CS]{{10,}}') GROUP BY doc_id)
-SELECT doc_id, 'FAIL' AS severity, 'EMPTY_TEXT' AS code, n FROM e WHERE n > 0 UNION ALL SELECT doc_id, 'FAIL', 'REPEATED_TEXT', sum(n)::BIGINT FROM x GROUP BY doc_id HAVING sum(n) > 0
-UNION ALL SELECT doc_id, 'WARN', 'ENCODING_ARTIFACTS', n FROM a""",
-)
-def q02(spark, d):
-    return Q.invariants(chunks(spark, d))
-
-
-@query("q01_verdicts")
-def q01(spark, d):
-    return Q.verdicts(Q.invariants(chunks(spark, d)), docs(spark, d))
-
-
-@query("m03_fragments")
-def m03(spark, d):
-    return O.rejoin_fragments(chunks(spark, d)).select("doc_id", "pos", "content")
-
-
-@query("m06_hyphenated")
-def m06(spark, d):
-    rows = chunks(spark, d).withColumn("content", F.when(c("pos") % 2 == 0, F.concat("content", F.lit("-"))).otherwise(F.lower("content")))
-    return O.rejoin_hyphenated(rows).select("doc_id", "pos", "content")
-
-
-@query("m08_trailing_headings")
-def m08(spark, d):
-    rows = chunks(spark, d).withColumn("parent_heading", F.when(F.char_length("content") < 30, c("content")))
-    return O.strip_trailing_heading(rows).select("doc_id", "pos", "content")
-
-
 @query("p05_p20_layout_repairs")
 def p05(spark, d):
-    return docs(spark, d).select("doc_id", O.collapse_spaced_heading(c("text")).alias("p05"), O.drop_repeated_lines(c("text")).alias("p16"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(c("text")).alias("p21"), O.description_class(c("text")).alias("f26"))
+    return docs(spark, d).select("doc_id", O.collapse_spaced_heading(c("text")).alias("p05"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(c("text")).alias("p21"), O.description_class(c("text")).alias("f26"))
 
 
 @query("w11_reading_order")
@@ -715,9 +571,16 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.conversion_audit(chunks(spark, sf_dir))
 
 
+def _register() -> None:
+    """The modules of queries register theirs when they are imported."""
+    from . import audits, rules, splits  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _register()
     return dict(_QUERIES)
 
 
 def oracles() -> dict[str, str]:
+    _register()
     return dict(_ORACLES)

@@ -59,7 +59,18 @@ CASES = [
     (P.blank_page, ("This page intentionally left blank",), True),
     (P.keyword_of, ("what does Catalyst do in the engine",), "Catalyst"),
     (C.tokens_stripped, ("0123456789",), 3),
+    (C.tokens_stripped, ("  ",), 0),
     (C.tokens_plain, ("",), 1),
+    (P.is_label, ("Reassembly Tips:",), True),
+    (P.is_label, ("Origin: United States",), False),
+    (P.is_advertisement, ("Hurry and subscribe",), True),
+    (P.is_advertisement, ("a calm and plain text",), False),
+    (P.has_artifacts, ("/uniFB01 x",), True),
+    (P.has_artifacts, (r"\xC3 x",), False),
+    (P.blank_page, ("Page left blank",), False),
+    (P.looks_like_code, ("one\n    two",), True),
+    (P.looks_like_code, ("from here to there",), True),
+    (P.looks_like_code, ("plain words\nmore words",), False),
     (C.edit_allowed, ("part ABC-123 is ok", "part ABC-124 is ok"), False),
     (C.edit_allowed, ("a  part", "a part"), True),
     (C.corruption_score, ("clean words only",), 0.0),
