@@ -193,3 +193,132 @@ def image_type(colours: Column, white: Column, saturation: Column) -> Column:
     diagram = (colours < 120) & (white > 0.30) & (saturation < 0.25)
     photo = (colours > 400) & (saturation > 0.20) & (white < 0.40)
     return F.struct(diagram.alias("is_diagram"), photo.alias("is_photo"))
+
+
+# ---- classes and confidences of the extraction lanes
+
+#: Words of technical texts as the element lane counts them (fixed values).
+TECHNICAL_WORDS = (
+    "algorithm", "architecture", "api", "class", "function", "method", "parameter", "configuration", "schema", "pipeline", "module", "implementation", "dataset", "model", "token",
+)
+#: Parts of layout labels and the chunk types that they mean, in the order in which they count (fixed values).
+LABEL_TYPES = (("title", "title"), ("heading", "heading"), ("section", "heading"), ("list", "list_item"), ("caption", "caption"), ("footnote", "footnote"), ("quote", "quote"), ("code", "code"))
+
+
+def element_class(content: Column, chunk_type: Column) -> Column:
+    """code by type, technical with two technical words or more, else editorial."""
+    hits = count_of(F.lower(F.coalesce(content, F.lit(""))), TECHNICAL_WORDS)
+    return F.when(F.coalesce(chunk_type == "code", F.lit(False)), "code").when(hits >= 2, "technical").otherwise("editorial")
+
+
+def label_type(label: Column) -> Column:
+    low, found = F.lower(label), F.lit("paragraph")
+    for part, kind in reversed(LABEL_TYPES):
+        found = F.when(low.contains(part), kind).otherwise(found)
+    return found
+
+
+def _unit(x: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
+
+
+def _plus(x: Column, more: float, when: Column) -> Column:
+    return F.when(F.coalesce(when, F.lit(False)), F.least(F.lit(1.0), x + more)).otherwise(x)
+
+
+def length_confidence(chars: Column) -> Column:
+    return F.when(chars > 2000, 0.9).when(chars > 500, 0.8).when(chars > 100, 0.7).when(chars > 20, 0.5).otherwise(0.2)
+
+
+def pdf_confidence(score: Column, chars: Column, image_share: Column) -> Column:
+    base = F.coalesce(score.cast("double"), length_confidence(chars)) * F.when(image_share > 0.5, 0.9).otherwise(1.0)
+    return _unit(base * F.when(chars < 50, 0.5).when(chars < 100, 0.7).otherwise(1.0))
+
+
+def book_confidence(chars: Column, has_contents: Column, chapters: Column, errors: Column) -> Column:
+    base = _plus(_plus(length_confidence(chars), 0.1, has_contents), 0.05, chapters > 3)
+    return _unit(base - F.when(errors > 0, F.least(F.lit(0.3), errors * 0.05)).otherwise(0.0))
+
+
+def html_confidence(score: Column, chars: Column, article: Column, main: Column, boilerplate: Column) -> Column:
+    """score is out of 100, or null."""
+    base = _plus(_plus(F.coalesce(score.cast("double") / 100, length_confidence(chars)), 0.05, article), 0.05, main)
+    return _unit(base * F.when(boilerplate > 0.7, 0.9).otherwise(1.0))
+
+
+def text_document_confidence(chars: Column, paragraphs: Column, styles: Column) -> Column:
+    base = F.when(chars > 100, F.greatest(length_confidence(chars), F.lit(0.85))).otherwise(length_confidence(chars))
+    return _unit(_plus(_plus(base, 0.05, paragraphs > 5), 0.03, styles))
+
+
+def slides_confidence(slides: Column, chars: Column, notes: Column) -> Column:
+    each = chars / F.greatest(slides, F.lit(1))
+    return F.when(slides == 0, 0.0).otherwise(_unit(_plus(F.when(each > 200, 0.85).when(each > 50, 0.7).otherwise(0.5), 0.1, notes)))
+
+
+def sheet_confidence(cells: Column) -> Column:
+    return F.when(cells == 0, 0.0).when(cells > 100, 0.9).when(cells > 10, 0.8).otherwise(0.6)
+
+
+def word_reading_confidence(mean: Column, words: Column) -> Column:
+    """mean is out of 100, over words."""
+    return _unit(mean / 100.0 * F.when(words < 5, 0.7).otherwise(1.0))
+
+
+def line_reading_confidence(mean: Column, lines: Column) -> Column:
+    return _unit(_plus(mean.cast("double"), 0.05, lines > 0))
+
+
+def element_confidence(extraction: Column, layout: Column, classification: Column) -> Column:
+    """A struct of the weighted confidence, its tier and whether the extraction needs recognition."""
+    whole = extraction * 0.6 + layout * 0.2 + classification * 0.2
+    return F.struct(whole.alias("combined"), tier(whole).alias("tier"), needs_ocr(extraction).alias("needs_ocr"))
+
+
+#: Words with which no section begins, words of sections and what begins one (fixed values).
+NO_SECTION = (
+    "the and but or for with from into by of page continued see also more next prev previous advertisement advert sponsor subscribe subscription"
+).split()
+SECTION_WORDS = (
+    "news", "feature", "report", "analysis", "interview", "review", "special", "gallery", "inside", "profile", "cutting edge", "frontline", "airpower", "combat", "mission", "operation",
+    "squadron", "unit", "history", "heritage", "archive", "technology", "weapons", "systems",
+)
+SECTION_START = r"(?i)^(News|Feature|Report|Analysis|Interview|Review|Special|Gallery|Inside|Profile)\b"
+
+
+def section_of(text: Column, first_on_page: Column) -> Column:
+    """A struct (method, name, confidence) for a line that begins a section of a magazine, else null.
+
+    The shapes count in turn: number and title, capitals, title with colon, known beginning; then words of sections, which a
+    line must begin with or be short for; then, first on its page, a short line in title case.
+    """
+    t = strip_text(F.coalesce(text, F.lit("")))
+    low, n = F.lower(t), F.char_length(t)
+    usable = n.between(3, 60) & t.rlike(r"\p{L}") & ~F.regexp_extract(low, r"(?U)^(\S+)", 1).isin(*NO_SECTION)
+    told = lambda method, name, confidence: F.struct(F.lit(method).alias("method"), _section_name(name).alias("name"), (confidence if isinstance(confidence, Column) else F.lit(confidence)).alias("confidence"))
+    numbered, capitals, titled = r"^\d{1,3}\s+([A-Z][A-Za-z\s&-]{2,40})$", r"^([A-Z][A-Z\s&-]{3,40})$", r"^([A-Za-z\s]{2,20}):\s*(.+)$"
+    word = F.lit(False)
+    for w in SECTION_WORDS:
+        word = word | (low.contains(w) & (low.startswith(w) | (n < 30)))
+    words = F.split(t, r"(?U)\s+")
+    title_case = F.forall(words, lambda w: ~w.rlike(r"^\p{L}") | w.rlike(r"^\p{Lu}")) & (F.size(words) <= 5)
+    return F.when(
+        usable,
+        F.when(t.rlike(numbered), told("numbered_section", F.regexp_extract(t, numbered, 1), 0.9))
+        .when(t.rlike(capitals), told("caps_section", F.regexp_extract(t, capitals, 1), 0.85))
+        .when(t.rlike(titled), told("titled_section", F.regexp_extract(t, titled, 1), 0.95))
+        .when(t.rlike(SECTION_START), told("keyword_section", F.regexp_extract(t, SECTION_START, 1), 0.8))
+        .when(word, told("keyword_match", t, F.when(first_on_page, 0.75).otherwise(0.5)))
+        .when(first_on_page & (n < 40) & title_case, told("position_titlecase", t, 0.6)),
+    )
+
+
+def _section_name(name: Column) -> Column:
+    """Single blanks, without a leading number; capitals become title case."""
+    plain = F.regexp_replace(F.regexp_replace(strip_text(name), r"(?U)\s+", " "), r"^\d+ ?(?=.)", "")
+    return F.when((plain == F.upper(plain)) & (plain != F.lower(plain)), F.initcap(plain)).otherwise(plain)
+
+
+def wants_refiner(disabled: Column, enabled: Column, default: Column, corrupt: Column) -> Column:
+    """What was said explicitly counts, no before yes; else the default, for documents with faulty encoding only."""
+    return ~disabled & (enabled | (default & corrupt))

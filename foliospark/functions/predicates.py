@@ -280,3 +280,27 @@ def keyword_of(query: Column) -> Column:
     capital = F.filter(plain, lambda w: w.rlike(r"^\p{Lu}"))
     best = lambda a: F.element_at(F.array_sort(F.transform(a, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w")))), 1)["w"]
     return F.when(F.size(capital) > 0, best(capital)).when(F.size(plain) > 0, best(plain))
+
+
+# ---- pages of an index
+
+#: References, leaders and entries of contents and index pages (fixed values).
+INDEX_REFERENCE = r"\b\d{1,4}(?:,\s*\d{1,4}){2,}\b"
+CONTENTS_LEADER = r"(?:\.|\x{FFFD}){2,}\s*\d{1,4}\s*$"
+BACK_INDEX_ENTRY = r"^\s*[A-Za-z][^,\n]{1,80}?,\s*\d{1,4}(?:\s*[-,]\s*\d{1,4})*\s*$"
+BACK_INDEX_MARK = r"^(?:\d{1,4}\s*\|\s*Index|Index\s*\|\s*\d{1,4}|Index)\s*$"
+
+
+def is_back_index_page(lines: Column) -> Column:
+    """Of 20 lines or more, 65 % are index entries, or half of them beside a line that names the index."""
+    kept = F.filter(lines, lambda x: x.rlike(r"(?U)\S"))
+    bare = F.transform(kept, strip_text)
+    share = _share(bare, BACK_INDEX_ENTRY) / F.greatest(F.size(kept), F.lit(1))
+    return (F.size(kept) >= 20) & ((share >= 0.65) | ((share >= 0.50) & (_share(bare, BACK_INDEX_MARK) > 0)))
+
+
+def sanitise_contents(text: Column) -> Column:
+    """Cell marks, runs of replacement characters and wide gaps of a contents page become blanks."""
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r",\s*\d+\s*=", " ")
+    plain = F.regexp_replace(F.regexp_replace(plain, "[ \t]*�[� \t]*", " "), r"[ \t]{2,}", " ")
+    return strip_text(F.regexp_replace(plain, r"\n{3,}", "\n\n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify as C
 from ..functions import predicates as P
+from ..functions.text import strip_text
 
 #: Share of the tokens that filters may remove, by profile (fixed values).
 NOISE_ALLOWANCE = {"academic_whitepaper": 0.25, "technical_manual": 0.15, "digital_magazine": 0.10, "scanned_degraded": 0.05, "scanned": 0.05, "unknown": 0.10}
@@ -132,3 +133,40 @@ def regression(before: DataFrame, after: DataFrame) -> DataFrame:
     b, a = (x.select("query_id", F.col("top_chunks").alias(f"c_{s}"), F.get("top_docs", 0).alias(f"d_{s}")) for x, s in ((before, "b"), (after, "a")))
     verdict = F.when(~F.col("d_a").eqNullSafe(F.col("d_b")), "FAIL").when(F.slice("c_a", 1, 3) != F.slice("c_b", 1, 3), "DRIFT").otherwise("PASS")
     return b.join(a, "query_id").select("query_id", verdict.alias("verdict"))
+
+
+#: Labels of cells and list items (fixed values).
+SHORT_ITEMS = ("tablecell", "table_cell", "listitem", "list_item")
+
+
+def dense_pages(items: DataFrame) -> DataFrame:
+    """Pages (doc_id, page_number) of layout items (label, text) that are dense contents or index pages.
+
+    The label document_index tells one; else references, leaders and short cells must be frequent enough, in one of four ways.
+    """
+    text = strip_text(F.coalesce("text", F.lit("")))
+    label = F.lower(F.coalesce("label", F.lit("")))
+    short = label.isin(*SHORT_ITEMS) & (text != "") & (F.char_length(text) <= 12) & ~text.contains("\n")
+    pages = items.filter(F.col("page_number").isNotNull()).groupBy("doc_id", "page_number").agg(
+        F.max(label.isin("document_index", "documentindex")).alias("told"), F.count_if(text != "").alias("texts"), F.count_if(text.rlike(P.INDEX_REFERENCE)).alias("refs"),
+        F.count_if(text.rlike(P.CONTENTS_LEADER)).alias("leaders"), F.count_if(short).alias("short"), F.count_if(short & text.rlike(r"^\d{1,4}$")).alias("digits"),
+    )
+    refs, leaders, cells, texts = F.col("refs"), F.col("leaders"), F.col("short"), F.col("texts")
+    share = (refs + leaders + cells) / F.greatest(texts, F.lit(1))
+    many = (texts >= 18) & (3 * refs + 3 * leaders + cells >= 14) & (share >= 0.35) & ((refs + leaders >= 2) | (F.col("digits") >= 6))
+    dense = many | ((refs >= 4) & (cells >= 8)) | ((leaders >= 5) & (share >= 0.30)) | ((leaders >= 4) & (share >= 0.80))
+    return pages.filter(F.col("told") | ((texts >= 5) & dense)).select("doc_id", "page_number")
+
+
+def document_domain(chunks: DataFrame, headers: DataFrame) -> DataFrame:
+    """domain of each document of headers (doc_id, domain): its own, else that of the first chunk that has one, else unknown."""
+    first = chunks.filter(F.coalesce("domain", F.lit("")) != "").groupBy("doc_id").agg(F.min_by("domain", "pos").alias("__d"))
+    own = F.when(F.col("domain") != "", F.col("domain"))
+    return headers.join(first, "doc_id", "left").select("doc_id", F.lower(F.coalesce(own, "__d", F.lit("unknown"))).alias("domain"))
+
+
+def simple_balance(totals: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """variance of chunk_tokens against source_tokens and whether it is within tolerance; empty documents are valid."""
+    s = F.col("source_tokens")
+    variance = F.when(s > 0, F.abs(F.col("chunk_tokens") - s) / s).otherwise(0.0)
+    return totals.withColumn("variance", variance).withColumn("valid", variance <= tolerance)

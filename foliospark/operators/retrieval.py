@@ -6,6 +6,11 @@ The top rows are ranked by a window whose limit Spark applies in each task first
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,20 +36,55 @@ def top_k(scored: DataFrame, group: str, order: list[Column], k: int) -> DataFra
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def dense_search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query_id, vec_id, score and rank of the k nearest vectors by cosine; ties go to the smaller id."""
+def dense_search(vectors: DataFrame, queries: DataFrame, k: int, at_least: float | None = None) -> DataFrame:
+    """query_id, vec_id, score and rank of the k nearest vectors by cosine, rounded to six digits; ties go to the smaller id.
+
+    A block of queries is sent to every task, which multiplies it with one batch of vectors after another and keeps the k
+    best of each query, so k rows a query and task are shuffled. Zero vectors have score 0. Queries are the stated small
+    side: they are counted first, and more than QUERY_BLOCK are searched block by block.
+    """
     n = queries.count()
-    if n > QUERY_BLOCK:
-        blocks = -(-n // QUERY_BLOCK)
-        parts = [dense_search(vectors, queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b), k) for b in range(blocks)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    base = vectors.select("vec_id", unit(F.col("embedding")).alias("v"))
-    asked = queries.select("query_id", unit(F.col("embedding")).alias("q"))
-    scored = base.join(F.broadcast(asked)).select("query_id", "vec_id", dot(F.col("q"), F.col("v")).alias("score"))
-    return top_k(scored, "query_id", [F.desc("score"), F.col("vec_id")], k)
+    blocks = max(1, -(-n // QUERY_BLOCK))
+    parts = [queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) if blocks > 1 else queries for b in range(blocks)]
+    found = reduce(DataFrame.unionByName, (_searched(vectors, p, k) for p in parts))
+    if at_least is not None:
+        found = found.filter(F.col("score") >= at_least)
+    return top_k(found, "query_id", [F.desc("score"), F.col("vec_id")], k)
+
+
+def _searched(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "embedding").toPandas()
+    ids = asked["query_id"].tolist()
+    matrix = _units(asked["embedding"]) if ids else np.zeros((0, 1))
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))  # at most QUERY_BLOCK vectors
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, asked = shared.value
+        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, dtype=np.int64))] * len(names)
+        for frame in frames:
+            if not len(frame) or not names:
+                continue
+            own = frame["vec_id"].to_numpy(dtype=np.int64)
+            scores = np.round(asked @ _units(frame["embedding"]).T, 6)
+            for q in range(len(names)):
+                s, v = np.concatenate((best[q][0], scores[q])), np.concatenate((best[q][1], own))
+                if len(s) > k:
+                    near = np.flatnonzero(s >= -np.partition(-s, k - 1)[k - 1])
+                    order = near[np.lexsort((v[near], -s[near]))][:k]
+                    s, v = s[order], v[order]
+                best[q] = (s, v)
+        for q, (s, v) in enumerate(best):
+            yield pd.DataFrame({"query_id": names[q], "vec_id": v, "score": s})
+
+    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    found = rows.mapInPandas(run, "query_id string, vec_id long, score double")
+    return found.withColumn("query_id", F.col("query_id").cast(queries.schema["query_id"].dataType))
+
+
+def _units(vectors: pd.Series) -> np.ndarray:
+    matrix = np.stack(vectors.to_numpy()).astype(np.float64)
+    sizes = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+    return matrix / np.where(sizes > 0, sizes, 1.0)
 
 
 def sparse_vectors(docs: DataFrame) -> DataFrame:
@@ -79,11 +119,87 @@ def fuse_vectors(text: Column, image: Column) -> Column:
     return F.when(image.isNull(), unit(text)).otherwise(unit(F.zip_with(text, image, lambda a, b: (a + b) / 2)))
 
 
+def hybrid_search(dense: DataFrame, sparse: DataFrame, k: int) -> DataFrame:
+    """The k best documents of two ranked lists (query_id, doc_id, rank) of 2 * k each, by reciprocal rank fusion."""
+    first = lambda x: x.filter(F.col("rank") <= 2 * k)
+    return fuse_ranks(first(dense), first(sparse), "doc_id", k)
+
+
+def reranked(results: DataFrame, score: Column, k: int) -> DataFrame:
+    """Results (query_id, rank, breadcrumb, modality, description) by score and boosts; a query's only result stays as it is."""
+    n = F.count("*").over(Window.partitionBy("query_id"))
+    new = F.when(n > 1, boosted(score, F.col("breadcrumb"), F.col("modality"), F.col("description"))).otherwise(F.col("score"))
+    return top_k(results.withColumn("score", new).withColumnRenamed("rank", "__rank"), "query_id", [F.desc("score"), F.col("__rank")], k).drop("__rank")
+
+
+def search_points(vectors: DataFrame, payload: DataFrame, queries: DataFrame, k: int, modality: str | None = None, at_least: float = 0.20, over: int = 1) -> DataFrame:
+    """Search by vector within points (vec_id, modality, content) whose content has the query's keyword, or within all where none has it.
+
+    Queries are query_id, embedding and keyword; `over` times k results are fetched, for a ranker to choose from.
+    """
+    points = payload if modality is None else payload.filter(F.col("modality") == modality)
+    usable = vectors.join(points.select("vec_id", "content"), "vec_id")
+    plain = _filtered(usable, queries, k * over, at_least)
+    worded = _filtered(usable, queries.filter(F.col("keyword").isNotNull()), k * over, at_least, by_word=True)
+    rest = plain.join(worded.select("query_id").distinct(), "query_id", "left_anti")
+    return worded.unionByName(rest)
+
+
+def _filtered(usable: DataFrame, queries: DataFrame, k: int, at_least: float, by_word: bool = False) -> DataFrame:
+    if not by_word:
+        return dense_search(usable, queries, k, at_least)
+    words = queries.select("keyword").distinct()
+    if words.count() > QUERY_BLOCK:
+        raise ValueError(f"more than {QUERY_BLOCK} keywords in one search")
+    hits = usable.join(F.broadcast(words), F.contains(F.lower("content"), F.lower("keyword")))  # a stated set of words, checked above
+    scored = hits.join(queries.select("query_id", "keyword", F.col("embedding").alias("__q")), "keyword")
+    score = F.round(dot(unit(F.col("__q")), unit(F.col("embedding"))), 6)
+    found = scored.select("query_id", "vec_id", score.alias("score")).filter(F.col("score") >= at_least)
+    return top_k(found, "query_id", [F.desc("score"), F.col("vec_id")], k)
+
+
+def browse(points: DataFrame, page: Column | None = None, text: Column | None = None) -> DataFrame:
+    """Points of a page, or with a text in them, in order: text, tables, images, then by id."""
+    kind = F.when(F.col("modality") == "text", 0).when(F.col("modality") == "table", 1).when(F.col("modality") == "image", 2).otherwise(3)
+    rows = points if page is None else points.filter(F.col("page_number") == page)
+    rows = rows if text is None else rows.filter(F.lower("content").contains(F.lower(text)))
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("doc_id", "page_number").orderBy(kind, "chunk_id")))
+
+
 def within_budget(ranked: DataFrame, budget: int) -> DataFrame:
-    """Per query the ranked rows up to the first whose tokens would pass the budget."""
+    """Per query the ranked rows up to the first whose tokens, a quarter of the characters, would pass the budget.
+
+    A row's text is its content and a blank line behind it, with its breadcrumb, if it has one, on a line before.
+    """
     w = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spent = F.sum(F.greatest(F.lit(1), F.floor(F.char_length("content") / 4))).over(w)
-    return ranked.withColumn("spent", spent).filter(F.col("spent") <= budget)
+    path = F.col("breadcrumb") if "breadcrumb" in ranked.columns else F.lit(None).cast("array<string>")
+    head = F.when(F.size(path) > 0, F.concat(F.lit("[Section: "), F.array_join(path, " > "), F.lit("]\n"))).otherwise(F.lit(""))
+    rows = ranked.withColumn("text", F.concat(head, "content", F.lit("\n\n")))
+    spent = F.sum(F.floor(F.char_length("text") / 4)).over(w)
+    return rows.withColumn("spent", spent).filter(F.col("spent") <= budget)
+
+
+def context_images(cross: DataFrame, plain: DataFrame, most: int = 3) -> DataFrame:
+    """Per query up to `most` images (query_id, rank, asset_path), each once: those of the cross-modal search first."""
+    both = cross.withColumn("__list", F.lit(0)).unionByName(plain.withColumn("__list", F.lit(1))).filter(F.coalesce("asset_path", F.lit("")) != "")
+    once = both.withColumn("__n", F.row_number().over(Window.partitionBy("query_id", "asset_path").orderBy("__list", "rank"))).filter("__n = 1")
+    return top_k(once.withColumnRenamed("rank", "__rank"), "query_id", [F.col("__list"), F.col("__rank"), F.col("asset_path")], most).drop("__list", "__n", "__rank")
+
+
+SYSTEM_PROMPT = "You are a helpful assistant analyzing documents.\nUse the provided context to answer questions accurately.\nCite sources using [Source: filename p.X] format."
+
+
+def contexts(rows: DataFrame) -> DataFrame:
+    """query_id and text_context, the texts of within_budget's rows one after another."""
+    ordered = F.sort_array(F.collect_list(F.struct("rank", "text")))
+    return rows.groupBy("query_id").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "").alias("text_context"))
+
+
+def chat_request(context: Column, question: Column, model: str = "local-model", temperature: float = 0.3, most: int = 1024) -> Column:
+    """The JSON of a text-only chat request."""
+    prompt = F.concat(F.lit("Context:\n"), context, F.lit("\n\nQuestion: "), question, F.lit("\n\nAnswer based on the context above. Cite specific sources."))
+    message = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    return F.to_json(F.struct(F.lit(model).alias("model"), F.array(message("system", F.lit(SYSTEM_PROMPT)), message("user", prompt)).alias("messages"), F.lit(temperature).alias("temperature"), F.lit(most).alias("max_tokens")))
 
 
 def stratified(rows: DataFrame, group: str, key: str, n: int, seed: str) -> DataFrame:

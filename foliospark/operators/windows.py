@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip_text
+
 SNIPPET = 300
 LEVELS = 5
 
@@ -63,10 +65,29 @@ def cross_page_labels(chunks: DataFrame, is_label: Column) -> DataFrame:
 
 
 def page_of_marker(chunks: DataFrame, marker: Column, per_page: int = 5) -> DataFrame:
-    """synthetic_page: chapter * 1000 + position within the chapter // per_page, the chapter being the last marker."""
-    rows = chunks.withColumn("chapter", F.coalesce(F.last(marker, ignorenulls=True).over(so_far()), F.lit(0)))
-    at = F.row_number().over(Window.partitionBy("doc_id", "chapter").orderBy("pos")) - 1
-    return rows.withColumn("synthetic_page", (F.col("chapter") * 1000 + F.floor(at / per_page)).cast("long"))
+    """Synthetic pages of a book without pages, for chunks of which `marker` tells the chapter that begins there.
+
+    synthetic_page is chapter * 1000 + place // per_page, the place counting the chapter's chunks from 0. Content is stripped
+    and blank chunks go, as do those that repeat one of their page, before places are counted. Chunks before the first
+    marker belong to the chapter before it (at least 1); without any marker all are of chapter 1.
+    """
+    w = Window.partitionBy("doc_id")
+    rows = chunks.withColumn("__marker", marker).withColumn("content", strip_text(F.coalesce("content", F.lit(""))))
+    first = F.min_by("__marker", F.when(F.col("__marker").isNotNull(), F.col("pos"))).over(w)
+    rows = rows.withColumn("__own", F.last("__marker", ignorenulls=True).over(so_far())).withColumn("__first", first)
+    rows = rows.withColumn("chapter", F.coalesce("__own", F.greatest(F.lit(1), F.col("__first") - 1), F.lit(1)).cast("int"))
+    # a chapter that is marked again after another one counts its places anew
+    again = F.coalesce("__own", F.lit(-1)) != F.coalesce(F.lag(F.coalesce("__own", F.lit(-1))).over(reading_order()), F.lit(-2))
+    rows = rows.withColumn("__part", F.sum(again.cast("int")).over(so_far())).filter("content <> ''")
+    grouped = rows.groupBy("doc_id", "chapter").agg(F.sort_array(F.collect_list(F.struct("pos", "__part", "content"))).alias("__rows"))
+    placed = F.expr(
+        f"""aggregate(__rows, named_struct('part', cast(-1 AS bigint), 'n', 0, 'out', cast(array() AS array<struct<pos: bigint, content: string, page: bigint>>)), (a, r) ->
+            transform(array(IF(a.part = r.__part, a.n, 0)), n -> transform(array(cast(chapter * 1000 + n DIV {per_page} AS bigint)), page ->
+              IF(exists(a.out, o -> o.page = page AND o.content = r.content), named_struct('part', r.__part, 'n', n, 'out', a.out),
+                 named_struct('part', r.__part, 'n', n + 1, 'out', concat(a.out, array(named_struct('pos', r.pos, 'content', r.content, 'page', page))))))[0])[0], a -> a.out)"""
+    )
+    kept = grouped.select("doc_id", "chapter", F.explode(placed).alias("__o")).select("doc_id", F.col("__o.pos").alias("pos"), F.col("__o.page").alias("synthetic_page"))
+    return rows.join(kept, ["doc_id", "pos"]).select(*chunks.columns, "chapter", "synthetic_page")
 
 
 def front_matter(chunks: DataFrame, is_chapter: Column) -> DataFrame:

@@ -81,19 +81,6 @@ def point_ids(spark, d):
     return docs(spark, d).select("doc_id", I.point_id(F.concat_ws("#", "source", c("doc_id").cast("string"))).alias("point_id"))
 
 
-@query("s01_formats", "SELECT 'html' AS format, count(*) AS n FROM pages WHERE html IS NOT NULL AND trim(html) <> ''")
-def formats(spark, d):
-    pages = S.table(spark, d, "pages").select(c("html").cast("binary").alias("content"), F.concat(F.lit("p"), "page_id", F.lit(".bin")).alias("path"))
-    return pages.groupBy(S.format_of(c("content"), c("path")).alias("format")).agg(F.count("*").alias("n")).filter("format <> 'unknown'")
-
-
-@query("s05_synthetic_pages", f"""WITH {CHUNKS}, m AS (SELECT doc_id, pos, sum((pos % 7 = 3)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS chapter FROM chunks)
-SELECT doc_id, pos, (chapter * 1000 + (row_number() OVER (PARTITION BY doc_id, chapter ORDER BY pos) - 1) // 5)::BIGINT AS synthetic_page FROM m""")
-def synthetic_pages(spark, d):
-    marker = F.when(c("pos") % 7 == 3, F.floor((c("pos") + 4) / 7).cast("int"))
-    return W.page_of_marker(chunks(spark, d), marker).select("doc_id", "pos", "synthetic_page")
-
-
 @query("s06_html_text")
 def html_text(spark, d):
     return S.table(spark, d, "pages").select("page_id", S.html_text(c("html")).alias("text"), S.html_title(c("html")).alias("title"))
@@ -439,18 +426,6 @@ def a10(spark, d):
 # ---- retrieval
 
 
-@query(
-    "r01_dense_top_k",
-    """WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
-s AS (SELECT query_id, vec_id, round(list_cosine_similarity(e::DOUBLE[], embedding::DOUBLE[]), 6) AS score FROM q, embeddings),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, rank, score FROM r WHERE rank <= 5""",
-)
-def r01(spark, d):
-    vectors = S.table(spark, d, "embeddings")
-    asked = vectors.filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"), "embedding")
-    return V.dense_search(vectors, asked, 5).select("query_id", "rank", F.round("score", 6).alias("score"))
-
-
 @query(
     "r03_sparse_vectors",
     """WITH t AS (SELECT doc_id, unnest(string_split(trim(regexp_replace(lower(text), '\\s+', ' ', 'g')), ' ')) AS token FROM documents), k AS (SELECT doc_id, token, count(*) AS tf FROM t WHERE token <> '' GROUP BY ALL)
@@ -460,29 +435,6 @@ def r03(spark, d):
     return V.sparse_vectors(docs(spark, d)).groupBy("doc_id").agg(F.count("*").alias("terms"), F.round(F.sum("weight"), 6).alias("weight"))
 
 
-def _hybrid(spark, d):
-    index = V.sparse_vectors(docs(spark, d))
-    asked = V.sparse_vectors(S.table(spark, d, "benchmark").select(c("item_id").alias("doc_id"), "text")).withColumnRenamed("doc_id", "query_id")
-    return index, asked
-
-
-@query("r02_hybrid")
-def r02(spark, d):
-    index, asked = _hybrid(spark, d)
-    one = V.sparse_search(index, asked, 10)
-    two = V.sparse_search(index.filter(F.char_length("token") > 4), asked, 10)
-    return V.fuse_ranks(one, two, "doc_id", 5).select("query_id", "doc_id", F.round("score", 9).alias("score"), "rank")
-
-
-@query(
-    "r07_context_budget",
-    """WITH t AS (SELECT conv_id, turn, sum(greatest(1, length(text) // 4)) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS spent FROM conversations WHERE text IS NOT NULL) SELECT conv_id, turn, spent::BIGINT AS spent FROM t WHERE spent <= 200""",
-)
-def r07(spark, d):
-    turns = S.table(spark, d, "conversations").filter("text IS NOT NULL").select(c("conv_id").alias("query_id"), c("turn").alias("rank"), c("text").alias("content"))
-    return V.within_budget(turns, 200).select(c("query_id").alias("conv_id"), c("rank").alias("turn"), "spent")
-
-
 @query("r13_stratified", "WITH o AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY md5('s1:' || doc_id)) AS n FROM documents) SELECT source, doc_id FROM o WHERE n <= 3")
 def r13(spark, d):
     return V.stratified(docs(spark, d), "source", "doc_id", 3, "s1")
@@ -525,26 +477,6 @@ def c13(spark, d):
     return O.content_domain(rows).select("doc_id", "domain")
 
 
-@query(
-    "a17_recall",
-    """WITH q AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], embedding::DOUBLE[]) AS s FROM embeddings WHERE vec_id % 20 = 0) SELECT count(*) AS n, 1.0::DOUBLE AS chunk_at_1, 1.0::DOUBLE AS chunk_at_5, 1.0::DOUBLE AS doc_at_5 FROM q""",
-)
-def a17(spark, d):
-    vectors = S.table(spark, d, "embeddings")
-    asked = vectors.filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"), "embedding")
-    top = V.dense_search(vectors, asked, 5).groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "vec_id"))), lambda x: x["vec_id"]).alias("top_chunks"))
-    rows = top.select("query_id", c("query_id").alias("gold_chunk"), c("query_id").alias("gold_doc"), "top_chunks", c("top_chunks").alias("top_docs"))
-    return A.recall(rows)
-
-
-@query("a18_regression", "SELECT vec_id AS query_id, CASE WHEN vec_id % 40 = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM embeddings WHERE vec_id % 20 = 0")
-def a18(spark, d):
-    ids = S.table(spark, d, "embeddings").filter("vec_id % 20 = 0").select(c("vec_id").alias("query_id"))
-    before = ids.select("query_id", F.array("query_id").alias("top_chunks"), F.array("query_id").alias("top_docs"))
-    other = F.when(c("query_id") % 40 == 0, c("query_id")).otherwise(c("query_id") + 1)
-    return A.regression(before, ids.select("query_id", F.array(other).alias("top_chunks"), F.array(other).alias("top_docs")))
-
-
 @query("e_models")
 def models(spark, d):
     return E.apply_model(S.table(spark, d, "benchmark"), "text", "answer", E.HashEmbedder()).select("item_id", "answer")
@@ -573,7 +505,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register() -> None:
     """The modules of queries register theirs when they are imported."""
-    from . import audits, rules, splits  # noqa: F401
+    from . import audits, lanes, rules, splits  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

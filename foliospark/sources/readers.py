@@ -31,20 +31,35 @@ def files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
 
 
-def format_of(content: Column, path: Column) -> Column:
-    """Format by the first bytes, then by the names within a ZIP, then by the file name; `unknown` else."""
+#: Formats by MIME type (fixed values).
+MIME_TYPES = {
+    "application/pdf": "pdf", "application/epub+zip": "epub", "text/html": "html", "application/xhtml+xml": "html", "text/markdown": "markdown", "text/plain": "text",
+    "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "docx", "application/vnd.openxmlformats-officedocument.presentationml.presentation": "pptx",
+    "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": "xlsx",
+}
+
+
+def _named(key: Column, table: dict[str, str]) -> Column:
+    found = F.lit(None).cast("string")
+    for name, kind in table.items():
+        found = F.when(key == name, kind).otherwise(found)
+    return found
+
+
+def format_of(content: Column, path: Column, mime: Column | None = None, strict: bool = False) -> Column:
+    """Format by the first bytes, then by the names within a ZIP, then by the file name, then by the MIME type; `unknown`, or an error if strict, else."""
     head = F.hex(F.substring(content, 1, 8))
     text = F.lower(F.substring(content, 1, 400).cast("string"))
     inside = content.cast("string")
     zipped = head.startswith("504B0304")
-    ending = F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
-    named = F.lit("unknown")
-    for end, kind in ENDINGS.items():
-        named = F.when(ending == end, kind).otherwise(named)
-    return (
+    by_bytes = (
         F.when(head.startswith("25504446"), "pdf").when(zipped & inside.contains("mimetypeapplication/epub+zip"), "epub").when(zipped & inside.contains("word/"), "docx")
-        .when(zipped & inside.contains("ppt/"), "pptx").when(zipped & inside.contains("xl/"), "xlsx").when(text.rlike(r"^\s*(<!doctype html|<html)"), "html").otherwise(named)
+        .when(zipped & inside.contains("ppt/"), "pptx").when(zipped & inside.contains("xl/"), "xlsx").when(text.rlike(r"^\s*(<!doctype html|<html)"), "html")
     )
+    by_name = _named(F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)), ENDINGS)
+    by_type = F.lit(None).cast("string") if mime is None else _named(F.lower(F.trim(F.split(mime, ";")[0])), MIME_TYPES)
+    other = F.raise_error(F.concat(F.lit("no format for "), F.coalesce(path, F.lit("a file")))).cast("string") if strict else F.lit("unknown")
+    return F.coalesce(by_bytes, by_name, by_type, other)
 
 
 _ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
