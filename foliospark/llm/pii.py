@@ -5,6 +5,9 @@ vowels, consonants consonants, in their script and case, so different entities o
 and equal ones the same wherever and however they are written. Given names come from lists of their gender and script.
 The corpus' entities are collected once to find surrogates that collide or that are real entities; those alone are
 drawn anew until none is left, at last in longer and longer shapes, and become exceptions of the replacement.
+
+A name is found behind a title; from then on its parts are replaced wherever they recur in the text, with a title or
+without, in capitals or not, by the same surrogate in the same case.
 """
 
 from __future__ import annotations
@@ -44,12 +47,15 @@ TITLES = {
     "Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Sir": "m", "господин": "m", "Κύριος": "m",
     "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "госпожа": "f", "Κυρία": "f", "Dr": "", "Prof": "",
 }
+#: Given names of men that end like those of women (fixed values).
+MEN = "luca nikita joshua andrea sasha misha ilya kolya никита илья лука фома саша миша данила".split()
 #: Alphabets that map onto themselves, lower case.
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "äëïöüáéíóúàèìòùâêîôû", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ")
 _PLACE = {c: (k, i) for k, a in enumerate(ALPHABETS) for i, c in enumerate(a)}
 
 _LOCAL = re.compile(r"[\w.+%-]")
 _PREFIX = "(?:sk|pk|ghp|AKIA)"
+_WORD = re.compile(r"\b[^\W\d_a-zа-яα-ω][^\W\d_]+\b")
 _CAP = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 PATTERNS = (
     ("email", re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),  # the local part is sought backwards, by local_start
@@ -143,21 +149,28 @@ def gender_of(first: str, told: str) -> str:
     """Of a title, or of a given name in the lists, else of the usual ending."""
     if told:
         return told
+    low = first.lower()
     for (_, gender), names in GIVEN.items():
-        if first in names:
+        if low in map(str.lower, names):
             return gender
-    return "f" if first[-1:].lower() in "aаηα" else "m"
+    return "f" if low[-1:] in "aаηα" and low not in MEN else "m"
 
 
 def canonical(kind: str, text: str) -> str:
-    """What an entity's writings have in common."""
+    """What an entity's writings have in common: names and addresses in lower case, numbers without separators."""
     if kind == "email":
         return text.lower()
     if kind in ("card", "phone", "ssn"):
         return re.sub(r"\D", "", text)
+    if is_name(kind):
+        return "".join(map(_fold, text))
     return text.replace(" ", "") if kind == "iban" else text
 
 
+def is_name(kind: str) -> bool:
+    return kind == "surname" or kind.startswith("given")
+
+
 #: Tells the genders of a given name apart in longer shapes.
 _MARKS = {("latin", "f"): "a", ("latin", "m"): "e", ("cyrillic", "f"): "а", ("cyrillic", "m"): "е", ("greek", "f"): "α", ("greek", "m"): "ε"}
 
@@ -247,21 +260,32 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
             elif kind == "name":
                 first, last = m["first"], m["last"]
                 if last:
-                    put(*m.span("first"), f"given:{script_of(first)}:{gender_of(first, TITLES[m['title']])}", first)
-                    put(*m.span("last"), "surname", last)
+                    given = f"given:{script_of(first)}:{gender_of(first, TITLES[m['title']])}"
+                    put(*m.span("first"), given, canonical(given, first))
+                    put(*m.span("last"), "surname", canonical("surname", last))
                 else:
-                    put(*m.span("first"), "surname", first)
+                    put(*m.span("first"), "surname", canonical("surname", first))
             elif kind == "card" and not luhn(canonical(kind, m[0])):
                 put(*m.span(), "phone" if len(canonical(kind, m[0])) < 13 else "number", canonical("card", m[0]))
             elif kind == "iban" and iban_check(canonical(kind, m[0])[4:], m[0][:2]) != m[0][2:4]:
                 continue
             else:
                 put(*m.span(), kind, canonical(kind, m[0]))
+    names = {entity: kind for _, _, kind, entity in sorted(taken, reverse=True) if is_name(kind)}
+    if names:  # the first kind of a name in the text is that of its recurrences
+        for m in _WORD.finditer(text):
+            entity = canonical("surname", m[0])
+            if entity in names:
+                put(*m.span(), names[entity], entity)
     return sorted(taken)
 
 
-def rendered(written: str, entity: str, replacement: str) -> str:
+def rendered(kind: str, written: str, entity: str, replacement: str) -> str:
     """The replacement in the form in which the entity was written: its separators and its case."""
+    if is_name(kind):
+        if len(written) > 1 and written.isupper():
+            return replacement.upper()
+        return "".join(c.upper() if written[k : k + 1].isupper() else c for k, c in enumerate(replacement))
     if written == entity:
         return replacement
     if len(re.sub(r"[\W_]", "", written)) == len(replacement) and written.lower() != entity:
@@ -277,7 +301,7 @@ def replace(text: str | None, key: bytes, exceptions: dict[str, int]) -> tuple[s
         return text, 0, None
     out, at = [], 0
     for a, b, kind, entity in found:
-        out += [text[at:a], rendered(text[a:b], entity, surrogate(key, kind, entity, exceptions.get(f"{kind}\t{entity}", 0)))]
+        out += [text[at:a], rendered(kind, text[a:b], entity, surrogate(key, kind, entity, exceptions.get(f"{kind}\t{entity}", 0)))]
         at = b
     return "".join(out) + text[at:], len(found), ",".join(sorted({k.split(":")[0] for _, _, k, _ in found}))
 
@@ -290,9 +314,14 @@ def entity_column() -> Callable[[Column], Column]:
     return F.pandas_udf(run, "array<string>")
 
 
+def drawn(key: bytes, kind: str, entity: str, attempt: int) -> str:
+    """An entity's surrogate as it is compared with others and with real entities: by kind without script and gender, and folded."""
+    return f"{kind.split(':')[0]}\t{canonical(kind, surrogate(key, kind, entity, attempt))}"
+
+
 def _draw_column(key: bytes) -> Callable[..., Column]:
     def run(keys: pd.Series, attempts: pd.Series) -> pd.Series:
-        return pd.Series([f"{k.split(chr(9))[0].split(':')[0]}\t{surrogate(key, *k.split(chr(9), 1), int(a))}" for k, a in zip(keys, attempts, strict=True)], dtype=object)
+        return pd.Series([drawn(key, *k.split("\t", 1), int(a)) for k, a in zip(keys, attempts, strict=True)], dtype=object)
 
     return F.pandas_udf(run, "string")
 
@@ -341,7 +370,8 @@ def replace_column(key: bytes, exceptions: dict[str, int] | None = None) -> Call
 def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     """For every row: doc_id, text with surrogates, n_entities and kinds (null without entities).
 
-    A null text stays null. Repeated rows get equal results; an empty table gives no rows.
+    A null text stays null and an empty one empty; whole texts are read, however long. Repeated rows get equal results;
+    an empty table gives no rows. Other columns of docs, whatever their names, are not read.
     """
     found = docs.select(F.explode(entity_column()(F.col("text"))).alias("entity")).distinct()
     exceptions = materialize(exceptions_of(materialize(found, "pii-entities"), key), "pii-exceptions")
