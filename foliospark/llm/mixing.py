@@ -19,9 +19,10 @@ MARGINS = ("source", "lang", "topic")
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.8}
 #: Share of all tokens that is drawn.
 BUDGET = 0.6
-#: Raking ends when no margin is further from its target than this share of it, or after so many rounds.
+#: Raking ends when no margin is further from its target than this share of it, or when the gap has not become smaller by
+#: LEAST_GAIN of it within PATIENCE rounds: then the targets do not go together.
 TOLERANCE = 1e-5
-ROUNDS = 30
+LEAST_GAIN, PATIENCE = 0.05, 8
 SEED = "mix-1"
 #: More cells than this are joined by shuffle and not broadcast; a cell has under 200 bytes.
 BROADCAST_CELLS = 50_000
@@ -83,16 +84,19 @@ def _weighted(cells: DataFrame, factors: dict[str, DataFrame]) -> DataFrame:
     return cells.withColumn("__weight", weight)
 
 
-def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None] | None = None) -> DataFrame:
-    """The cells with __weight, raked so that each margin's shares are its targets; the total stays that of the tokens.
+def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None] | None = None) -> tuple[DataFrame, float]:
+    """The cells with __weight, raked so that each margin's shares are its targets, and the gap that remains, as a share.
 
-    Each step sums the weights of one margin and replaces the factors of its values; these small tables are all that is
-    kept between steps. Cells without tokens, or of values whose target is none, weigh 0.
+    The total stays that of the tokens. Each step sums the weights of one margin and replaces the factors of its values;
+    these small tables are all that is kept between steps. Cells without tokens, or of values whose target is none, weigh 0.
+    Given targets that do not go together (a gap over TOLERANCE is left) are a ValueError; default ones are met as far as
+    they can be, and the gap tells how far.
     """
     goals = {m: materialize(targets_of(cells, m, (targets or {}).get(m)), "mix-goals") for m in MARGINS}
     total = float(cells.agg(F.sum("__base")).first()[0] or 0)
     factors = {m: goals[m].select(f"__{m}", F.lit(1.0).alias(f"__f_{m}")) for m in MARGINS}
-    for _ in range(ROUNDS):
+    gaps: list[float] = []
+    while True:
         worst = 0.0
         for m in MARGINS:
             sums = _weighted(cells, factors).groupBy(f"__{m}").agg(F.sum("__weight").alias("__sum"), F.first(f"__f_{m}").alias("__old"))
@@ -100,9 +104,24 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float] | None] | None =
             step = materialize(sums.filter("__sum > 0").join(goals[m], f"__{m}").select(f"__{m}", (ratio * F.col("__old")).alias(f"__f_{m}"), F.abs(ratio - 1).alias("__gap")), "mix-factors")
             worst = max(worst, step.agg(F.max("__gap")).first()[0] or 0.0)
             factors[m] = step.drop("__gap")
-        if worst <= TOLERANCE:
+        gaps.append(worst)
+        if worst <= TOLERANCE or (len(gaps) > PATIENCE and worst > (1 - LEAST_GAIN) * gaps[-1 - PATIENCE]):
             break
-    return materialize(_weighted(cells, factors), "mix-raked")
+    raked = materialize(_weighted(cells, factors), "mix-raked")
+    gap = _gap(raked, goals, total)
+    if gap > TOLERANCE and any((targets or {}).values()):
+        raise ValueError(f"the targets do not go together: some margin stays {gap:.3g} of its target away")
+    return raked, gap
+
+
+def _gap(raked: DataFrame, goals: dict[str, DataFrame], total: float) -> float:
+    """The largest distance of a margin from its target, as a share of the target."""
+    worst = 0.0
+    for m in MARGINS:
+        sums = raked.groupBy(f"__{m}").agg(F.sum("__weight").alias("__sum"))
+        told = goals[m].join(sums, f"__{m}", "left").agg(F.max(F.abs(F.coalesce("__sum", F.lit(0.0)) / (F.col(f"__goal_{m}") * total) - 1))).first()[0]
+        worst = max(worst, told or 0.0)
+    return worst
 
 
 def scale_to_budget(raked: DataFrame, budget: float) -> float:
@@ -126,14 +145,14 @@ def scale_to_budget(raked: DataFrame, budget: float) -> float:
     return low + (high - low) * ((goal - a) / (b - a) if b > a else 0.0)
 
 
-def probabilities(docs: DataFrame, targets=None, budget: float = BUDGET) -> tuple[DataFrame, DataFrame]:
-    """The cells with __p, the probability of drawing a document, and the same rows as they stand in the join."""
+def probabilities(docs: DataFrame, targets=None, budget: float = BUDGET) -> tuple[DataFrame, DataFrame, float]:
+    """The cells with __p, the probability of drawing a document, the same rows as they stand in the join, and the margins' gap."""
     cells = cells_of(keyed(docs))
-    raked = rake(cells, targets)
+    raked, gap = rake(cells, targets)
     scale = scale_to_budget(raked, budget)
     ratio = F.when(F.col("__base") > 0, F.least(F.lit(1.0), F.col("__weight") / F.col("__base") * F.lit(scale))).otherwise(0.0)
     table = materialize(raked.withColumn("__p", ratio).select("__source", "__lang", "__topic", "__docs", "__base", "__weight", "__p"), "mix-probabilities")
-    return table, table.select("__source", "__lang", "__topic", "__docs", "__p")
+    return table, table.select("__source", "__lang", "__topic", "__docs", "__p"), gap
 
 
 def _with_probability(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -152,23 +171,24 @@ def _with_cell(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets=None, budget: float = BUDGET, seed: str = SEED) -> DataFrame:
-    """For every row: doc_id, source, lang, topic, n_tokens, probability and selected.
+    """For every row: doc_id, source, lang, topic, n_tokens, probability, selected and margin_gap (the same in all rows).
 
-    A null source or language is a value of its own (returned as null); texts without tokens have probability 0;
-    rows that repeat a doc_id are drawn together. An empty table gives no rows.
+    A null source or language is a value of its own (returned as null); null and empty texts have no tokens and
+    probability 0; whole texts count, however long; rows that repeat a doc_id are drawn together. Other columns of docs,
+    whatever their names, are not read. An empty table gives no rows.
     """
-    _, table = probabilities(docs, targets, budget)
+    _, table, gap = probabilities(docs, targets, budget)
     rows = keyed(docs, F.col("doc_id"), F.col("source"), F.col("lang"))
     joined = _with_probability(rows, table)
     return joined.select(
         "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.col("__p").alias("probability"),
-        (hash_share("doc_id", seed) < F.col("__p")).alias("selected"),
+        (hash_share("doc_id", seed) < F.col("__p")).alias("selected"), F.lit(gap).alias("margin_gap"),
     )
 
 
 def sample_to_mix(docs: DataFrame, targets=None, budget: float = BUDGET, seed: str = SEED) -> DataFrame:
     """The rows of docs that mix selects, with docs' columns."""
-    _, table = probabilities(docs, targets, budget)
+    _, table, _ = probabilities(docs, targets, budget)
     rows = keyed(docs, F.struct("*").alias("__row"))
     drawn = _with_probability(rows, table).withColumn("__id", F.col("__row.doc_id")).filter(hash_share("__id", seed) < F.col("__p"))
     return drawn.select("__row.*")
