@@ -49,3 +49,52 @@ def test_rows_of_every_kind(spark):
     assert len({r.feature for r in got if r.doc_id in (1, None)}) == 1
     empty = materialize(M.store_texts(docs.limit(0), scratch_path(spark, "media")), "media-index")
     assert M.payload_columns(M.header_columns(M._by_place(empty))).count() == 0
+
+
+def plain_png(data):
+    """Width, height and samples of an image, by its chunks, in plain Python."""
+    assert data[:8] == bytes([137, 80, 78, 71, 13, 10, 26, 10])
+    at, packed, head = 8, b"", None
+    while at < len(data):
+        size, kind = int.from_bytes(data[at : at + 4], "big"), data[at + 4 : at + 8]
+        body = data[at + 8 : at + 8 + size]
+        assert int.from_bytes(data[at + 8 + size : at + 12 + size], "big") == zlib.crc32(kind + body)
+        head, packed = (body if kind == b"IHDR" else head), packed + (body if kind == b"IDAT" else b"")
+        at += 12 + size
+    width, height = int.from_bytes(head[:4], "big"), int.from_bytes(head[4:8], "big")
+    assert head[8:] == bytes([8, 0, 0, 0, 0])
+    raw = zlib.decompress(packed)
+    lines = [raw[k * (width + 1) : (k + 1) * (width + 1)] for k in range(height)]
+    assert all(line[0] == 0 for line in lines)
+    return width, height, b"".join(line[1:] for line in lines)
+
+
+def test_table_by_brute_force(spark, tmp_path):
+    """Everything that the rows tell, from the members of the shards and from the texts."""
+    texts = ["", None, "grün", "x" * 576, "x" * 577, "ab" * 5000, "grün"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = f"file://{tmp_path}"
+    index = materialize(M.store_texts(docs, folder), "media-index")
+    got = {r.doc_id: r for r in M.payload_columns(M.header_columns(M._by_place(index))).collect()}
+    members = {}
+    for path in tmp_path.glob("*.tar"):
+        with tarfile.open(path) as tar:
+            for m in tar.getmembers():
+                body = tar.extractfile(m).read()
+                assert m.name == f"{hashlib.sha256(body).hexdigest()[:2]}/{hashlib.sha256(body).hexdigest()}.png"
+                members[hashlib.sha256(body).hexdigest()] = body
+    for k, t in enumerate(texts):
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 or (0 if raw else 576))
+        r = got[k]
+        media = members[r.media_sha256]
+        assert plain_png(media) == (576, len(payload) // 576, payload)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_bytes) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media))
+        mean = sum(payload) / len(payload)
+        spread = (sum((v - mean) ** 2 for v in payload) / len(payload)) ** 0.5
+        bins = [sum(32 * b <= v < 32 * b + 32 for v in payload) for b in range(8)]
+        step = len(payload) // 64
+        starts = list(range(0, len(payload), step))[:64]
+        sums = [sum(payload[a : b]) for a, b in zip(starts, [*starts[1:], len(payload)], strict=True)]
+        hashed = int("".join("1" if v > mean * step else "0" for v in sums), 2)
+        assert r.feature == f"{mean:.3f};{spread:.3f};{'/'.join(map(str, bins))};{hashed:016x}"
