@@ -57,18 +57,6 @@ def rejoin_hyphenated(chunks: DataFrame) -> DataFrame:
     return _move_head(chunks, takes, head, F.regexp_replace("content", r"-\s*$", ""), "")
 
 
-def strip_trailing_heading(chunks: DataFrame, most: int = 40) -> DataFrame:
-    """The last of several lines goes if it is short and, whatever its case, a parent heading of the document of three characters or more."""
-    blank = r"(?U)^\s+|\s+\z"
-    headings = chunks.filter(F.char_length("parent_heading") > 2).select("doc_id", F.regexp_replace(F.lower("parent_heading"), blank, "").alias("__last")).distinct().withColumn("__is", F.lit(True))
-    rows = chunks.withColumn("__text", F.regexp_replace("content", r"(?U)\s+\z", ""))
-    rows = rows.withColumn("__last", F.lower(F.regexp_replace(F.element_at(F.split("__text", "\n", -1), -1), blank, "")))
-    hit = rows.join(headings, ["doc_id", "__last"], "left")
-    several = F.col("__text").contains("\n") & (F.char_length("__last") < most)
-    cut = F.regexp_replace(F.regexp_replace("__text", r"\n[^\n]*\z", ""), r"(?U)\s+\z", "")
-    return hit.withColumn("content", F.when(F.coalesce("__is", F.lit(False)) & several, cut).otherwise(F.col("content"))).select(*chunks.columns)
-
-
 def _split_blob(blob: Column) -> Column:
     """The words of HEADING_WORDS that begin the text, the longest first, one after another; then the rest."""
     rest = F.regexp_replace(blob, rf"^(?:{_WORD})++", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_text
+from ..functions.text import break_infix_steps, strip_text
 
 SNIPPET = 300
 LEVELS = 5
@@ -197,3 +197,44 @@ def move_prepositions(chunks: DataFrame) -> DataFrame:
     cut = F.regexp_replace(F.regexp_replace(_right("__given"), r"(?:^|\n)[^\n]*\z", ""), r"(?U)\s+\z", "")
     rows = rows.withColumn("content", F.when(F.col("__moves"), cut).otherwise(F.col("__given"))).filter("NOT (__moves AND content = '')")
     return rows.select(*chunks.columns).unionByName(chunks.filter("content = ''"))
+
+
+def strip_trailing_heading(chunks: DataFrame, most: int = 40) -> DataFrame:
+    """The last of several lines goes if it is short and, whatever its case, a parent heading of the document of three characters or more."""
+    blank = r"(?U)^\s+|\s+\z"
+    headings = chunks.filter(F.char_length("parent_heading") > 2).select("doc_id", F.regexp_replace(F.lower("parent_heading"), blank, "").alias("__last")).distinct().withColumn("__is", F.lit(True))
+    rows = chunks.withColumn("__text", F.regexp_replace("content", r"(?U)\s+\z", ""))
+    rows = rows.withColumn("__last", F.lower(F.regexp_replace(F.element_at(F.split("__text", "\n", -1), -1), blank, "")))
+    hit = rows.join(headings, ["doc_id", "__last"], "left")
+    several = F.col("__text").contains("\n") & (F.char_length("__last") < most)
+    cut = F.regexp_replace(F.regexp_replace("__text", r"\n[^\n]*\z", ""), r"(?U)\s+\z", "")
+    return hit.withColumn("content", F.when(F.coalesce("__is", F.lit(False)) & several, cut).otherwise(F.col("content"))).select(*chunks.columns)
+
+
+def merge_by_place(chunks: DataFrame, most_gap: int = 20, least_overlap: float = 0.4, most_chars: int = 8000) -> DataFrame:
+    """Joins chunks of text that stand closely below each other on a page: doc_id, page_number, pos, is_code, content and bbox.
+
+    In order of top and left edge, a chunk is joined to the one before (or to what that has become) if both are code or
+    neither is, the gap is 0 to 20 units, they overlap by over 0.4 of the narrower one's width and the text stays within 8000
+    characters; the box becomes the union of both. Missing boxes count as [0, 0, 0, 0].
+    """
+    box = F.coalesce("bbox", F.array(*[F.lit(0)] * 4)).cast("array<int>")
+    row = F.struct(box[1].alias("y"), box[0].alias("x"), F.col("pos").alias("pos"), F.col("is_code").alias("code"), F.col("content").alias("content"), box.alias("b"))
+    pages = chunks.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(row)).alias("__rows"))
+    folded = F.expr(
+        f"""aggregate(slice(__rows, 2, size(__rows)), named_struct('out', cast(array() AS array<struct<y: int, x: int, pos: bigint, code: boolean, content: string, b: array<int>>>), 'cur', __rows[0]), (a, r) ->
+            IF(a.cur.code = r.code AND r.b[1] - a.cur.b[3] BETWEEN 0 AND {most_gap}
+                 AND greatest(0, least(a.cur.b[2], r.b[2]) - greatest(a.cur.b[0], r.b[0])) / greatest(1, least(a.cur.b[2] - a.cur.b[0], r.b[2] - r.b[0])) > {least_overlap}
+                 AND length(regexp_replace(a.cur.content, '(?U)\\\\s+\\\\z', '')) + length(regexp_replace(r.content, '(?U)^\\\\s+', '')) + 1 <= {most_chars},
+               named_struct('out', a.out, 'cur', named_struct('y', a.cur.y, 'x', a.cur.x, 'pos', a.cur.pos, 'code', a.cur.code,
+                 'content', regexp_replace(concat(regexp_replace(a.cur.content, '(?U)\\\\s+\\\\z', ''), '\\n', regexp_replace(r.content, '(?U)^\\\\s+', '')), '(?U)^\\\\s+|\\\\s+\\\\z', ''),
+                 'b', array(least(a.cur.b[0], r.b[0]), least(a.cur.b[1], r.b[1]), greatest(a.cur.b[2], r.b[2]), greatest(a.cur.b[3], r.b[3])))),
+               named_struct('out', concat(a.out, array(a.cur)), 'cur', r)), a -> concat(a.out, array(a.cur)))"""
+    )
+    return pages.select("doc_id", "page_number", F.explode(folded).alias("r")).select("doc_id", "page_number", "r.pos", F.col("r.code").alias("is_code"), "r.content", F.col("r.b").alias("bbox"))
+
+
+def final_repairs(chunks: DataFrame) -> DataFrame:
+    """The last repairs of chunk boundaries, in their order: list numbers, trailing headings, prepositions, sentences, overlaps."""
+    rows = strip_trailing_heading(chunks.withColumn("content", break_infix_steps(F.col("content"))))
+    return trim_overlap(merge_sentences(move_prepositions(rows)))

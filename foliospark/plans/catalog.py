@@ -128,15 +128,6 @@ def repairs(spark, d):
     return rows.select("doc_id", "pos", T.normalise_chunk(c("h"), F.lit(False)).alias("p06"), T.repair_numbers(c("b")).alias("p07"), T.join_hyphenation(c("h")).alias("p10"))
 
 
-@query("p08_p13_lines")
-def lines(spark, d):
-    marked = F.concat_ws("\n", F.lit("12"), "text", F.lit("7"))
-    return docs(spark, d).select(
-        "doc_id", T.drop_page_number_lines(marked).alias("p08"), T.drop_digit_lines(marked).alias("p09"), T.drop_infix_numbers(F.replace("text", F.lit(", "), F.lit(" 3. "))).alias("p11"),
-        T.break_infix_steps(F.replace("text", F.lit(", "), F.lit(" 3. "))).alias("p12"), T.sanitise_manual(marked).alias("p13"), T.strip_cell_marks(c("text")).alias("p14"),
-    )
-
-
 @query(
     "p24_p30_forms",
     f"""WITH {CHUNKS} SELECT doc_id, pos,
@@ -155,11 +146,6 @@ def forms(spark, d):
     )
 
 
-@query("p23_p30_more")
-def more_forms(spark, d):
-    return chunks(spark, d).select("doc_id", "pos", T.truncate_at_sentence(c("content"), 120).alias("p23"), T.table_markdown(F.replace("content", F.lit(", "), F.lit("  "))).alias("p25"), T.strip_fences(c("content")).alias("p26"), T.section_name(c("content")).alias("p30"))
-
-
 # ---- geometry
 
 _BOXES = "SELECT l_orderkey, l_linenumber, [l_partkey % 900, l_suppkey % 800, l_partkey % 900 + 50 + l_linenumber * 7, l_suppkey % 800 + 40 + l_linenumber * 9] AS a, [l_orderkey % 900, l_partkey % 700, l_orderkey % 900 + 90, l_partkey % 700 + 120] AS b FROM lineitem"
@@ -309,11 +295,6 @@ def w_order(spark, d):
     return rows.select("doc_id", "pos", "split_label", "position", "front")
 
 
-@query("w09_orphan_labels")
-def orphans(spark, d):
-    return W.orphan_labels(chunks(spark, d), P.is_label(c("content"))).select("doc_id", "pos", "orphan")
-
-
 # ---- repetition
 
 
@@ -335,16 +316,6 @@ def d01(spark, d):
     return D.subset_pairs(chunks(spark, d))
 
 
-@query("d01_subsets_dropped")
-def d01b(spark, d):
-    return D.drop_subsets(chunks(spark, d)).select("doc_id", "page_number", "pos")
-
-
-@query("d02_near_repeats")
-def d02(spark, d):
-    return D.drop_near_repeats(chunks(spark, d)).select("doc_id", "page_number", "pos")
-
-
 @query(
     "d07_long_repeats",
     f"""WITH {CHUNKS}, t AS (SELECT doc_id, page_number, trim(regexp_replace(content, '\\s+', ' ', 'g')) AS t FROM chunks)
@@ -357,11 +328,6 @@ def d07(spark, d):
 # ---- rollups
 
 
-@query("a01_filter_summary")
-def a01(spark, d):
-    return A.filter_summary(chunks(spark, d), P.skip_category(c("content"), "academic_whitepaper"))
-
-
 @query(
     "a02_token_balance",
     f"""WITH {CHUNKS}, s AS (SELECT doc_id, greatest(1, length(text) // 4) AS source_tokens FROM documents),
@@ -448,12 +414,6 @@ def p05(spark, d):
     return docs(spark, d).select("doc_id", O.collapse_spaced_heading(c("text")).alias("p05"), O.heal_drop_cap(c("text")).alias("p20"), O.clean_description(c("text")).alias("p21"), O.description_class(c("text")).alias("f26"))
 
 
-@query("w11_reading_order")
-def w11(spark, d):
-    rows = boxes(spark, d).select(c("l_orderkey").alias("doc_id"), F.lit(1).alias("page_number"), c("l_linenumber").alias("item"), c("a")[0].alias("x0"), c("a")[1].alias("y0"), c("a")[2].alias("x1"), F.lit(1000).alias("page_width"))
-    return O.order_in_page(rows).select("doc_id", "item", "position")
-
-
 @query(
     "s12_contents_ranges",
     """WITH e AS (SELECT o_custkey AS doc_id, (o_orderkey % 400)::INT AS start_page, o_orderkey::VARCHAR AS title FROM orders)
@@ -464,11 +424,6 @@ def s12(spark, d):
     return O.contents_ranges(entries)
 
 
-@query("c24_code_evidence")
-def c24(spark, d):
-    return O.code_evidence(chunks(spark, d))
-
-
 @query("c13_domains")
 def c13(spark, d):
     pages = R.pages_of(chunks(spark, d)).groupBy("doc_id").agg(F.count("*").alias("n_pages"), F.avg("chars").alias("density"))
@@ -487,12 +442,6 @@ def k_export(spark, d):
     return K.headers(chunks(spark, d))
 
 
-@query("k_points")
-def k_points(spark, d):
-    rows = chunks(spark, d).withColumns({"chunk_id": F.concat_ws("_", "doc_id", "pos"), "modality": F.lit("text"), "refined_content": F.lit(None).cast("string"), "source_file": c("source")})
-    return K.last_by_id(K.payload(rows), c("page_number"))
-
-
 @query("pipeline_clean_chunks")
 def clean(spark, d):
     return L.clean_chunks(docs(spark, d)).select("doc_id", "page_number", "pos", "chunk_id", "content", "parent_heading", "lang")
@@ -505,7 +454,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register() -> None:
     """The modules of queries register theirs when they are imported."""
-    from . import audits, lanes, rules, splits  # noqa: F401
+    from . import audits, lanes, more, rules, splits  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -317,7 +317,7 @@ FROM y LEFT JOIN h ON h.doc_id = y.doc_id AND h.h = y.last""",
 )
 def m08(spark, d):
     rows = planted(spark, d).withColumn("parent_heading", F.when(F.char_length("content") < 30, c("content")))
-    return O.strip_trailing_heading(rows).select("doc_id", "pos", "content")
+    return W.strip_trailing_heading(rows).select("doc_id", "pos", "content")
 
 
 _REPEAT = "CASE doc_id % 4 WHEN 0 THEN left(text, 200) || ' ' || left(text, 200) || ' ' || left(text, 200) || ' ' || left(text, 200) WHEN 1 THEN text || chr(10) || left(text, 90) || chr(10) || upper(left(text, 90)) ELSE text END"

@@ -56,8 +56,9 @@ def payload(chunks: DataFrame, source: str = "source_file") -> DataFrame:
 
 
 def last_by_id(points: DataFrame, version: Column) -> DataFrame:
-    """One point of each id, the one of the highest version: what repeated upserts leave."""
-    w = Window.partitionBy("point_id").orderBy(version.desc())
+    """One point of each id, the one of the highest version, of equal versions the last by its fields: what repeated upserts leave."""
+    ties = [F.col(c).desc() for c in points.columns if c != "point_id"]
+    w = Window.partitionBy("point_id").orderBy(version.desc(), *ties)
     return points.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 
