@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import predicates as P
-from ..functions.text import let, strip_text
+from ..functions.text import any_of, let, strip_text
 from .windows import reading_order
 
 #: Share of the page width that parts two columns.
@@ -189,12 +189,22 @@ def full_page_guard(images: DataFrame, strict: bool = False) -> DataFrame:
     return images.filter(~big | F.lit(not strict)).withColumn("description", text)
 
 
+#: What a model says when it has nothing to say (fixed values).
+NO_ANSWERS = ("unable to describe", "cannot describe", "no description available", "description unavailable")
+
+
 def description_class(description: Column) -> Column:
-    """Why the answer of a vision model is no description, or null: empty, reading of text, echo of the prompt, stock phrase or too short."""
-    low = F.lower(F.trim(description))
+    """Why the answer of a vision model is no description, or null: empty, reading of text, echo of the prompt, no answer, or under ten characters once clean.
+
+    Reading of text is told by how the answer begins; the other signs of it are not looked for.
+    """
+    clean = clean_description(description)
+    low = F.lower(strip_text(F.coalesce(description, F.lit(""))))
+    reading = low.rlike(r"^(?:the )?(?:text|page|image) (?:reads|says|contains the text)|^transcription")
+    echo = F.regexp_count(clean, F.lit(r"\[[A-Z][a-zA-Z ]{2,}\]")) >= 2
     return (
-        F.when(description.isNull() | (low == ""), "empty").when(low.rlike(r"^(the )?(text|page|image) (reads|says|contains the text)|^transcription"), "text_reading")
-        .when(low.rlike(r"^(describe|you are|your task)"), "prompt_echo").when(low.rlike(r"unable to|cannot (see|view)|no image"), "fallback").when(F.char_length(low) < 10, "short")
+        F.when(low == "", "empty").when(reading, "text_reading").when(F.coalesce(strip_text(clean), F.lit("")) == "", "empty").when(echo, "prompt_echo")
+        .when(any_of(F.lower(clean), NO_ANSWERS), "fallback").when(F.char_length(clean) < 10, "short")
     )
 
 

@@ -238,3 +238,37 @@ def final_repairs(chunks: DataFrame) -> DataFrame:
     """The last repairs of chunk boundaries, in their order: list numbers, trailing headings, prepositions, sentences, overlaps."""
     rows = strip_trailing_heading(chunks.withColumn("content", break_infix_steps(F.col("content"))))
     return trim_overlap(merge_sentences(move_prepositions(rows)))
+
+
+def inferred_headings(chunks: DataFrame, source_file: str = "source_file") -> DataFrame:
+    """parent_heading of chunks that have none, or the file's name, from first lines in capitals or that name a model: the last one so far."""
+    line = F.regexp_replace(F.element_at(F.split(strip_text(F.col("content")), "\n", -1), 1), r"(?U)^\s+|\s+\z", "")
+    capitals = F.char_length(line).between(4, 59) & (line == F.upper(line)) & line.rlike(r"\p{L}") & ~line.rlike(r"^(?:THE|A|IN|ON|TO) ")
+    model = line.rlike(r"^[A-Z][a-z].*(?:No\.|Model|Mk|Type|Mark)\s")
+    found = F.last(F.when(capitals | model, line), ignorenulls=True).over(so_far())
+    none = (F.coalesce("parent_heading", F.lit("")) == "") | (F.col("parent_heading") == F.col(source_file))
+    return chunks.withColumn("parent_heading", F.when(none & found.isNotNull(), found).otherwise(F.col("parent_heading")))
+
+
+def promote_drop_caps(items: DataFrame) -> DataFrame:
+    """A single capital (doc_id, page_number, pos, text, y0, y1) goes before the next text of its page, else the one before, that
+    begins in lower case and overlaps it in height; the capital's own row goes.
+
+    A text that was given a capital begins with it and takes no other.
+    """
+    w = reading_order()
+    rows = items.withColumn("__cap", F.coalesce(F.trim("text").rlike(r"^\p{Lu}$"), F.lit(False)))
+
+    def fits(step) -> Column:
+        low = F.coalesce(step("text").rlike(r"^\s*\p{Ll}"), F.lit(False))
+        beside = (step("page_number") == F.col("page_number")) & (F.least(step("y1"), F.col("y1")) > F.greatest(step("y0"), F.col("y0")))
+        return F.col("__cap") & low & F.coalesce(beside, F.lit(False))
+
+    ahead, behind = fits(lambda x: F.lead(x).over(w)), fits(lambda x: F.lag(x).over(w))
+    rows = rows.withColumns({"__ahead": ahead, "__behind": behind})
+    # the text between two capitals is given the first one's, which stands before it
+    taken = F.coalesce(F.lag("__ahead", 2).over(w), F.lit(False))
+    rows = rows.withColumn("__back", F.col("__behind") & ~F.col("__ahead") & ~taken)
+    cap = F.coalesce(F.when(F.lag("__ahead").over(w), F.trim(F.lag("text").over(w))), F.when(F.lead("__back").over(w), F.trim(F.lead("text").over(w))))
+    rows = rows.withColumn("text", F.concat(F.coalesce(cap, F.lit("")), "text"))
+    return rows.filter(~(F.col("__ahead") | F.col("__back"))).select(*items.columns)

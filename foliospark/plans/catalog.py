@@ -454,7 +454,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _register() -> None:
     """The modules of queries register theirs when they are imported."""
-    from . import audits, lanes, more, rules, splits  # noqa: F401
+    from . import audits, extras, lanes, more, rules, splits  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
