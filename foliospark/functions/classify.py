@@ -28,10 +28,10 @@ CORRUPTION = (
     (r"(?U)(?:^|\n)[a-z]{1,3}\b\s+[a-z]", 0.2, None),
     (r"/C\d{1,3}\b|\\x[0-9a-f]{2}", 0.4, None),
 )
-#: Parts of texts that no edit may touch (fixed values).
+#: Parts of texts that no edit may touch (fixed values); the pattern of addresses asks for a backslash and brackets behind one character.
 PROTECTED = (
     r"\b[A-Z]{2,}-\d{2,}[A-Z0-9-]*\b", r"\b[A-Z]{2,}\d{2,}[A-Z0-9-]*\b", r"P/N:?\s*\S+", r"ECU-[A-Z0-9-]+", r"SN:?\s*\S+", r"ID:?\s*\S+",
-    r"https?://[^\s)\]};>,]+", r"\d{4}-\d{2}-\d{2}",
+    r"https?://[^\s)\\]\\}>;,]+", r"\d{4}-\d{2}-\d{2}",
 )
 MOST_EDITS = 0.35
 

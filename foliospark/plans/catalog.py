@@ -76,11 +76,6 @@ def ids(spark, d):
     )
 
 
-@query("point_ids")
-def point_ids(spark, d):
-    return docs(spark, d).select("doc_id", I.point_id(F.concat_ws("#", "source", c("doc_id").cast("string"))).alias("point_id"))
-
-
 @query("s06_html_text")
 def html_text(spark, d):
     return S.table(spark, d, "pages").select("page_id", S.html_text(c("html")).alias("text"), S.html_title(c("html")).alias("title"))
@@ -221,12 +216,6 @@ def text_confidence(spark, d):
     return chunks(spark, d).select("doc_id", "pos", C.text_confidence(c("content")).alias("confidence"))
 
 
-@query("z_refine")
-def refine(spark, d):
-    x = c("content")
-    return chunks(spark, d).select("doc_id", "pos", F.round(C.corruption_score(x), 6).alias("z1"), F.round(C.disorder_score(F.replace(x, F.lit(". "), F.lit("\n"))), 6).alias("z2"), C.protected_tokens(x).alias("z3"), C.edit_allowed(x, T.tidy_spaces(x)).alias("z4"), C.refine_route(x).alias("z5"))
-
-
 # ---- chunkers
 
 
@@ -424,14 +413,6 @@ def s12(spark, d):
     return O.contents_ranges(entries)
 
 
-@query("c13_domains")
-def c13(spark, d):
-    pages = R.pages_of(chunks(spark, d)).groupBy("doc_id").agg(F.count("*").alias("n_pages"), F.avg("chars").alias("density"))
-    rows = docs(spark, d).select("doc_id", F.regexp_count("text", F.lit('"')).alias("quotes"), c("text").contains("|").alias("tables")).join(pages, "doc_id")
-    rows = rows.select("doc_id", "n_pages", "density", "tables", (c("quotes") >= 4).cast("double").alias("dialogue_share"), F.lit(0).alias("code_pages"), F.lit(0.0).alias("coverage_share"), F.lit(False).alias("image_heavy"))
-    return O.content_domain(rows).select("doc_id", "domain")
-
-
 @query("e_models")
 def models(spark, d):
     return E.apply_model(S.table(spark, d, "benchmark"), "text", "answer", E.HashEmbedder()).select("item_id", "answer")

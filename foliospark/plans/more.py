@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import classify as C
+from ..functions import ids as I
 from ..functions import text as T
 from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import layout as O
 from ..operators import windows as W
 from ..sources import sinks as K
-from .catalog import _BOXES, CHUNKS, P, boxes, chunks, query
+from .catalog import _BOXES, CHUNKS, P, boxes, chunks, docs, query
 from .rules import _CODE, _S, _SHAPE, PLANTED, planted, _sql_label
 
 c = F.col
@@ -154,3 +156,98 @@ SELECT doc_id, code_chunks, n_chunks, CASE WHEN code_chunks / n_chunks >= 0.15 T
 )
 def c24(spark, d):
     return O.code_evidence(planted(spark, d))
+
+
+# ---- ids, repeats, domains and refinement
+
+_HEX = "sha1(unhex('8b7c5e3a1f4d4b2a9c1e6d8a3f0b9c2e') || encode(source || '#' || doc_id))"
+
+
+@query(
+    "point_ids",
+    f"""WITH h AS (SELECT doc_id, {_HEX} AS h FROM documents)
+SELECT doc_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', ('0x' || substr(h, 17, 1))::INT % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS point_id FROM h""",
+)
+def point_ids(spark, d):
+    return docs(spark, d).select("doc_id", I.point_id(F.concat_ws("#", "source", c("doc_id").cast("string"))).alias("point_id"))
+
+
+_REPEAT = "CASE doc_id % 4 WHEN 0 THEN left(text, 200) || ' ' || left(text, 200) || ' ' || left(text, 200) || chr(10) || chr(10) || chr(10) || left(text, 200) WHEN 1 THEN text || chr(10) || left(text, 90) || chr(10) || replace(left(text, 90), 'e', 'E') ELSE text END"
+_TRIM = "trim({}, ' ' || chr(9) || chr(10))"
+
+
+def _part(n: int) -> str:
+    """SQL: whether what follows the n-th part of t begins as that part does."""
+    size = f"(length(t) // {n})"
+    head = f"rtrim(left(t, {size}), ' ' || chr(9) || chr(10))"
+    return f"({size} >= 30 AND starts_with(ltrim(substr(t, {size} + 1), ' ' || chr(9) || chr(10)), left({head}, 40)))"
+
+
+_CUT = "rtrim(left(t, length(t) // {}), ' ' || chr(9) || chr(10))"
+
+
+@query(
+    "p16_repeats",
+    f"""WITH RECURSIVE x AS (SELECT doc_id, {_REPEAT} AS text FROM documents), r AS (SELECT doc_id, 0 AS k, {_TRIM.format('text')} AS t FROM x
+  UNION ALL SELECT doc_id, k + 1, CASE WHEN {_part(2)} THEN {_CUT.format(2)} WHEN {_part(3)} THEN {_CUT.format(3)} ELSE {_CUT.format(4)} END FROM r WHERE length(t) > 60 AND ({_part(2)} OR {_part(3)} OR {_part(4)})),
+e AS (SELECT doc_id, max(k) AS k, arg_max(t, k) AS t FROM r GROUP BY doc_id),
+l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM x)),
+n AS (SELECT *, lower(trim(line)) AS key, row_number() OVER (PARTITION BY doc_id, lower(trim(line)) ORDER BY i) AS seen FROM l),
+j AS (SELECT doc_id, {_TRIM.format("string_agg(line, chr(10) ORDER BY i)")} AS t FROM n WHERE seen = 1 OR length(key) <= 5 GROUP BY doc_id)
+SELECT x.doc_id, CASE WHEN len(string_split(x.text, chr(10))) < 4 THEN x.text WHEN e.k > 0 THEN e.t WHEN j.t <> {_TRIM.format('x.text')} THEN j.t ELSE x.text END AS p16 FROM x JOIN e USING (doc_id) JOIN j USING (doc_id)""",
+)
+def p16(spark, d):
+    return docs(spark, d).select("doc_id", O.drop_repeats(F.expr(_REPEAT)).alias("p16"))
+
+
+_SCORES = """(CASE WHEN talk > 0.3 AND n > 50 AND NOT tab AND code < 2 THEN 0.8 ELSE 0 END + CASE WHEN talk > 0 AND n > 20 AND NOT tab AND dens BETWEEN 500 AND 2500 AND code < 2 THEN 0.4 ELSE 0 END + CASE WHEN n > 100 AND NOT tab AND dens < 2500 THEN 0.3 ELSE 0 END) AS lit,
+  (CASE WHEN dens > 3000 THEN 0.7 + CASE WHEN img THEN 0 ELSE 0.2 END ELSE 0 END) AS aca, (CASE WHEN cov >= 0.6 THEN 0.6 ELSE 0 END + CASE WHEN dens BETWEEN 500 AND 2500 AND cov >= 0.6 THEN 0.2 ELSE 0 END) AS edi, (CASE WHEN tab THEN 0.5 ELSE 0 END + CASE WHEN NOT img AND dens > 1000 THEN 0.3 ELSE 0 END) AS tec"""
+
+
+@query(
+    "c13_domains",
+    f"""WITH f AS (SELECT doc_id, (doc_id * 13) % 130 AS n, (doc_id * 37) % 3700 AS dens, doc_id % 5 = 0 AS tab, (doc_id % 7) / 10.0 AS talk, doc_id % 4 AS code, (doc_id % 9) / 10.0 AS cov, doc_id % 3 = 0 AS img FROM documents), s AS (SELECT doc_id, {_SCORES} FROM f)
+SELECT doc_id, CASE WHEN greatest(lit, aca, edi, tec) < 0.3 THEN 'unknown' WHEN lit = greatest(lit, aca, edi, tec) THEN 'literature' WHEN aca = greatest(lit, aca, edi, tec) THEN 'academic' WHEN edi = greatest(lit, aca, edi, tec) THEN 'editorial' ELSE 'technical' END AS domain FROM s""",
+)
+def c13(spark, d):
+    k = c("doc_id")
+    rows = docs(spark, d).select(
+        "doc_id", ((k * 13) % 130).alias("n_pages"), ((k * 37) % 3700).alias("density"), (k % 5 == 0).alias("tables"), ((k % 7) / 10).alias("dialogue_share"), (k % 4).alias("code_pages"), ((k % 9) / 10).alias("coverage_share"), (k % 3 == 0).alias("image_heavy")
+    )
+    return O.content_domain(rows).select("doc_id", "domain")
+
+
+#: Signs of corruption planted into plain ASCII, which has the same word boundaries in both engines.
+_TORN = "CASE pos % 6 WHEN 0 THEN replace(content, ' the ', ' t h e ') WHEN 1 THEN replace(content, ', ', ' , ') || ' part ABC-123 and P/N: 77x on 2024-01-31' WHEN 2 THEN replace(content, 'e', 'l1I0O') WHEN 3 THEN replace(content, ' ', '  ') WHEN 4 THEN replace(content, '. ', chr(10) || 'API model schema class' || chr(10)) ELSE content || ' ECU-001-A SN: 5' END"
+
+
+def _hits(pattern: str, weight: float) -> str:
+    n = f"len(regexp_extract_all(t, '{pattern}'))"
+    return f"CASE WHEN {n} >= 2 THEN least({n} * {weight}, {weight * 3}) ELSE 0 END"
+
+
+_SUM = " + ".join(_hits(p.replace("(?U)", "").replace("'", "''"), w) for p, w, _ in C.CORRUPTION)
+def _kept(text: str) -> str:
+    return "list_sort(list_distinct(" + " || ".join(f"regexp_extract_all({text}, '{p}')" for p in C.PROTECTED) + "))"
+
+
+_TIDY = "regexp_replace(regexp_replace(regexp_replace(t, '[ \\t]{2,}', ' ', 'g'), '\\s+([.,;:!?])', '\\1', 'g'), '(?m)[ \\t]+$', '', 'g')"
+_TERMS = " + ".join(f"contains(lower(t), '{w}')::INT" for w in C.TECHNICAL)
+
+
+@query(
+    "z_refine",
+    f"""WITH {CHUNKS}, x AS (SELECT doc_id, pos, regexp_replace({_TORN}, '[^\n -~]', 'e', 'g') AS t FROM chunks), s AS (SELECT *, CASE WHEN length(t) < 10 THEN 0 ELSE least({_SUM}, 1) END AS z1, list_filter(list_transform(string_split(t, chr(10)), lambda v: trim(v)), lambda v: v <> '') AS ls,
+  regexp_extract_all(t, '\\b[\\w\\-/]+\\b') AS tk, {_kept('t')} AS z3, {_TIDY} AS tidy FROM x),
+q AS (SELECT *, CASE WHEN len(ls) < 3 THEN 0 ELSE least(1, CASE WHEN len(list_filter(ls, lambda v: length(v) <= 42)) / len(ls) >= 0.6 THEN 0.25 ELSE 0 END + CASE WHEN regexp_matches(ls[-1], '(?i)\\b(section|chapter)\\b') OR regexp_matches(ls[-1], '^\\d+(\\.\\d+)*\\s+') THEN 0.45 ELSE 0 END
+  + CASE WHEN len(tk) > 0 AND len(list_filter(tk, lambda v: regexp_matches(v, '^[A-Z]{{2,}}(-[A-Z0-9]+)+$'))) / len(tk) >= 0.2 THEN 0.2 ELSE 0 END) END AS z2 FROM s)
+SELECT doc_id, pos, round(z1, 6)::DOUBLE AS z1, round(z2, 6)::DOUBLE AS z2, array_to_string(z3, '|') AS z3, levenshtein(t, tidy) / greatest(1, length(t)) <= 0.35 AND z3 = {_kept('tidy')} AND len(regexp_extract_all(tidy, '(?m)^\\s*([-*•]|\\d+[.)])\\s')) <= len(regexp_extract_all(t, '(?m)^\\s*([-*•]|\\d+[.)])\\s')) AS z4,
+  CASE WHEN z2 >= 0.6 THEN 'blocked' WHEN round(z1, 9) >= 0.7 AND ({_TERMS}) / 10.0 >= 0.3 THEN 'rule' WHEN round(z1, 9) < round(0.15 - CASE WHEN len(z3) / greatest(1, len(regexp_extract_all(t, '\\S+'))) >= 0.08 THEN 0.05 ELSE 0 END, 9) THEN 'keep' ELSE 'model' END AS z5 FROM q""",
+)
+def z_refine(spark, d):
+    rows = chunks(spark, d).select("doc_id", "pos", F.regexp_replace(F.expr(_TORN), "[^\n -~]", "e").alias("t"))
+    x = c("t")
+    return rows.select(
+        "doc_id", "pos", F.round(C.corruption_score(x), 6).alias("z1"), F.round(C.disorder_score(x), 6).alias("z2"), F.array_join(F.array_sort(C.protected_tokens(x)), "|").alias("z3"),
+        C.edit_allowed(x, T.tidy_spaces(x)).alias("z4"), C.refine_route(x).alias("z5"),
+    )

@@ -320,16 +320,6 @@ def m08(spark, d):
     return W.strip_trailing_heading(rows).select("doc_id", "pos", "content")
 
 
-_REPEAT = "CASE doc_id % 4 WHEN 0 THEN left(text, 200) || ' ' || left(text, 200) || ' ' || left(text, 200) || ' ' || left(text, 200) WHEN 1 THEN text || chr(10) || left(text, 90) || chr(10) || upper(left(text, 90)) ELSE text END"
-
-
-@query("p16_repeats")
-def p16(spark, d):
-    from .catalog import docs
-
-    return docs(spark, d).select("doc_id", O.drop_repeats(F.expr(_REPEAT)).alias("p16"))
-
-
 @query("p01_p14_more")
 def p14(spark, d):
     return planted(spark, d).select("doc_id", "pos", T.drop_controls(c("content")).alias("p03"), T.strip_cell_marks(c("content")).alias("p14"))
