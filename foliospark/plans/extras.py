@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import assets as I
+from ..operators import micro as M
 from ..operators import windows as W
 from .audits import EXPORTED, exported
 from .catalog import CHUNKS, chunks, query
-from .rules import _S
+from .rules import _S, planted
 
 c = F.col
 
@@ -99,3 +100,11 @@ def m15(spark, d):
     return W.promote_drop_caps(rows).select("doc_id", "pos", "text")
 
 
+
+
+_KINDS = "CASE (pos + doc_id) % 7 WHEN 0 THEN 'code' WHEN 1 THEN 'list_item' WHEN 2 THEN 'list_item' WHEN 3 THEN 'list_item' WHEN 5 THEN CASE WHEN pos % 4 = 0 THEN 'marker' ELSE 'paragraph' END ELSE 'paragraph' END AS kind"
+
+
+@query("m02_merge_tiny")
+def m02(spark, d):
+    return M.merge_tiny(planted(spark, d).selectExpr("doc_id", "page_number", "pos", "content", _KINDS))

@@ -244,3 +244,43 @@ def test_spaced_headings_and_descriptions_by_rule(spark):
     }
     got = frame(spark, list(words)).select("doc_id", O.clean_description(F.col("text")).alias("x")).orderBy("doc_id").collect()
     assert [r.x for r in got] == list(words.values())
+
+
+def test_tiny_chunks_go_to_their_neighbours(spark):
+    from foliospark.operators import micro as M
+
+    body = "This is running text of some length."
+    cases = [
+        ([("x", "Reassembly Tips:"), ("code", "  x = 1")], [("code", "Reassembly Tips:\nx = 1")]),
+        ([("list_item", "one"), ("list_item", "two"), ("list_item", "three"), ("x", body)], [("list_item", "one\ntwo\nthree"), ("x", body)]),
+        ([("x", body), ("x", "Spare Parts")], [("x", body + "\nSpare Parts")]),
+        ([("x", "Spare Parts"), ("x", "Other Parts")], []),
+        ([("x", "Spare Parts"), ("x", body)], [("x", "Spare Parts"), ("x", body)]),
+        ([("x", "tiny bit"), ("x", body)], [("x", "tiny bit " + body)]),
+        ([("x", body), ("x", "tiny bit")], [("x", body + " tiny bit")]),
+        ([("marker", "[more]"), ("x", "tiny bit")], [("marker", "[more]"), ("x", "tiny bit")]),
+        ([("x", "tiny"), ("marker", "[more]"), ("code", "y")], [("x", "tiny"), ("marker", "[more]"), ("code", "y")]),
+        ([("list_item", str(k) * 3 + " words") for k in range(10)], [("list_item", "\n".join(str(k) * 3 + " words" for k in range(8)) + " 888 words 999 words")]),
+    ]
+    rows = [(1, page, pos, k, t) for page, (given, _) in enumerate(cases) for pos, (k, t) in enumerate(given)]
+    df = spark.createDataFrame(rows, "doc_id long, page_number int, pos long, kind string, content string")
+    got = {}
+    for r in M.merge_tiny(df).orderBy("page_number", "pos").collect():
+        got.setdefault(r.page_number, []).append((r.kind, r.content))
+    for page, (_, want) in enumerate(cases):
+        assert got.get(page, []) == want, page
+
+
+def test_archives_of_every_kind_and_broken_ones(spark):
+    from foliospark.plans import lanes
+    from foliospark.sources import archives as Z
+
+    lines = [f"line {k} <&> é" for k in range(12)]
+    made = {"epub": lanes._book(lines), "docx": lanes._letters(lines), "pptx": lanes._slides(lines), "xlsx": lanes._sheets(lines)}
+    for kind, data in made.items():
+        files = spark.createDataFrame([("good", data), ("bad", b"PK no zip"), ("empty", b"")], "path string, content binary")
+        rows = Z.archive_blocks(files, kind).collect()
+        assert all(x in "\n".join(r.text for r in rows if r.path == "good") for x in lines)
+        assert {r.path for r in rows if r.kind == "error"} == {"bad", "empty"}
+    assert [r.kind for r in Z.archive_blocks(spark.createDataFrame([("b", lanes._book([]))], "path string, content binary"), "epub").collect()] == ["blank"]
+    assert Z.html_blocks("<p>a<br>b</p><script>x</script><h3>T</h3>tail") == [("paragraph", None, "a"), ("paragraph", None, "b"), ("heading", 3, "T"), ("paragraph", None, "tail")]
