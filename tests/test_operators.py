@@ -284,3 +284,47 @@ def test_archives_of_every_kind_and_broken_ones(spark):
         assert {r.path for r in rows if r.kind == "error"} == {"bad", "empty"}
     assert [r.kind for r in Z.archive_blocks(spark.createDataFrame([("b", lanes._book([]))], "path string, content binary"), "epub").collect()] == ["blank"]
     assert Z.html_blocks("<p>a<br>b</p><script>x</script><h3>T</h3>tail") == [("paragraph", None, "a"), ("paragraph", None, "b"), ("heading", 3, "T"), ("paragraph", None, "tail")]
+
+
+def test_mixed_texts_keep_code_apart(spark):
+    code, prose = "def f(x):\n    return x", "Some words here. More words there."
+    cases = {
+        f"{prose}\n\n{code}\n \n{code}\n\n\n{prose}": [("paragraph", prose), ("code", f"{code}\n\n{code}"), ("paragraph", prose)],
+        prose: [("paragraph", prose)], code: [("code", code)], " \n ": [("paragraph", " \n ")],
+        "\n\n".join([prose] * 3): [("paragraph", "\n\n".join([prose] * 3))],
+    }
+    df = frame(spark, list(cases))
+    got = {}
+    for r in X.mixed_chunks(df).orderBy("doc_id", "part").collect():
+        got.setdefault(r.doc_id, []).append((r.kind, r.chunk))
+    ids = {r.text: r.doc_id for r in df.collect()}
+    for text, want in cases.items():
+        assert got[ids[text]] == want
+    long = "\n".join(f"    x{k} = {k}" for k in range(100))
+    parts = [r.chunk for r in X.mixed_chunks(frame(spark, [long]), most=200).orderBy("part").collect()]
+    assert all(len(p) <= 200 for p in parts) and parts[1].split("\n")[:4] == parts[0].split("\n")[-4:]
+
+
+def test_vector_search_by_brute_force(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    table = np.vstack([rng.normal(size=(300, 8)), np.zeros((2, 8)), rng.normal(size=(1, 8)).repeat(5, axis=0)])
+    vectors = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(table)], "vec_id long, embedding array<double>").repartition(7)
+    asked = vectors.filter("vec_id % 30 = 0").withColumnRenamed("vec_id", "query_id")
+    unit = table / np.where(np.linalg.norm(table, axis=1, keepdims=True) > 0, np.linalg.norm(table, axis=1, keepdims=True), 1)
+    for block in (V.QUERY_BLOCK, 4):
+        monkeypatch.setattr(V, "QUERY_BLOCK", block)
+        got = {}
+        for r in V.dense_search(vectors, asked, 6).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        for q in range(0, len(table), 30):
+            scores = np.round(unit[q] @ unit.T, 6)
+            assert got[q] == sorted(range(len(table)), key=lambda v: (-scores[v], v))[:6]
+    assert V.dense_search(vectors, asked.limit(0), 3).count() == 0
+    assert V.dense_search(vectors.limit(0), asked, 3).count() == 0
+
+
+def test_final_repairs_in_order(spark):
+    rows = chunk_rows(spark, ["turn it 7. open the lid\nof", "Rome is", "long ago"]).withColumn("parent_heading", F.lit(None).cast("string"))
+    assert [r.content for r in W.final_repairs(rows).orderBy("pos").collect()] == ["turn it\n7. open the lid of Rome is", "long ago"]
