@@ -122,7 +122,7 @@ def protected_tokens(content: Column) -> Column:
 
 def edit_allowed(before: Column, after: Column, most: float = MOST_EDITS) -> Column:
     """Few edits, the same protected tokens and no more list marks than before."""
-    share = F.levenshtein(before, after) / F.greatest(F.char_length(before), F.lit(1))
+    share = F.when(before == after, 0).otherwise(F.levenshtein(before, after)) / F.greatest(F.char_length(before), F.lit(1))
     a, b = protected_tokens(before), protected_tokens(after)
     marks = lambda x: F.regexp_count(x, F.lit(r"(?m)^\s*(?:[-*•]|\d+[.)])\s"))
     return (share <= most) & (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0) & (marks(after) <= marks(before))

@@ -198,7 +198,7 @@ m AS (SELECT *, CASE WHEN NOT usable THEN NULL WHEN regexp_matches(t, '^\\d{{1,3
   WHEN regexp_matches(t, '(?i)^(News|Feature|Report|Analysis|Interview|Review|Special|Gallery|Inside|Profile)\\b') THEN 'keyword_section' WHEN word THEN 'keyword_match'
   WHEN first AND length(t) < 40 AND len(string_split_regex(t, '\\s+')) <= 5 AND len(list_filter(string_split_regex(t, '\\s+'), lambda w: regexp_matches(w, '^\\pL') AND NOT regexp_matches(w, '^\\p{{Lu}}'))) = 0 THEN 'position_titlecase' END AS method FROM y)
 SELECT doc_id, pos, method, CASE method WHEN 'numbered_section' THEN 0.9 WHEN 'caps_section' THEN 0.85 WHEN 'titled_section' THEN 0.95 WHEN 'keyword_section' THEN 0.8 WHEN 'keyword_match' THEN CASE WHEN first THEN 0.75 ELSE 0.5 END WHEN 'position_titlecase' THEN 0.6 END::DOUBLE AS confidence,
-  CASE method WHEN 'numbered_section' THEN regexp_extract(t, '^\\d+\\s+(.*)$', 1) WHEN 'caps_section' THEN CASE t WHEN 'IN THE NEWS' THEN 'In The News' ELSE t END WHEN 'titled_section' THEN string_split(t, ':')[1] WHEN 'keyword_section' THEN string_split(t, ' ')[1] WHEN 'keyword_match' THEN t WHEN 'position_titlecase' THEN regexp_replace(t, '\\s+', ' ', 'g') END AS name
+  CASE method WHEN 'numbered_section' THEN regexp_extract(t, '^\\d+\\s+(.*)$', 1) WHEN 'caps_section' THEN CASE t WHEN 'IN THE NEWS' THEN 'In The News' ELSE t END WHEN 'titled_section' THEN string_split(t, ':')[1] WHEN 'keyword_section' THEN string_split(t, ' ')[1] WHEN 'keyword_match' THEN t WHEN 'position_titlecase' THEN CASE WHEN t = upper(t) THEN array_to_string(list_transform(string_split_regex(lower(t), '\\s+'), lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') ELSE regexp_replace(t, '\\s+', ' ', 'g') END END AS name
 FROM m WHERE method IS NOT NULL""",
 )
 def c20(spark, d):

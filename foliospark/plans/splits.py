@@ -130,9 +130,7 @@ _PARAGRAPHS = "CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN replace(text, '. ',
 
 def _break(most: int) -> str:
     """SQL of a walk over what is left of each text."""
-    rev = lambda mark, reach: f"(CASE WHEN contains(left(rest, {reach}), {mark}) THEN {reach} - length({mark}) + 1 - instr(reverse(left(rest, {reach})), {mark}) ELSE -1 END)"
-    blank, line = rev(f"{_NL} || {_NL}", most + 2), rev(_NL, most + 1)
-    blank = f"(CASE WHEN contains(left(rest, {most + 2}), {_NL} || {_NL}) THEN {most + 2} - instr(reverse(left(rest, {most + 2})), {_NL} || {_NL}) - 1 ELSE -1 END)"
+    blank = f"(CASE WHEN contains(left(rest, {most + 2}), {_NL} || {_NL}) THEN least(length(rest), {most + 2}) - instr(reverse(left(rest, {most + 2})), {_NL} || {_NL}) - 1 ELSE -1 END)"
     line = f"(CASE WHEN contains(left(rest, {most + 1}), {_NL}) THEN {most + 1} - instr(reverse(left(rest, {most + 1})), {_NL}) ELSE -1 END)"
     mark = f"(CASE WHEN regexp_matches(left(rest, {most + 1}), '[.?!]') THEN {most + 1} - length(regexp_extract(left(rest, {most + 1}), '[^.?!]*$')) ELSE 0 END)"
     least = most // 5
