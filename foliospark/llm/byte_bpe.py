@@ -1,13 +1,11 @@
-"""Byte-level BPE encoding and decoding by corpus-level merge replay.
+"""Byte-level BPE encoding and decoding by merge replay.
 
-1. Blocks of documents are cut into pieces. A document becomes a sequence of places in its block's dictionary of distinct
-   pieces; dictionaries are dealt to buckets by a hash of the piece, so that all blocks' entries of a piece meet.
-2. Each bucket replays its distinct pieces, so that every piece of the corpus is encoded once: an inverted index from
-   mergeable pair (named by the rank of what it makes) to the positions where the pair stands is built once; then every
-   merge is applied to all pieces at once, in rank order, and only the neighbours of the positions it touched get new entries.
-3. The ids go back to the blocks' dictionaries, and documents are put together from them.
+The distinct pieces of a block of documents are one corpus. An inverted index from mergeable pair, named by the rank of what
+it makes, to the positions where the pair stands is built once; then every merge is applied to the whole corpus at once, in
+rank order, and only the neighbours of the positions it touched get new entries. A task remembers what it has replayed, up
+to a bound, so a piece that recurs in its blocks is replayed once.
 
-Texts never leave the first step; what is shuffled are dictionaries and sequences.
+A replay of the distinct pieces of the whole table, by buckets, gave the same ids but not within the limits; see the README.
 """
 
 from __future__ import annotations
@@ -15,27 +13,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import uuid
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import materialize, read_table, release_memory
+from .common import read_table, tidy, with_ids
 
 #: The rank file that the registered query encodes with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of text of a block, about; a longer text is a block of its own.
-BLOCK_CHARS = 4_000_000
-#: Dictionary entries that one task replays, about, and the bytes of text that make one entry, roughly.
-ENTRIES_PER_TASK = 250_000
-BYTES_PER_ENTRY = 50
+BLOCK_CHARS = 2_000_000
+#: Pieces that a task remembers, about; beyond that it forgets all of them and starts anew.
+REMEMBERED = 200_000
 #: Bytes of pieces that are replayed at a time.
 REPLAY_BYTES = 2_000_000
 NONE = np.int64(-1)
@@ -188,27 +183,13 @@ class MergeReplay:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-class Encoder:
-    """Encodes texts within one process; the distinct pieces of all texts are replayed together."""
-
-    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
-        self.replay = MergeReplay(load_ranks(path))
-        self.find = regex.compile(pattern).findall
-
-    def encode_block(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text."""
-        pieces, sequences = dictionary(texts, self.find)
-        coded = replay_all(self.replay, pieces)
-        return [[i for k in own.tolist() for i in coded[k]] for own in sequences]
-
-
 @cache
 def replay_of(path: str) -> MergeReplay:
     """The tables of a rank file, once for each process; their size is that of the vocabulary."""
     return MergeReplay(load_ranks(path))
 
 
-def replay_all(replay: MergeReplay, pieces: list[str]) -> list[list[int]]:
+def replay_all(replay: MergeReplay, pieces: Iterable[str]) -> list[list[int]]:
     """The ids of each piece, REPLAY_BYTES bytes of pieces or one piece at a time; lone surrogates count as "?"."""
     coded, held, size = [], [], 0
     for p in pieces:
@@ -228,11 +209,33 @@ class _Places(dict):
         return found
 
 
-def dictionary(texts: Iterable[str], find: Callable[[str], list[str]]) -> tuple[list[str], list[np.ndarray]]:
-    """The distinct pieces of all texts and, for each text, the places of its pieces among them."""
-    places = _Places()
-    sequences = [np.array(list(map(places.__getitem__, find(t))), dtype=np.int32) for t in texts]
-    return list(places), sequences
+class Encoder:
+    """Texts to ids, with a bounded memory of pieces: their ids, these in decimal, and the bytes that they stand for."""
+
+    def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
+        self.replay = replay_of(path)
+        self.find = regex.compile(pattern).findall
+        self.forget()
+
+    def forget(self) -> None:
+        self.places, self.ids, self.decimal, self.decoded = _Places(), [], [], []
+
+    def sequences(self, texts: Iterable[str]) -> list[list[int]]:
+        """Each text as places of its pieces in ids, decimal and decoded. The new pieces of all texts are replayed together."""
+        if len(self.places) > REMEMBERED:
+            self.forget()
+        place = self.places.__getitem__
+        found = [list(map(place, self.find(t))) for t in texts]
+        new = replay_all(self.replay, islice(self.places, len(self.ids), None))
+        self.ids += new
+        self.decimal += [",".join(map(str, own)) for own in new]
+        self.decoded += [self.replay.decode(own) for own in new]
+        return found
+
+    def encode_block(self, texts: Iterable[str]) -> list[list[int]]:
+        """The ids of each text."""
+        found = self.sequences(texts)
+        return [list(chain.from_iterable(map(self.ids.__getitem__, own))) for own in found]
 
 
 def text_blocks(frames: Iterator[pd.DataFrame], column: str = "text") -> Iterator[pd.DataFrame]:
@@ -254,125 +257,16 @@ def text_blocks(frames: Iterator[pd.DataFrame], column: str = "text") -> Iterato
         yield pd.concat(held, ignore_index=True)
 
 
-#: Kinds of stored rows: entries of a block's dictionary, and documents.
-ENTRIES, DOC = 0, 1
-_CUT = ["block", "kind", "bucket", "doc_id", "places", "pieces"]
-_READY = ["block", "kind", "doc_id", "places", "sizes", "ids"]
-
-
-def _cut(pattern: str, buckets: int):
-    """Rows of _CUT: for each block its documents' sequences and, for each bucket, places and pieces of its dictionary."""
+def _by_block(docs: DataFrame, path: str, make: Callable[[Encoder, list[str]], dict[str, list]], schema: str) -> DataFrame:
+    """doc_id and the columns that make gives for the texts of a block."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = regex.compile(pattern).findall
-        try:
-            for texts in text_blocks(frames):
-                block = uuid.uuid4().int >> 65  # a lost task makes blocks of its own anew
-                pieces, sequences = dictionary(texts["text"], find)
-                rows = [(block, DOC, -1, k, own, None) for k, own in zip(texts["doc_id"], sequences, strict=True)]
-                to = np.fromiter((zlib.crc32(p.encode("utf-8", "replace")) % buckets for p in pieces), dtype=np.int64, count=len(pieces))
-                order = np.argsort(to, kind="stable")
-                cuts = np.flatnonzero(np.diff(to[order])) + 1
-                for part in np.split(order, cuts) if len(order) else []:
-                    rows.append((block, ENTRIES, int(to[part[0]]), None, part.astype(np.int32), [pieces[k] for k in part.tolist()]))
-                yield pd.DataFrame(rows, columns=_CUT)
-        finally:
-            release_memory()
-
-    return run
-
-
-def _replayed(path: str):
-    """From a bucket's entries to rows of _READY: the same places with the sizes and the ids, one after another, of their pieces."""
+        encoder = Encoder(path)
+        for block in text_blocks(frames):
+            yield pd.DataFrame({"doc_id": block["doc_id"], **make(encoder, block["text"].tolist())})
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        places, rows = _Places(), []
-        try:
-            for frame in frames:
-                for block, at, pieces in zip(frame["block"], frame["places"], frame["pieces"], strict=True):
-                    rows.append((block, at, np.array(list(map(places.__getitem__, pieces)), dtype=np.int64)))
-            flat, sizes, starts = _flat(replay_all(replay_of(path), list(places)))
-            for k in range(0, len(rows), 200):
-                some = [(block, ENTRIES, None, at, sizes[own], _gathered(flat, starts, sizes, own)) for block, at, own in rows[k : k + 200]]
-                yield pd.DataFrame(some, columns=_READY)
-        finally:
-            places = rows = None
-            release_memory()
-
-    return run
-
-
-def _flat(coded: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All ids one after another, the number of each piece and where it starts."""
-    sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-    flat = np.fromiter((i for own in coded for i in own), dtype=np.int32, count=int(sizes.sum()))
-    return flat, sizes, np.cumsum(sizes) - sizes
-
-
-def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The ids of the pieces at the places, one after another."""
-    own = sizes[at]
-    ends = np.cumsum(own)
-    return flat[np.repeat(starts[at] - ends + own, own) + np.arange(ends[-1] if len(ends) else 0)]
-
-
-class Block:
-    """A block's dictionary: the ids of each of its pieces."""
-
-    def __init__(self, entries: list[tuple[np.ndarray, np.ndarray, np.ndarray]]):
-        at = np.concatenate([e[0] for e in entries]) if entries else np.zeros(0, dtype=np.int64)
-        given = np.concatenate([e[1] for e in entries]) if entries else at
-        self.flat = np.concatenate([e[2] for e in entries]) if entries else at
-        self.sizes, self.starts = np.zeros(len(at), dtype=np.int64), np.zeros(len(at), dtype=np.int64)
-        self.sizes[at], self.starts[at] = given, np.cumsum(given) - given
-
-    def ids(self, places: np.ndarray) -> np.ndarray:
-        return _gathered(self.flat, self.starts, self.sizes, places)
-
-
-def _assembled(make: Callable[[Block], Callable[[np.ndarray], tuple]], columns: list[str]):
-    """Rows of doc_id and columns from rows of _READY that come block by block, dictionary first."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, entries, of = None, [], None
-        try:
-            for frame in frames:
-                found = []
-                for block, kind, doc_id, places, sizes, ids in frame[_READY].itertuples(index=False, name=None):
-                    if block != current:
-                        current, entries, of = block, [], None
-                    if kind == ENTRIES:
-                        entries.append((places, sizes, ids))
-                        continue
-                    if of is None:
-                        of, entries = make(Block(entries)), []
-                    found.append((doc_id, *of(places)))
-                yield pd.DataFrame(found, columns=["doc_id", *columns])
-        finally:
-            entries = of = None
-            release_memory()
-
-    return run
-
-
-def _encoded(docs: DataFrame, path: str, make: Callable, schema: str) -> DataFrame:
-    """doc_id and the columns of the schema that make(a block's dictionary) gives for the places of each text."""
-    spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BYTES_PER_ENTRY // ENTRIES_PER_TASK + 1)
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")  # as text: pandas makes floats of null ids
-    cut = rows.mapInPandas(_cut(public_tokenizers.PATTERN, buckets), "block long, kind int, bucket int, doc_id string, places array<int>, pieces array<string>")
-    cut = materialize(cut, "bpe-cut")
-    entries = cut.filter(F.col("kind") == ENTRIES).select("block", "bucket", "places", "pieces").repartitionById(buckets, "bucket")
-    ready = "block long, kind int, doc_id string, places array<int>, sizes array<int>, ids array<int>"
-    coded = entries.mapInPandas(_replayed(path), ready)
-    none = F.lit(None).cast("array<int>")
-    sequences = cut.filter(F.col("kind") == DOC).select("block", "kind", "doc_id", "places", none.alias("sizes"), none.alias("ids"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BLOCK_CHARS + 1)
-    together = coded.unionByName(sequences).repartition(parts, "block").sortWithinPartitions("block", "kind")
-    names = [part.split()[0] for part in schema.split(", ")]
-    return together.mapInPandas(_assembled(make, names), f"doc_id string, {schema}").withColumn("doc_id", F.col("doc_id").cast(kind))
+    return with_ids(docs, "text", run, schema)
 
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
@@ -381,7 +275,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     Null and empty texts have no tokens; lone surrogates count as "?"; an empty table gives no rows. Repeated rows are
     encoded each. Very long texts are blocks of their own. Other columns of docs, whatever their names, are not read.
     """
-    return _encoded(docs, path, lambda block: lambda places: (block.ids(places),), "ids array<int>")
+    return _by_block(docs, path, lambda encoder, texts: {"ids": encoder.encode_block(texts)}, "ids array<int>")
 
 
 def decode_ids(rows: DataFrame, path: str) -> DataFrame:
@@ -392,29 +286,21 @@ def decode_ids(rows: DataFrame, path: str) -> DataFrame:
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "decoded": [replay.decode(ids) for ids in frame["ids"]]})
 
-    kind = rows.schema["doc_id"].dataType
-    ids = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "ids")
-    return ids.mapInPandas(run, "doc_id string, decoded binary").withColumn("doc_id", F.col("doc_id").cast(kind))
+    return with_ids(rows, "ids", run, "decoded binary")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """For each row as encode_texts has it: doc_id, n_tokens, ids_sha256 and decoded_sha256, without passing the ids on."""
 
-    def make(block: Block) -> Callable[[np.ndarray], tuple]:
-        every = np.arange(len(block.sizes))
-        ids = np.split(block.ids(every), np.cumsum(block.sizes)[:-1]) if len(every) else []
-        decimal = [",".join(map(str, own.tolist())) for own in ids]
-        decode = replay_of(path).decode
-        decoded = [decode(own.tolist()) for own in ids]
-
-        def digests(places: np.ndarray) -> tuple[int, str, str]:
-            own = places.tolist()
-            text = ",".join(map(decimal.__getitem__, own)).encode()
-            return int(block.sizes[places].sum()), hashlib.sha256(text).hexdigest(), hashlib.sha256(b"".join(map(decoded.__getitem__, own))).hexdigest()
-
-        return digests
+    def make(encoder: Encoder, texts: list[str]) -> dict[str, list]:
+        rows = []
+        for own in encoder.sequences(texts):
+            ids = ",".join(map(encoder.decimal.__getitem__, own)).encode()
+            decoded = b"".join(map(encoder.decoded.__getitem__, own))
+            rows.append((sum(map(len, map(encoder.ids.__getitem__, own))), hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        return dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), map(list, zip(*rows, strict=True)), strict=True)) if rows else {}
 
-    return _encoded(docs, path, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _by_block(docs, path, make, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

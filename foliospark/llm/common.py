@@ -9,6 +9,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +74,31 @@ def release_memory() -> None:
         trim(0)
 
 
+def tidy(run: Callable) -> Callable:
+    """The iterator function, after whose task the process holds as little as before: all that it kept is dropped, then given back."""
+
+    @wraps(run)
+    def tidied(batches):
+        _prefer_maps()
+        inner = run(batches)
+        try:
+            yield from inner
+        finally:
+            inner.close()
+            del inner
+            release_memory()
+
+    return tidied
+
+
+def _prefer_maps() -> None:
+    """Large blocks of memory are to be mapped on their own, from a fixed size on, so that freeing them gives them back at once."""
+    option = getattr(ctypes.CDLL(None), "mallopt", None)
+    if option:
+        option(-3, 1 << 16)  # M_MMAP_THRESHOLD
+        option(-1, 1 << 17)  # M_TRIM_THRESHOLD
+
+
 def crc_mod(key: str | Column, n: int) -> Column:
     """crc32 of the key's decimal text, modulo n; a null key counts as the empty text."""
     key = F.col(key) if isinstance(key, str) else key

@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, hash_share, read_table, release_memory
+from .common import crc_mod, hash_share, read_table, release_memory, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: About so many labelled texts of each language are learned from.
@@ -26,7 +26,7 @@ ROUNDS = 3
 #: Added to the expected count of each piece.
 SMOOTHING = 0.02
 #: Words that a worker remembers at most.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 #: Words whose cuts are summed at a time.
 WORDS_AT_ONCE = 5_000
 #: Longer words are cut every so many characters, which keeps the products within a double.
@@ -37,9 +37,16 @@ LONG_PIECE = 12
 UNKNOWN = 1e-7
 UND = "und"
 #: Signs that Python counts as word characters but that are no letters, such as fractions and circled numbers.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-#: The runs of letters (\p{L}+) of a text.
-letters = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+").findall
+_NUMBERS = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()]
+_BLANK = str.maketrans(dict.fromkeys(_NUMBERS, " "))
+#: One of them, or any sign beyond the basic plane: a class that is searched fast.
+_number = re.compile(f"[{re.escape(''.join(c for c in _NUMBERS if ord(c) < 0x10000))}\U00010000-\U0010ffff]").search
+_runs = re.compile(r"[^\W\d_]+").findall
+
+
+def letters(text: str) -> list[str]:
+    """The runs of letters (\\p{L}+) of a text."""
+    return _runs(text if text.isascii() or not _number(text) else text.translate(_BLANK))
 
 
 def load_pieces(path: str) -> list[str]:
@@ -200,20 +207,35 @@ class Scorer:
         self.model, self.lattice = model, Lattice(model.pieces)
         self.at: dict[str, int] = {}
         self.logs = np.zeros((1024, len(model.languages)))
+        self.again = np.zeros(1024, dtype=bool)  # words that a second block had
 
     def _learn(self, words: set[str]) -> None:
-        """Puts the words' logarithms into the table, which grows by doubling and is reused when the memory is full."""
-        if len(self.at) + len(words) > REMEMBERED:
-            self.at = {}
+        """Puts the words' logarithms into the table, which grows by doubling; when it is full, only words that came again stay."""
+        known = [w for w in words if w in self.at]
+        self.again[[self.at[w] for w in known]] = True
+        if len(self.at) + len(words) - len(known) > REMEMBERED:
+            self._forget()
         new = [w for w in words if w not in self.at]
         base = len(self.at)
         while base + len(new) > len(self.logs):
             self.logs = np.concatenate((self.logs, np.zeros_like(self.logs)))
+            self.again = np.concatenate((self.again, np.zeros_like(self.again)))
         for k in range(0, len(new), WORDS_AT_ONCE):
             some = new[k : k + WORDS_AT_ONCE]
             self.logs[base + k : base + k + len(some)] = self.lattice.log_probability(some, self.model.model)
+        self.again[base : base + len(new)] = False
         self.at.update((w, base + k) for k, w in enumerate(new))
 
+    def _forget(self) -> None:
+        stay = np.flatnonzero(self.again[: len(self.at)])
+        if 2 * len(stay) > REMEMBERED:
+            stay = stay[:0]
+        kept = set(stay.tolist())
+        words = [w for w, k in self.at.items() if k in kept]  # in order of their rows
+        self.at = {w: k for k, w in enumerate(words)}
+        self.logs[: len(stay)] = self.logs[stay]
+        self.again[: len(stay)] = False
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The likeliest language and its posterior probability; `und` with 0 where there are no letters."""
         names, scores = [UND] * len(texts), [0.0] * len(texts)
@@ -240,19 +262,16 @@ def language_of(model: LanguageModel, spark: SparkSession) -> Callable[[Column],
     """
     shared = spark.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
-        try:
-            for texts in batches:
-                names, scores = [], []
-                for block in _blocks(texts):
-                    found = scorer.predict([t if isinstance(t, str) else None for t in block])
-                    names += found[0]
-                    scores += found[1]
-                yield pd.DataFrame({"lang_pred": names, "score": scores})
-        finally:
-            del scorer
-            release_memory()
+        for texts in batches:
+            names, scores = [], []
+            for block in _blocks(texts):
+                found = scorer.predict([t if isinstance(t, str) else None for t in block])
+                names += found[0]
+                scores += found[1]
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     return F.pandas_udf(run, "lang_pred string, score double")
 

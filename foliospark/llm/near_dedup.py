@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, wraps
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import flag_members, heavy_bar, materialize, read_table
+from .common import flag_members, heavy_bar, materialize, read_table, tidy
 
 WORDS = 5
 #: Documents link at this Jaccard similarity, in per cent, or more.
@@ -34,9 +34,11 @@ BAND_GROWTH = 1.25
 #: Blocks for each one needed, so that enough of them have shingles.
 SPARE_BLOCKS = 1.15
 #: Characters that are sketched at a time.
-BLOCK_CHARS = 3_000_000
-#: Words that a worker remembers at most.
-REMEMBERED = 300_000
+BLOCK_CHARS = 2_000_000
+#: Words that a task remembers, about.
+REMEMBERED = 100_000
+#: Entries of keys that a task holds before it pairs them and keeps one for each key.
+ENTRIES_HELD = 2_000_000
 #: Keys that one task groups, about.
 KEYS_PER_TASK = 500_000
 #: Bytes of text for a key, roughly.
@@ -214,6 +216,7 @@ def _text_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _sketched(buckets: int):
     """Rows for the documents of each block, its keys by bucket, and pairs that share keys within the block."""
 
+    @_tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in _text_blocks(frames):
             rows, keys, ids = [], [], []
@@ -245,19 +248,47 @@ def _sketched(buckets: int):
     return run
 
 
+def _tidy(run):
+    """As tidy, and the words that the task remembered are forgotten."""
+
+    @wraps(run)
+    def forgetful(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _words.clear()
+
+    return tidy(forgetful)
+
+
+@_tidy
 def _met(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Passes documents and pairs on and makes pairs of the keys that blocks share."""
-    keys, ids = [], []
+    """Passes documents and pairs on and makes pairs of the keys that blocks share.
+
+    Of a key only the smallest id is kept for what follows, so a key that very many blocks have takes no more memory than
+    another: each id is paired with the smallest so far, and a smaller one with the one before.
+    """
+    keys, ids, held = [], [], 0
+
+    def paired() -> Iterator[pd.DataFrame]:
+        key, least, *pairs = smallest_of(np.concatenate(keys), np.concatenate(ids))
+        keys[:], ids[:] = [key], [least]
+        rows = _edges(*pairs)
+        for k in range(0, len(rows), 5000):
+            yield _frame(rows[k : k + 5000])
+
     for frame in frames:
         is_keys = frame["kind"] == KEYS
         for k, i in zip(frame.loc[is_keys, "keys"], frame.loc[is_keys, "ids"], strict=True):
             keys.append(np.asarray(k, dtype=np.int64).view(_U))
             ids.append(np.asarray(i, dtype=np.int64))
+            held += len(k)
         yield frame[~is_keys].assign(ids=None)
+        if held > ENTRIES_HELD:
+            yield from paired()
+            held = len(keys[0]) // 2  # distinct keys count half, so pairing stays rare
     if keys:
-        rows = _edges(*smallest_of(np.concatenate(keys), np.concatenate(ids))[2:])
-        for k in range(0, len(rows), 5000):
-            yield _frame(rows[k : k + 5000])
+        yield from paired()
 
 
 def sketch_join(docs: DataFrame) -> DataFrame:
@@ -288,6 +319,7 @@ def plausible(n_a: str, n_b: str, sketch_a: str, sketch_b: str) -> Column:
 
 
 def _verify_column():
+    @_tidy
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         kept: dict[str, np.ndarray] = {}
         chars = 0
@@ -324,11 +356,12 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _class_column():
+    @_tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = []
-            for k in range(0, len(texts), 500):
-                for hashes in shingles(texts.iloc[k : k + 500].tolist()):
+            for k in range(0, len(texts), 200):
+                for hashes in shingles(texts.iloc[k : k + 200].tolist()):
                     with np.errstate(over="ignore"):
                         found.append(class_id(mix(hashes + _U(11))) if len(hashes) else 0)
             yield pd.Series(found, dtype="int64")
@@ -393,9 +426,13 @@ def _relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+
+
 def _undecided(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members, with their labels, of groups of three or more that have more than one label."""
-    labelled = members.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    labelled = _labelled(members, labels)
     several = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count("*").alias("n")).filter("l <> m AND n > 2")
     return labelled.join(several.select("key"), "key", "left_semi")
 
@@ -428,11 +465,14 @@ def _labels(edges: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     bad = edges.join(failed, ["a", "b"], "left_semi").select(F.explode("keys").alias("key")).distinct()
     members = edges.select(F.explode("keys").alias("key"), F.array("a", "b").alias("ab")).join(bad, "key", "left_semi").select("key", F.explode("ab").alias("cid")).distinct()
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc(F.coalesce("links", F.lit(0))), "cid"))
-    members = materialize(members.join(degree, "cid", "left").select("key", "cid", place.alias("place")), "near-members")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("links"), "cid"))
+    members = materialize(members.join(degree, "cid", "left").select("key", "cid", F.coalesce("links", F.lit(0)).alias("links")), "near-members")
+    # of a group only its first rows are shuffled for this: the window's limit is applied in each task before
+    hubs = materialize(members.withColumn("place", place).filter(F.col("place") <= HUBS).select("key", "cid", "place"), "near-hubs")
+    members = members.select("key", "cid")
     for hub in range(1, HUBS + 1):  # the member with the most links joins most of its group, which leaves little to compare
         left = _undecided(members, labels)
-        at_hub = left.filter(F.col("place") == hub).select("key", F.col("cid").alias("h"), F.col("label").alias("label_h"))
+        at_hub = _labelled(hubs.filter(F.col("place") == hub).select("key", "cid"), labels).select("key", F.col("cid").alias("h"), F.col("label").alias("label_h"))
         met = left.join(at_hub, "key").filter("label <> label_h").select(F.least("cid", "h").alias("a"), F.greatest("cid", "h").alias("b")).distinct()
         more, no = _compare(met, tested, classes, docs)
         links = links.union(more.filter("ok").select("a", "b"))

@@ -53,7 +53,7 @@ def docs_of(spark):
     en = "the quick brown fox jumps over the lazy dog and the cat sat on the mat with that thing"
     de = "der schnelle braune fuchs springt nicht über den faulen hund und die katze schläft auf dem sofa"
     rows = [(k, en if k % 2 else de, "en" if k % 2 else "de", "src") for k in range(60)]
-    rows += [(100, None, "en", "x"), (101, "", "de", "x"), (102, "123 !!", None, "x"), (None, en, None, None), (103, "w" * 100_000, "en", "x"), (1, en, "en", "src")]
+    rows += [(100, None, "en", "x"), (101, "", "de", "x"), (102, "½ ² ① Ⅷ 123 _ !!", None, "x"), (None, en, None, None), (103, "w" * 100_000, "en", "x"), (1, en, "en", "src")]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
 
 
