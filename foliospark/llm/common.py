@@ -58,8 +58,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a batch between executors and their Python workers, in place of Spark's default of eight times as many.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Long texts make large batches, which both sides hold several times over; a session that has set a size of its own keeps it."""
+    if spark.conf.get(_BATCH) == "67108864b":  # Spark's default
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def with_ids(rows: DataFrame, column: str, run: Callable, schema: str) -> DataFrame:
     """mapInPandas over doc_id and a column, to doc_id and the schema. Ids travel as text: pandas makes floats of null ones."""
+    bounded_batches(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType
     ids = rows.select(F.col("doc_id").cast("string").alias("doc_id"), column)
     return ids.mapInPandas(run, f"doc_id string, {schema}").withColumn("doc_id", F.col("doc_id").cast(kind))

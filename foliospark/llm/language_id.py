@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, hash_share, read_table, release_memory, tidy
+from .common import bounded_batches, crc_mod, hash_share, read_table, release_memory, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 #: About so many labelled texts of each language are learned from.
@@ -260,6 +260,7 @@ def language_of(model: LanguageModel, spark: SparkSession) -> Callable[[Column],
     lang_pred is `und` and score 0 for a null text and one without letters. Languages with equal sums: the first
     by name. The model, as large as the vocabulary times the learned languages, is broadcast.
     """
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @tidy

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import flag_members, heavy_bar, materialize, read_table, tidy
+from .common import bounded_batches, flag_members, heavy_bar, materialize, read_table, tidy
 
 WORDS = 5
 #: Documents link at this Jaccard similarity, in per cent, or more.
@@ -295,6 +295,7 @@ def sketch_join(docs: DataFrame) -> DataFrame:
     """Stored rows of two kinds: DOC with doc_id, n, cid and sketch; EDGE with a pair (cid, other) and the keys they share."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spark = docs.sparkSession
+    bounded_batches(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BYTES_PER_KEY / KEYS_PER_TASK))
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     sketched = rows.mapInPandas(_sketched(parts), _ROW).repartitionById(parts, "bucket")

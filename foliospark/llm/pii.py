@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flag_members, materialize, read_table
+from .common import bounded_batches, flag_members, materialize, read_table
 
 #: Key of the registered query; production passes a secret one.
 KEY = b"public demonstration key"
@@ -373,6 +373,7 @@ def replace_entities(docs: DataFrame, key: bytes = KEY) -> DataFrame:
     A null text stays null and an empty one empty; whole texts are read, however long. Repeated rows get equal results;
     an empty table gives no rows. Other columns of docs, whatever their names, are not read.
     """
+    bounded_batches(docs.sparkSession)
     found = docs.select(F.explode(entity_column()(F.col("text"))).alias("entity")).distinct()
     exceptions = materialize(exceptions_of(materialize(found, "pii-entities"), key), "pii-exceptions")
     if exceptions.count() <= BROADCAST_EXCEPTIONS:
