@@ -1,5 +1,6 @@
 import numpy as np
 from foliospark.llm import quality as Q
+from pyspark.sql import functions as F
 
 
 def test_gradient_vanishes_at_the_fit():
@@ -71,3 +72,41 @@ def test_table_by_brute_force(spark):
     for k, t in enumerate(texts):
         s = float((np.array(Q.features(t)) - centre) / scale @ w) - threshold
         assert abs(got[k] - 1 / (1 + np.exp(-s))) < 1e-3
+
+
+def _noisy(k: int) -> str:
+    """Texts of both labels that overlap, all different."""
+    return " ".join(("CHEAP!!" if (k * 2654435761 + j * j * 40503) % 97 < (30 if k % 2 else 45) else f"valley{k % (j + 3)}") for j in range(8 + k % 13)) + f" {k}."
+
+
+def test_every_labelled_text_counts(spark):
+    """More labelled texts than a sample of 3000 of each label: the gradient over all pairs vanishes, no cut is better."""
+    n = 7000
+    docs = spark.range(n).select("id").collect()
+    texts = [_noisy(r.id) for r in docs]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(n)], "doc_id long, quality int")
+    assert Q.labelled_features(Q.featured(table), labels).count() == n
+    model = Q.train(table, labels)
+    rows, told = np.array([Q.features(t) for t in texts]), np.arange(n) % 2
+    assert np.allclose(model.centre, rows.mean(axis=0), atol=1e-9)
+    z = (rows - model.centre) / model.scale
+    strength = z @ model.weights
+    win, lose = z[told == 1], z[told == 0]
+    gradient = Q.RIDGE * model.weights
+    for i, s in zip(win, strength[told == 1], strict=True):
+        lost = 1 / (1 + np.exp(s - strength[told == 0]))
+        gradient = gradient - (lost.sum() * i - lost @ lose) / (len(win) * len(lose))
+    assert np.abs(gradient).max() < 1e-5
+    worth = lambda c: (strength[told == 1] >= c).mean() + (strength[told == 0] < c).mean()
+    assert abs(worth(model.threshold) - max(map(worth, np.unique(strength)))) < 1e-9
+
+
+def test_threshold_of_a_table_is_that_of_an_array(spark):
+    rng = np.random.default_rng(3)
+    for n, values in ((1, 5), (40, 6), (300, 40), (300, 10_000)):
+        strength, told = rng.integers(0, values, n) / 4, rng.integers(0, 2, n)
+        told[: min(2, n)] = [0, 1][: min(2, n)]
+        table = spark.createDataFrame([(float(s), int(y)) for s, y in zip(strength, told, strict=True)], "s0 double, quality int")
+        got = Q.table_threshold(table, F.col("s0"), int(told.sum()), int(n - told.sum()))
+        assert got == (Q.quantile_threshold(strength, told) if n > 1 else strength[0])
