@@ -46,3 +46,21 @@ def test_stages(spark, tmp_path):
         assert (r.n_tokens, r.ids_sha256) == (len(want), hashlib.sha256(",".join(map(str, want)).encode()).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
     assert len(texts) == seen["byte_bpe"].count()
+
+
+def test_stored_tables_leave_the_driver_no_garbage(spark, monkeypatch):
+    from foliospark.llm import common
+
+    monkeypatch.setattr(common, "DRIVER_HEAP_SHARE", 0.0, raising=False)
+    jvm = spark._jvm
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    used = lambda: runtime.totalMemory() - runtime.freeMemory()
+    common.materialize(spark.range(3), "driver-first")  # what a first table leaves is there for the next ones
+    jvm.java.lang.System.gc()
+    floor = used()
+    box = jvm.java.util.ArrayList()
+    box.ensureCapacity(25_000_000)
+    assert used() > floor + 90_000_000
+    box.trimToSize()  # the large array is garbage now
+    common.materialize(spark.range(3), "driver-garbage")
+    assert used() < floor + 60_000_000
