@@ -15,8 +15,8 @@ from .common import materialize, read_table
 RULES = (
     ("block", "com/en/"),
     ("allow", "example.com/en/7"),
-    ("block", "net/de/"),
-    ("allow", "example.net/de/8"),
+    ("allow", "net/de/"),
+    ("block", "example.net/de/8"),
     ("block", "org/es/"),
 )
 #: More rules than this would make too large a plan.
