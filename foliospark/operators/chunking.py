@@ -175,7 +175,7 @@ def token_chunks(df: DataFrame, text: str = "text", most_tokens: int = 512, over
     sql = f"""aggregate(__pieces, named_struct('out', cast(array() AS array<string>), 'cur', ''), (a, s) ->
         CASE WHEN (length(a.cur) + length(s) + IF(a.cur = '', 0, 1)) DIV 4 <= {most_tokens} THEN named_struct('out', a.out, 'cur', IF(a.cur = '', s, concat(a.cur, ' ', s)))
              WHEN a.cur <> '' THEN named_struct('out', concat(a.out, array({_strip('a.cur')})), 'cur', concat(right(a.cur, {overlap}), ' ', s))
-             ELSE transform(array({words}), f -> named_struct('out', concat(a.out, f.out), 'cur', {_strip('f.cur')}))[0] END,
+             ELSE transform(array({words}), f -> named_struct('out', concat(a.out, f.out), 'cur', f.cur))[0] END,
         a -> IF({_strip('a.cur')} = '', a.out, concat(a.out, array({_strip('a.cur')}))))"""
     rows = df.withColumn("__pieces", F.split(text, r"(?U)(?<=[.!?])\s+", -1))
     return rows.withColumn(to, F.when(F.floor(F.char_length(text) / 4) <= most_tokens, F.array(F.col(text))).otherwise(F.expr(sql))).drop("__pieces")

@@ -49,10 +49,11 @@ def _move_head(chunks: DataFrame, takes: Column, head: Column, own: Column, sepa
     return rows.withColumn("__new", ended).withColumn("content", F.col("__new")).drop("__takes", "__head", "__own", "__new")
 
 
-def rejoin_hyphenated(chunks: DataFrame) -> DataFrame:
-    """A word broken by a hyphen at a chunk's end is completed from the next chunk."""
+def rejoin_hyphenated(chunks: DataFrame, ascii_words: bool = False) -> DataFrame:
+    """A word broken by a hyphen at a chunk's end is completed from the next chunk; if ascii_words, a letter beyond ASCII ends it."""
     nxt = F.lead("content").over(reading_order())
-    head = F.regexp_extract(nxt, r"^\s*([a-z]{2,})\b", 1)
+    end = "(?![A-Za-z0-9_])" if ascii_words else r"\b"
+    head = F.regexp_extract(nxt, rf"^\s*([a-z]{{2,}}){end}", 1)
     takes = F.col("content").rlike(r"[a-zA-Z]{2,}-\s*$") & (head != "")
     return _move_head(chunks, takes, head, F.regexp_replace("content", r"-\s*$", ""), "")
 
