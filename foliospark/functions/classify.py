@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .predicates import looks_like_code
-from .text import any_of, count_of, strip_text
+from .text import any_of, chars_of, count_of, let, strip_text
 
 AD_MARKS = ("buy now", "special offer", "discount", "order now", "limited time", "subscribe")
 TECHNICAL = ("api", "schema", "algorithm", "function", "class", "module", "pipeline", "configuration", "implementation", "model")
@@ -57,15 +57,16 @@ def page_class_batch(chars: Column) -> Column:
     return F.when(chars < 100, "scanned").otherwise("digital")
 
 
-def text_confidence(content: Column) -> Column:
-    """How likely a text was read right: by marks, blanks, letters, repeated characters and length."""
+def text_confidence(content: Column, runs: bool = True) -> Column:
+    """How likely a text was read right: by marks, blanks, letters, runs of one character (unless they are not to count) and length."""
     n = F.char_length(F.trim(content)).cast("double")
-    marks = F.regexp_count(content, F.lit(r"[@#$%^&*()_+=\[\]{}|\\<>~`]")) / n
-    blanks = F.regexp_count(content, F.lit(r"[ \n\t]")) / n
-    alnum = F.regexp_count(content, F.lit(r"[\p{L}\p{N}]")) / n
+    marks = chars_of(content, r"@#$%^&*()_+=\[\]{}|\\<>~`") / n
+    blanks = chars_of(content, r" \n\t") / n
+    alnum = chars_of(content, r"\p{L}\p{N}") / n
+    run = lambda pattern: content.rlike(pattern) if runs else F.lit(False)
     return (
         F.when(content.isNull() | (n == 0), 0.1).when(n < 5, 0.3).when(marks > 0.3, 0.2).when(marks > 0.15, 0.5).when(blanks > 0.5, 0.6)
-        .when(alnum < 0.3, 0.4).when(alnum < 0.5, 0.6).when(content.rlike(r"(?s)(.)\1{10,}"), 0.3).when(content.rlike(r"(?s)(.)\1{5,}"), 0.6)
+        .when(alnum < 0.3, 0.4).when(alnum < 0.5, 0.6).when(run(r"(?s)(.)\1{10}"), 0.3).when(run(r"(?s)(.)\1{5}"), 0.6)
         .when(n > 500, 0.95).when(n > 200, 0.85).when(n > 50, 0.75).otherwise(0.65)
     )
 
@@ -99,8 +100,8 @@ def corruption_score(content: Column, hint: str | None = None) -> Column:
     for pattern, weight, language in CORRUPTION:
         if (hint in ("de", "nl") and language != hint) or (hint == "en" and language):
             continue
-        hits = F.regexp_count(content, F.lit(pattern))
-        total = total + F.when(hits >= 2, F.least(hits * weight, F.lit(weight * 3))).otherwise(0.0)
+        worth = lambda hits, weight=weight: F.when(hits >= 2, F.least(hits * weight, F.lit(weight * 3))).otherwise(0.0)
+        total = total + let(F.regexp_count(content, F.lit(pattern)), worth)
     return F.when(F.char_length(content) < 10, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
 
@@ -120,21 +121,44 @@ def protected_tokens(content: Column) -> Column:
     return F.array_distinct(F.concat(*(F.regexp_extract_all(content, F.lit(f"({p})"), F.lit(1)) for p in PROTECTED)))
 
 
-def edit_allowed(before: Column, after: Column, most: float = MOST_EDITS) -> Column:
-    """Few edits, the same protected tokens and no more list marks than before."""
-    share = F.when(before == after, 0).otherwise(F.levenshtein(before, after)) / F.greatest(F.char_length(before), F.lit(1))
-    a, b = protected_tokens(before), protected_tokens(after)
+#: What an edit of blanks leaves as it is, and the blanks before each of these.
+_PIECES, _GAPS = r"([^\s.,;:!?]++|[.,;:!?])", r"(\s*+)(?:[^\s.,;:!?]++|[.,;:!?]|\z)"
+
+
+def _few_edits(before: Column, after: Column, most: float) -> Column:
+    """Whether `after` is at most `most` edits by character of `before` away.
+
+    The difference in length is the fewest that it can take. Where only blanks differ, the edits of the gaps are the most. The
+    distance of the whole texts, which grows with the square of their length, decides only where these two leave it open.
+    """
+    bar = F.greatest(F.char_length(before), F.lit(1)) * most
+    fewest = F.abs(F.char_length(before) - F.char_length(after))
+    pieces = lambda x: F.regexp_extract_all(x, F.lit(_PIECES), F.lit(1))
+    gaps = lambda x: F.regexp_extract_all(x, F.lit(_GAPS), F.lit(1))
+    of_gaps = F.aggregate(F.zip_with(gaps(before), gaps(after), lambda a, b: F.when(a == b, 0).otherwise(F.levenshtein(a, b))), F.lit(0), lambda s, x: s + x)
+    return (
+        F.when(fewest > bar, False).when(F.when(pieces(before) == pieces(after), of_gaps <= bar), True)
+        .otherwise(F.levenshtein(before, after) / F.greatest(F.char_length(before), F.lit(1)) <= most)
+    )
+
+
+def edit_allowed(before: Column, after: Column, most: float = MOST_EDITS, tokens: Column | None = None) -> Column:
+    """Few edits, the same protected tokens (those of `before` may be given) and no more list marks than before."""
     marks = lambda x: F.regexp_count(x, F.lit(r"(?m)^\s*(?:[-*•]|\d+[.)])\s"))
-    return (share <= most) & (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0) & (marks(after) <= marks(before))
+    tokens = protected_tokens(before) if tokens is None else tokens
+    same = lambda a, b: (F.size(F.array_except(a, b)) == 0) & (F.size(F.array_except(b, a)) == 0)
+    fits = lambda x, y: _few_edits(x, y, most) & let(protected_tokens(y), lambda b: same(tokens, b)) & (marks(y) <= marks(x))
+    return let(before, lambda x: let(after, lambda y: F.when(x == y, True).otherwise(fits(x, y))))
 
 
-def refine_route(content: Column, threshold: float = 0.15) -> Column:
-    """What happens to a text: left, blocked, repaired by rule, or handed to a model."""
-    score, disorder = corruption_score(content), disorder_score(content)
-    dense = F.size(protected_tokens(content)) / F.greatest(F.regexp_count(content, F.lit(r"\S+")), F.lit(1))
+def refine_route(content: Column, threshold: float = 0.15, score: Column | None = None, tokens: Column | None = None) -> Column:
+    """What happens to a text: left, blocked, repaired by rule, or handed to a model. Its corruption_score and protected_tokens may be given."""
+    disorder = disorder_score(content)
+    dense = F.size(protected_tokens(content) if tokens is None else tokens) / F.greatest(F.regexp_count(content, F.lit(r"\S+")), F.lit(1))
     technical = count_of(F.lower(content), TECHNICAL) / float(len(TECHNICAL))
     bar = F.lit(threshold) - F.when(dense >= 0.08, 0.05).otherwise(0.0)
-    return F.when(disorder >= 0.6, "blocked").when((score >= 0.7) & (technical >= 0.3), "rule").when(score < bar, "keep").otherwise("model")
+    by_score = lambda score: F.when((score >= 0.7) & (technical >= 0.3), "rule").when(score < bar, "keep").otherwise("model")
+    return F.when(disorder >= 0.6, "blocked").otherwise(let(corruption_score(content) if score is None else score, by_score))
 
 
 def tokens_stripped(content: Column) -> Column:

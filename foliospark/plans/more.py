@@ -246,8 +246,9 @@ SELECT doc_id, pos, round(z1, 6)::DOUBLE AS z1, round(z2, 6)::DOUBLE AS z2, arra
 )
 def z_refine(spark, d):
     rows = chunks(spark, d).select("doc_id", "pos", F.regexp_replace(F.expr(_TORN), "[^\n -~]", "e").alias("t"))
-    x = c("t")
+    x, score, tokens = c("t"), c("score"), c("tokens")
+    rows = rows.withColumns({"score": C.corruption_score(x), "tokens": C.protected_tokens(x)})
     return rows.select(
-        "doc_id", "pos", F.round(C.corruption_score(x), 6).alias("z1"), F.round(C.disorder_score(x), 6).alias("z2"), F.array_join(F.array_sort(C.protected_tokens(x)), "|").alias("z3"),
-        C.edit_allowed(x, T.tidy_spaces(x)).alias("z4"), C.refine_route(x).alias("z5"),
+        "doc_id", "pos", F.round(score, 6).alias("z1"), F.round(C.disorder_score(x), 6).alias("z2"), F.array_join(F.array_sort(tokens), "|").alias("z3"),
+        C.edit_allowed(x, T.tidy_spaces(x), tokens=tokens).alias("z4"), C.refine_route(x, score=score, tokens=tokens).alias("z5"),
     )
