@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Queries that are broadcast at once; more are scored in blocks of as many.
 QUERY_BLOCK = 2000
+#: Vectors that are multiplied with a block of queries at once.
+TILE = 500
 RRF = 60
 
 
@@ -41,7 +43,8 @@ def dense_search(vectors: DataFrame, queries: DataFrame, k: int, at_least: float
 
     A block of queries is sent to every task, which multiplies it with one batch of vectors after another and keeps the k
     best of each query, so k rows a query and task are shuffled. Zero vectors have score 0. Queries are the stated small
-    side: they are counted first, and more than QUERY_BLOCK are searched block by block.
+    side: they are counted first, and more than QUERY_BLOCK are searched block by block. A query with a `keyword` sees only
+    vectors whose `content` has it, whatever its case.
     """
     n = queries.count()
     blocks = max(1, -(-n // QUERY_BLOCK))
@@ -53,34 +56,74 @@ def dense_search(vectors: DataFrame, queries: DataFrame, k: int, at_least: float
 
 
 def _searched(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "embedding").toPandas()
+    """The k best of each query in each task. With a column `keyword`, queries see only vectors whose `words`, places in the sorted keywords, have theirs."""
+    worded = "keyword" in queries.columns
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "embedding", *(["keyword"] if worded else [])).toPandas()
     ids = asked["query_id"].tolist()
     matrix = _units(asked["embedding"]) if ids else np.zeros((0, 1))
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix))  # at most QUERY_BLOCK vectors
+    words = sorted(set(asked["keyword"])) if worded else []
+    of_word = [np.flatnonzero((asked["keyword"] == w).to_numpy()) for w in words]
+    shared = vectors.sparkSession.sparkContext.broadcast((ids, matrix, of_word))  # at most QUERY_BLOCK vectors
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, asked = shared.value
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, dtype=np.int64))] * len(names)
+        names, asked, of_word = shared.value
+        best = [_Best(len(names) if not worded else len(q), k) for q in (of_word if worded else [names])]
         for frame in frames:
             if not len(frame) or not names:
                 continue
-            own = frame["vec_id"].to_numpy(dtype=np.int64)
-            scores = np.round(asked @ _units(frame["embedding"]).T, 6)
-            for q in range(len(names)):
-                s, v = np.concatenate((best[q][0], scores[q])), np.concatenate((best[q][1], own))
-                if len(s) > k:
-                    near = np.flatnonzero(s >= -np.partition(-s, k - 1)[k - 1])
-                    order = near[np.lexsort((v[near], -s[near]))][:k]
-                    s, v = s[order], v[order]
-                best[q] = (s, v)
-        for q, (s, v) in enumerate(best):
-            yield pd.DataFrame({"query_id": names[q], "vec_id": v, "score": s})
-
-    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+            for start in range(0, len(frame), TILE):
+                tile = frame.iloc[start : start + TILE]
+                own, units = tile["vec_id"].to_numpy(dtype=np.int64), _units(tile["embedding"])
+                if not worded:
+                    best[0].take(asked @ units.T, own)
+                    continue
+                has = tile["words"].tolist()
+                for w, of in enumerate(of_word):
+                    at = [i for i, x in enumerate(has) if w in x]
+                    if at:
+                        best[w].take(asked[of] @ units[at].T, own[at])
+        for w, b in enumerate(best):
+            q = of_word[w][b.query] if worded else b.query
+            yield pd.DataFrame({"query_id": np.array(names, dtype=object)[q], "vec_id": b.ids, "score": b.scores})
+
+    kept = ["vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")]
+    if worded:
+        listed = F.array(*(F.lit(w) for w in words)).cast("array<string>")
+        places = F.transform(listed, lambda w, i: F.when(F.contains(F.lower("content"), F.lower(w)), i))
+        kept.append(F.filter(places, lambda i: i.isNotNull()).alias("words"))
+    rows = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select(*kept)
+    if worded:
+        rows = rows.filter(F.size("words") > 0)
     found = rows.mapInPandas(run, "query_id string, vec_id long, score double")
     return found.withColumn("query_id", F.col("query_id").cast(queries.schema["query_id"].dataType))
 
 
+class _Best:
+    """The k best of each of n queries so far, by score rounded to six digits and then the smaller id, as rows (query, ids, scores)."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.least = k, np.full(n, -np.inf)
+        self.query, self.ids, self.scores = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+
+    def take(self, scores: np.ndarray, own: np.ndarray) -> None:
+        """Scores of all queries with some vectors."""
+        bar = self.least
+        if scores.shape[1] > self.k:
+            bar = np.maximum(bar, np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k])
+        q, v = np.nonzero(scores >= bar[:, None] - 1e-6)
+        if not len(q):
+            return
+        query, ids, found = np.concatenate((self.query, q)), np.concatenate((self.ids, own[v])), np.concatenate((self.scores, np.round(scores[q, v], 6)))
+        order = np.lexsort((ids, -found, query))
+        query = query[order]
+        starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
+        place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
+        kept = order[place < self.k]
+        self.query, self.ids, self.scores = query[place < self.k], ids[kept], found[kept]
+        last = place[place < self.k] == self.k - 1
+        self.least[self.query[last]] = self.scores[last]
+
+
 def _units(vectors: pd.Series) -> np.ndarray:
     matrix = np.stack(vectors.to_numpy()).astype(np.float64)
     sizes = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
@@ -146,16 +189,9 @@ def search_points(vectors: DataFrame, payload: DataFrame, queries: DataFrame, k:
 
 
 def _filtered(usable: DataFrame, queries: DataFrame, k: int, at_least: float, by_word: bool = False) -> DataFrame:
-    if not by_word:
-        return dense_search(usable, queries, k, at_least)
-    words = queries.select("keyword").distinct()
-    if words.count() > QUERY_BLOCK:
+    if by_word and queries.select("keyword").distinct().count() > QUERY_BLOCK:
         raise ValueError(f"more than {QUERY_BLOCK} keywords in one search")
-    hits = usable.join(F.broadcast(words), F.contains(F.lower("content"), F.lower("keyword")))  # a stated set of words, checked above
-    scored = hits.join(queries.select("query_id", "keyword", F.col("embedding").alias("__q")), "keyword")
-    score = F.round(dot(unit(F.col("__q")), unit(F.col("embedding"))), 6)
-    found = scored.select("query_id", "vec_id", score.alias("score")).filter(F.col("score") >= at_least)
-    return top_k(found, "query_id", [F.desc("score"), F.col("vec_id")], k)
+    return dense_search(usable, queries if by_word else queries.drop("keyword"), k, at_least)
 
 
 def browse(points: DataFrame, page: Column | None = None, text: Column | None = None) -> DataFrame:
