@@ -7,6 +7,7 @@ group, and a group is as large as a page.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import takewhile
 
@@ -78,13 +79,16 @@ def settled(rows: list[_Row], tiny: int = TINY) -> list[_Row]:
 def merge_tiny(chunks: DataFrame, tiny: int = TINY) -> DataFrame:
     """doc_id, page_number, pos, kind and content of the settled chunks of text (doc_id, page_number, pos, kind, content); order is by pos."""
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("pos")
-        rows = [_Row(int(p), k or "", t or "") for p, k, t in zip(page["pos"], page["kind"], page["content"], strict=True)]
-        kept = settled(rows, tiny)
-        first = page.iloc[0]
-        found = [(int(first["doc_id"]), int(first["page_number"]), r.pos, r.kind, r.text) for r in kept]
-        return pd.DataFrame(found, columns=["doc_id", "page_number", "pos", "kind", "content"], dtype=object)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["doc_id", "page_number", "pos", "kind", "content"]
+        for frame in frames:
+            found = []
+            for doc, page, places, kinds, texts in frame.itertuples(index=False, name=None):
+                rows = [_Row(int(p), k or "", t or "") for p, k, t in zip(places, kinds, texts, strict=True)]
+                found += [(doc, page, r.pos, r.kind, r.text) for r in settled(rows, tiny)]
+            yield pd.DataFrame(found, columns=names, dtype=object)
 
     rows = chunks.select(F.col("doc_id").cast("long"), F.col("page_number").cast("int"), F.col("pos").cast("long"), "kind", "content").filter("doc_id IS NOT NULL AND page_number IS NOT NULL")
-    return rows.groupBy("doc_id", "page_number").applyInPandas(run, "doc_id long, page_number int, pos long, kind string, content string")
+    # a batch holds many pages, as a call for each page costs more than its rows
+    pages = rows.groupBy("doc_id", "page_number").agg(F.sort_array(F.collect_list(F.struct("pos", "kind", "content"))).alias("r"))
+    return pages.select("doc_id", "page_number", "r.pos", "r.kind", "r.content").mapInPandas(run, "doc_id long, page_number int, pos long, kind string, content string")

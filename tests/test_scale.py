@@ -1,14 +1,21 @@
 """Steps that were mended for larger tables, held against plain walks."""
 
+import io
+import math
 import random
+import zipfile
 
 import duckdb
 import pandas as pd
 import pytest
 from foliospark.functions import classify as C
 from foliospark.functions import predicates as P
+from foliospark.operators import chunking as X
 from foliospark.operators import dedup as D
+from foliospark.operators import micro as M
+from foliospark.operators import retrieval as V
 from foliospark.plans import catalog
+from foliospark.sources import archives as Z
 from pyspark.sql import functions as F
 from test_catalog import rows
 
@@ -80,3 +87,44 @@ def test_odd_rows_equal_those_of_the_sql(spark, odd, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{odd}/documents.parquet'")
     assert rows(catalog.queries()[name](spark, odd).toPandas()) == rows(con.sql(catalog.oracles()[name]).df())
+
+
+def test_pages_share_calls_of_python(spark):
+    """Tiny chunks are settled page by page, but not with a call for each page."""
+    df = spark.createDataFrame([(d, p, 0, "paragraph", "words of a page that are long enough to stay") for d in range(20) for p in (1, 2)], "doc_id long, page_number int, pos long, kind string, content string")
+    merged = M.merge_tiny(df)
+    assert "FlatMapGroupsInPandas" not in merged._jdf.queryExecution().toString() and "MapInPandas" in merged._jdf.queryExecution().toString()
+    assert merged.count() == 40
+
+
+def test_word_chunks_fold_once(spark):
+    """The fold over the words stands once in the plan, so it is not run twice for each text."""
+    plan = X.word_chunks(spark.createDataFrame([("a b c " * 500,)], "text string"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("aggregate(__pieces") == 1
+
+
+def test_blocks_of_files_come_together(spark):
+    """Blocks of several files are handed on as one table, and a broken file among them gives its error alone."""
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("word/document.xml", '<w:document xmlns:w="urn:w"><w:body><w:p><w:r><w:t>text</w:t></w:r></w:p></w:body></w:document>')
+    files = spark.createDataFrame([("a", data.getvalue()), ("b", b"broken"), ("c", data.getvalue())], "path string, content binary").coalesce(1)
+    batches = Z.archive_blocks(files, "docx").mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n int")
+    assert [r.n for r in batches.collect()] == [3]
+    assert [(r.path, r.kind) for r in Z.archive_blocks(files, "docx").collect()] == [("a", "paragraph"), ("b", "error"), ("c", "paragraph")]
+
+
+def test_searches_in_tiles_by_a_walk(spark, monkeypatch):
+    """Tiles smaller than the table, ties and keywords give what a walk over all vectors gives."""
+    monkeypatch.setattr(V, "TILE", 3)
+    vectors = [(k, [float(k % 4), 1.0, float(k % 3)], ("Alpha x", "beta", "none")[k % 3]) for k in range(40)]
+    asked = [(k, vectors[k][1], ("alpha", "BETA", None, "gamma")[k % 4]) for k in range(12)]
+    have = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, content string").repartition(2)
+    want = spark.createDataFrame(asked, "query_id long, embedding array<float>, keyword string")
+    cosine = lambda a, b: round(sum(x * y for x, y in zip(a, b, strict=True)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b)), 6)
+    near = lambda e, among: [v for _, v in sorted((-cosine(e, x), v) for v, x, _ in among)[:4]]
+    plain = V.dense_search(have, want.drop("keyword"), 4).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in plain] == [(q, v) for q, e, _ in asked for v in near(e, vectors)]
+    got = V.search_points(have.drop("content"), have.select("vec_id", "content"), want, 4, at_least=-1.0).orderBy("query_id", "rank").collect()
+    hits = lambda w: [v for v in vectors if w and w.lower() in v[2].lower()] or vectors
+    assert [(r.query_id, r.vec_id) for r in got] == [(q, v) for q, e, w in asked for v in near(e, hits(w))]
