@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import lines_of, looks_like_code
-from ..functions.text import strip_text
+from ..functions.text import let, strip_text
 
 MOST_CHARS = 400
 OVERLAP = 60
@@ -37,9 +37,9 @@ def pack(most: int, overlap: str | None) -> str:
 
 def _packed(df: DataFrame, text: str, pieces: Column, most: int, overlap: str | None, to: str) -> DataFrame:
     rows = df.withColumn("__pieces", pieces)
-    folded = F.expr(pack(most, overlap))
     whole = F.array(F.col(text))
-    chosen = F.when(F.char_length(text) <= most, whole).otherwise(F.when(F.size(folded) > 0, folded).otherwise(whole))
+    folded = let(F.expr(pack(most, overlap)), lambda x: F.when(F.size(x) > 0, x).otherwise(whole))
+    chosen = F.when(F.char_length(text) <= most, whole).otherwise(folded)
     return rows.withColumn(to, chosen).drop("__pieces")
 
 
