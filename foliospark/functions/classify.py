@@ -94,14 +94,17 @@ def noise_level(content: Column, density: Column) -> Column:
     return F.when(F.char_length(content) == 0, 0.5).otherwise(F.least(F.lit(1.0), score))
 
 
+def _worth(weight: float):
+    return lambda hits: F.when(hits >= 2, F.least(hits * weight, F.lit(weight * 3))).otherwise(0.0)
+
+
 def corruption_score(content: Column, hint: str | None = None) -> Column:
     """Sum of the weights of signs that occur twice or more, at most 1; a hint of de or nl leaves only its own signs."""
     total = F.lit(0.0)
     for pattern, weight, language in CORRUPTION:
         if (hint in ("de", "nl") and language != hint) or (hint == "en" and language):
             continue
-        worth = lambda hits, weight=weight: F.when(hits >= 2, F.least(hits * weight, F.lit(weight * 3))).otherwise(0.0)
-        total = total + let(F.regexp_count(content, F.lit(pattern)), worth)
+        total = total + let(F.regexp_count(content, F.lit(pattern)), _worth(weight))
     return F.when(F.char_length(content) < 10, 0.0).otherwise(F.least(total, F.lit(1.0)))
 
 

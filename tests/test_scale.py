@@ -128,3 +128,9 @@ def test_searches_in_tiles_by_a_walk(spark, monkeypatch):
     got = V.search_points(have.drop("content"), have.select("vec_id", "content"), want, 4, at_least=-1.0).orderBy("query_id", "rank").collect()
     hits = lambda w: [v for v in vectors if w and w.lower() in v[2].lower()] or vectors
     assert [(r.query_id, r.vec_id) for r in got] == [(q, v) for q, e, w in asked for v in near(e, hits(w))]
+
+
+def test_corruption_weights(spark):
+    """Each sign counts with its own weight, twice or at most three times."""
+    df = spark.createDataFrame([("word /C21 and more /C22 words",), ("word /C21 and /C22 and /C23 and /C24",), ("plain words only",)], "t string")
+    assert [round(r.s, 6) for r in df.select(C.corruption_score(F.col("t")).alias("s")).collect()] == [0.8, 1.0, 0.0]
